@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemart.functions.values import slice_start
+
 DATE = "yyyy-MM-dd"
 DATE_TIME = "yyyy-MM-dd HH:mm:ss"
 DAY_MS = 24 * 60 * 60 * 1000
@@ -43,7 +45,7 @@ def date_id(text) -> Column:
 
 def row_time(ms) -> Column:
     """Event time in whole seconds, as the keyword summary uses it."""
-    return F.timestamp_seconds(F.floor(_col(ms) / F.lit(1000)))
+    return F.timestamp_millis(slice_start(_col(ms), 1000))
 
 
 def now_seconds_ms() -> Column:

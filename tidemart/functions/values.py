@@ -21,3 +21,8 @@ def all_of(conditions) -> Column:
     for condition in conditions:
         result = result & condition
     return result
+
+
+def slice_start(value: Column, width: int) -> Column:
+    """Start of the slice of ``width`` units that ``value`` lies in, in whole numbers."""
+    return value - F.pmod(value, F.lit(width))

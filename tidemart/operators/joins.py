@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.values import all_of
+from tidemart.functions.values import all_of, slice_start
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -30,19 +30,26 @@ def broadcast_if_small(
     return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 
+def lookup_entries(dictionary: DataFrame) -> DataFrame:
+    """The code and name of a dictionary, measured once, to be used in several lookups."""
+    return broadcast_if_small(dictionary.select("dic_code", "dic_name"))
+
+
 def lookup_join(
     facts: DataFrame,
-    dictionary: DataFrame,
+    entries: DataFrame,
     code: str,
     name_as: str,
     how: str = "inner",
 ) -> DataFrame:
-    """Add the dictionary name of ``code``. Facts without an entry are dropped (inner)."""
-    entries = dictionary.select(
+    """Add the dictionary name of ``code``. Facts without an entry are dropped (inner).
+
+    ``entries`` is a dictionary, or what ``lookup_entries`` made of it.
+    """
+    named = entries.select(
         F.col("dic_code").alias("_dic_code"), F.col("dic_name").alias(name_as)
     )
-    entries = broadcast_if_small(entries)
-    return facts.join(entries, F.col(code) == F.col("_dic_code"), how).drop("_dic_code")
+    return facts.join(named, F.col(code) == F.col("_dic_code"), how).drop("_dic_code")
 
 
 def timed_join(
@@ -87,16 +94,13 @@ def interval_join(
     and only neighbours in time are compared; every pair is found exactly once.
     """
     left_time, right_time = times
-    slice_us = max(2 * (upper_ms - lower_ms), 1000) * 1000
-
-    def slice_of(us):
-        return F.floor(us / F.lit(slice_us)).cast("bigint")
-
-    right_us = F.unix_micros(F.col(right_time))
-    first, last = right_us - F.lit(upper_ms * 1000), right_us - F.lit(lower_ms * 1000)
-    sliced_left = left.withColumn("_slice", slice_of(F.unix_micros(F.col(left_time))))
+    width = max(2 * (upper_ms - lower_ms), 1000) * 1000
+    left_us, right_us = F.unix_micros(F.col(left_time)), F.unix_micros(F.col(right_time))
+    first = slice_start(right_us - F.lit(upper_ms * 1000), width)
+    last = slice_start(right_us - F.lit(lower_ms * 1000), width)
+    sliced_left = left.withColumn("_slice", slice_start(left_us, width))
     sliced_right = right.withColumnRenamed(key, "_key").withColumn(
-        "_slice_r", F.explode(F.sequence(slice_of(first), slice_of(last)))
+        "_slice_r", F.explode(F.sequence(first, last, F.lit(width).cast("bigint")))
     )
     lt, rt = F.col(left_time), F.col(right_time)
     same = (

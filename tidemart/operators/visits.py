@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.times import DAY_MS, to_date_str
+from tidemart.functions.values import slice_start
 
 MID = "common.mid"
 IS_NEW = "common.is_new"
@@ -79,17 +80,17 @@ def user_jump(
     is_start = F.col("page.last_page_id").isNull()
     keyed = pages.select(
         F.col(MID).alias("_mid"),
-        F.floor(F.col("ts") / F.lit(width)).cast("bigint").alias("_slice"),
+        slice_start(F.col("ts"), width).alias("_slice"),
         F.col("ts").alias("_ts"),
         F.col("seq").alias("_seq"),
         is_start.alias("_start"),
         F.when(is_start, F.struct(*pages.columns)).alias("_row"),
     )
     heads = (
-        keyed.where(F.col("_ts") - F.col("_slice") * F.lit(width) < timeout_ms)
+        keyed.where(F.col("_ts") - F.col("_slice") < timeout_ms)
         .groupBy("_mid", "_slice")
         .agg(F.min(F.struct("_ts", "_seq", "_start")).alias("_h"))
-        .select("_mid", (F.col("_slice") - 1).alias("_slice"), "_h.*")
+        .select("_mid", (F.col("_slice") - F.lit(width)).alias("_slice"), "_h.*")
     )
     rows = keyed.unionByName(heads, allowMissingColumns=True)
     in_order = Window.partitionBy("_mid", "_slice").orderBy("_ts", "_seq")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.times import date_id
 from tidemart.functions.values import field
 from tidemart.operators.changes import cdc_filter, status_transition
-from tidemart.operators.joins import lookup_join
+from tidemart.operators.joins import lookup_entries, lookup_join
 
 # Coupon states.
 COUPON_UNUSED, COUPON_IN_USE = "1401", "1402"
@@ -67,7 +67,7 @@ def comment(feed: DataFrame, dictionary: DataFrame) -> DataFrame:
     rows = cdc_filter(
         feed, "comment_info", [*fields, field("appraise").alias("appraise_code")], keep=["ts"]
     )
-    named = lookup_join(rows, dictionary, "appraise_code", "appraise_name")
+    named = lookup_join(rows, lookup_entries(dictionary), "appraise_code", "appraise_name")
     return _dated(
         named,
         "create_time",

@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 from tidemart.functions.times import date_id
 from tidemart.functions.values import field
 from tidemart.operators.changes import cdc_filter, delta_value, is_increase, status_transition
-from tidemart.operators.joins import inner_stream_join, left_stream_join, lookup_join
+from tidemart.operators.joins import (
+    inner_stream_join,
+    left_stream_join,
+    lookup_entries,
+    lookup_join,
+)
 
 # Order and payment states.
 CANCELLED, REFUNDING, REFUNDED, PAID = "1003", "1005", "1006", "1602"
@@ -95,7 +100,7 @@ def order_pre_process(
     added to the columns, for later joins and for upserts by ``id``.
     """
     details = cdc_filter(feed, "order_detail", DETAIL_FIELDS, database=database, keep=["et"])
-    details = lookup_join(details, dictionary, "source_type", "source_type_name")
+    details = lookup_join(details, lookup_entries(dictionary), "source_type", "source_type_name")
     version = F.col("ts").try_cast("bigint").alias("version")
     orders = cdc_filter(
         feed,
@@ -159,7 +164,7 @@ def pay_detail_suc(
         types=("update",),
         where=field("payment_status") == PAID,
     )
-    payments = lookup_join(payments, dictionary, "payment_type_code", "payment_type_name")
+    payments = lookup_join(payments, lookup_entries(dictionary), "payment_type_code", "payment_type_name")
     joined = inner_stream_join(
         payments, details, [("pi_order_id", "order_id")], times=("pi_et", "et"), within=within
     )
@@ -180,7 +185,7 @@ def cart_add(feed: DataFrame, dictionary: DataFrame, database: str | None = None
         database=database,
         where=is_increase("sku_num"),
     )
-    named = lookup_join(carts, dictionary, "source_type", "source_type_name")
+    named = lookup_join(carts, lookup_entries(dictionary), "source_type", "source_type_name")
     return named.withColumnRenamed("source_type", "source_type_id").select(*CART_COLUMNS)
 
 
@@ -193,8 +198,9 @@ def order_refund(feed: DataFrame, dictionary: DataFrame, within: str | None = No
         + [_as("refund_reason_type", "refund_reason_type_code")],
         keep=["ts", "et"],
     )
-    refunds = lookup_join(refunds, dictionary, "refund_type_code", "refund_type_name")
-    refunds = lookup_join(refunds, dictionary, "refund_reason_type_code", "refund_reason_type_name")
+    names = lookup_entries(dictionary)
+    refunds = lookup_join(refunds, names, "refund_type_code", "refund_type_name")
+    refunds = lookup_join(refunds, names, "refund_reason_type_code", "refund_reason_type_name")
     orders = cdc_filter(
         feed,
         "order_info",
@@ -228,7 +234,7 @@ def refund_pay_suc(
         where=status_transition("refund_status", "0702") if strict else None,
         keep=["ts", "et"],
     )
-    payments = lookup_join(payments, dictionary, "payment_type_code", "payment_type_name")
+    payments = lookup_join(payments, lookup_entries(dictionary), "payment_type_code", "payment_type_name")
     orders = cdc_filter(
         feed,
         "order_info",

@@ -57,7 +57,7 @@ class FirstVisitRepair(StatefulProcessor):
 
 
 class DailyFirst(StatefulProcessor):
-    """State: the last date a visitor was seen, kept for a day after it was written.
+    """State: the last date a visitor was seen, dropped a day (of event time) after that visit.
 
     Gives a row when its date differs from the state. Per chunk only the first row of a date is
     kept, so memory grows with the number of dates in a micro-batch, not with its rows.
@@ -67,7 +67,8 @@ class DailyFirst(StatefulProcessor):
         self._ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last_visit", "day string", self._ttl_ms)
+        self._handle = handle
+        self._last = handle.getValueState("last_visit", "day string, expires long")
 
     def handleInputRows(self, key, rows, timerValues):
         firsts = None
@@ -80,9 +81,18 @@ class DailyFirst(StatefulProcessor):
         for day in firsts["day"]:
             keep.append(day != last)
             last = day
-        if any(keep):
-            self._last.update((last,))
-        yield firsts.loc[keep, ["payload"]]
+        given = firsts[keep]
+        if len(given):
+            expires = int(given["ts"].iloc[-1]) + self._ttl_ms
+            self._last.update((last, expires))
+            self._handle.registerTimer(expires)
+        yield given[["payload"]]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        state = self._last.get()
+        if state is not None and state[1] <= expiredTimerInfo.getExpiryTimeInMs():
+            self._last.clear()
+        yield pd.DataFrame({"payload": []}, dtype=object)
 
     def close(self) -> None:
         pass

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.functions.times import to_date_str
+from tidemart.functions.values import slice_start
 from tidemart.operators.visits import (
     IS_NEW,
     JUMP_SLICE_MS,
@@ -62,12 +63,20 @@ def repair_is_new_stream(logs: DataFrame, tz: str = "UTC") -> DataFrame:
     return rows.withColumn("common", common).drop("is_new")
 
 
-def unique_visitor_stream(pages: DataFrame, tz: str = "UTC", ttl_ms: int = DAY_TTL_MS) -> DataFrame:
+def unique_visitor_stream(
+    pages: DataFrame, tz: str = "UTC", ttl_ms: int = DAY_TTL_MS, delay: str = "1 day"
+) -> DataFrame:
+    """The first session start of a visitor on a day, given as it comes.
+
+    Repeats within a chunk of input are dropped before the shuffle. ``delay`` is how late a page
+    may come and still count; state is kept ``ttl_ms`` of event time after a visit.
+    """
     schema = _record_schema(pages)
-    starts = session_start_filter(pages)
+    starts = session_start_filter(pages.withWatermark("et", delay))
     keyed = starts.select(
         F.col(MID).alias("mid"),
         to_date_str("ts", tz).alias("day"),
+        "et",
         "ts",
         "seq",
         _payload(pages).alias("payload"),
@@ -82,7 +91,7 @@ def unique_visitor_stream(pages: DataFrame, tz: str = "UTC", ttl_ms: int = DAY_T
         statefulProcessor=processors.DailyFirst(ttl_ms),
         outputStructType="payload string",
         outputMode="Append",
-        timeMode="ProcessingTime",
+        timeMode="EventTime",
     )
     return _unpacked(firsts, schema)
 
@@ -101,9 +110,9 @@ def user_jump_stream(
     schema = _record_schema(pages)
     width = max(timeout_ms, slice_ms)
     is_start = F.col("page.last_page_id").isNull()
-    this = F.floor(F.col("ts") / F.lit(width)).cast("bigint")
-    at_head = F.col("ts") - this * F.lit(width) < timeout_ms
-    slices = F.when(at_head, F.array(this, this - 1)).otherwise(F.array(this))
+    this = slice_start(F.col("ts"), width)
+    at_head = F.col("ts") - this < timeout_ms
+    slices = F.when(at_head, F.array(this, this - F.lit(width))).otherwise(F.array(this))
     copies = (
         pages.withWatermark("et", delay)
         .withColumn("_own", this)

@@ -448,7 +448,7 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where("role <> 'system'")
         .select(F.col("role").alias("dic_code")),
     ]
-    distinct = reduce(DataFrame.unionByName, [c.distinct() for c in codes]).distinct()
+    distinct = reduce(DataFrame.unionByName, codes).distinct()
     none = F.lit(None).cast("timestamp")
     return distinct.select(
         "dic_code",
@@ -581,7 +581,7 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sensors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Clicks as readings and purchases as names, both with an event time."""
+    """Clicks as readings and all events as names, both with an event time."""
     events = table(spark, sf_dir, "events").withColumn("et", F.col("ts").cast("timestamp"))
     readings = events.where("event_type = 'click'").select(
         text_of(F.col("user_id")).alias("id"),
@@ -589,7 +589,7 @@ def sensors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         F.col("event_id").alias("l_seq"),
         F.col("et").alias("l_et"),
     )
-    names = events.where("event_type = 'purchase'").select(
+    names = events.select(
         text_of(F.col("user_id")).alias("id"),
         F.concat(F.lit("sensor "), text_of(F.col("event_id"))).alias("name"),
         F.col("et").alias("r_et"),

@@ -342,7 +342,7 @@ def interval_join_hours(spark, d):
 def lookup_join(spark, d):
     feed, dic = _inputs(spark, d, "comment_info")
     rows = changes.cdc_filter(feed, "comment_info", ["id", "appraise"])
-    return joins.lookup_join(rows, dic, "appraise", "appraise_name")
+    return joins.lookup_join(rows, joins.lookup_entries(dic), "appraise", "appraise_name")
 
 
 @query(
@@ -357,8 +357,9 @@ def lookup_join(spark, d):
 def double_lookup(spark, d):
     feed, dic = _inputs(spark, d, "order_refund_info")
     rows = changes.cdc_filter(feed, "order_refund_info", ["id", "refund_type", "refund_reason_type"])
-    rows = joins.lookup_join(rows, dic, "refund_type", "refund_type_name")
-    rows = joins.lookup_join(rows, dic, "refund_reason_type", "refund_reason_type_name")
+    names = joins.lookup_entries(dic)
+    rows = joins.lookup_join(rows, names, "refund_type", "refund_type_name")
+    rows = joins.lookup_join(rows, names, "refund_reason_type", "refund_reason_type_name")
     return rows.select("id", "refund_type_name", "refund_reason_type_name")
 
 

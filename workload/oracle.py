@@ -145,7 +145,7 @@ CTES = {
     FROM events WHERE event_type = 'click'""",
     "name": """
     SELECT CAST(user_id AS VARCHAR) AS id, 'sensor ' || event_id AS name, ts AS r_et
-    FROM events WHERE event_type = 'purchase'""",
+    FROM events""",
 }
 
 
