@@ -7,9 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-ROCKSDB_PROVIDER = (
-    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-)
+# State on local disk with only changes uploaded per batch, and one store per join partition.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+}
 
 
 def is_local(spark: SparkSession) -> bool:
@@ -35,7 +40,8 @@ def configure(spark: SparkSession, tz: str = "UTC") -> SparkSession:
     conf.set("spark.sql.session.timeZone", tz)
     conf.set("spark.sql.adaptive.enabled", "true")
     conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    for key, value in STATE_STORE.items():
+        conf.set(key, value)
     if is_local(spark) and conf.get("spark.sql.shuffle.partitions") == "200":
         conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return spark
