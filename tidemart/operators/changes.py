@@ -32,12 +32,14 @@ def split_valid_json(
     record = F.from_json(
         F.col(column), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     )
-    parsed = lines.withColumn("_r", record)
-    good = F.col(column).isNotNull() & F.ltrim(F.col(column)).startswith("{")
-    good = good & F.col(f"_r.{_CORRUPT}").isNull()
+    is_object = F.coalesce(F.ltrim(F.col(column)).startswith("{"), F.lit(False))
+    # A generator is evaluated once per row. A projection would be copied into the filters and
+    # the text parsed anew for each field they look at.
+    once = F.explode(F.array(F.when(is_object, record))).alias("_r")
+    parsed = lines.select(*rest, F.col(column), once)
+    good = F.col("_r").isNotNull() & F.col(f"_r.{_CORRUPT}").isNull()
     for name in required:
         good = good & F.col(f"_r.{name}").isNotNull()
-    good = F.coalesce(good, F.lit(False))
     valid = parsed.where(good).select(*rest, *[F.col(f"_r.{f.name}") for f in schema.fields])
     dirty = parsed.where(~good).select(*rest, F.col(column))
     return valid, dirty

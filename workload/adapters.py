@@ -13,15 +13,18 @@ from pyspark.sql import functions as F
 from tidemart.functions.times import DATE_TIME
 from tidemart.schemas import STRING_MAP
 from tidemart.session import configure
-from tidemart.sources.tables import with_times
+from tidemart.sources.tables import spread, with_times
 
 BASE_SECONDS = 1_704_067_200  # 2024-01-01 UTC
 DATABASE = "mart"
 
+# Rows with long texts make more work.
+ROWS_PER_TASK = {"documents": 500}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), ROWS_PER_TASK.get(name, 10_000))
 
 
 def text_of(c: Column) -> Column:
