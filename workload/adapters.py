@@ -18,13 +18,10 @@ from tidemart.sources.tables import spread, with_times
 BASE_SECONDS = 1_704_067_200  # 2024-01-01 UTC
 DATABASE = "mart"
 
-# Rows with long texts make more work.
-ROWS_PER_TASK = {"documents": 500}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), ROWS_PER_TASK.get(name, 10_000))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text_of(c: Column) -> Column:
@@ -44,29 +41,28 @@ def stamp(name: str, add: str | None = None) -> Column:
     return F.date_format(moment, DATE_TIME)
 
 
-def _map(values: dict[str, Column]) -> Column:
-    pairs = []
-    for key, value in values.items():
-        pairs += [F.lit(key), text_of(value)]
-    return F.create_map(*pairs)
+def _map(values: dict[str, Column] | None) -> Column:
+    if not values:
+        return F.lit(None).cast(STRING_MAP)
+    return F.create_map(*[part for k, v in values.items() for part in (F.lit(k), text_of(v))])
 
 
 def changes(
     df: DataFrame,
     name: str,
-    kind: str,
+    kind: str | Column,
     ts: Column,
     data: dict[str, Column],
-    old: dict[str, Column] | None = None,
+    old: dict[str, Column] | Column | None = None,
 ) -> DataFrame:
-    """Rows of a table as change records of one type; ``ts`` is in seconds, as text."""
+    """Rows of a table as change records; ``ts`` is in seconds, as text."""
     return df.select(
         F.lit(DATABASE).alias("database"),
         F.lit(name).alias("table"),
-        F.lit(kind).alias("type"),
+        (kind if isinstance(kind, Column) else F.lit(kind)).alias("type"),
         text_of(ts).alias("ts"),
         _map(data).alias("data"),
-        (_map(old) if old else F.lit(None).cast(STRING_MAP)).alias("old"),
+        (old if isinstance(old, Column) else _map(old)).alias("old"),
     )
 
 
@@ -75,7 +71,28 @@ def at(key: str, offset: int = 0) -> Column:
     return F.col(key).cast("bigint") + F.lit(BASE_SECONDS + offset)
 
 
+# Changes of an order by its final state: (type, new state, state before, seconds later).
+ORDER_STEPS = {
+    "O": [("update", "1002", "1001", 600)],
+    "F": [("update", "1003", "1001", 600)],
+    "P": [("update", "1005", "1001", 600), ("update", "1006", "1005", 1200)],
+}
+
+
 def order_info(orders: DataFrame) -> list[DataFrame]:
+    """Each order is inserted, then moves on by its state. One scan gives all its changes."""
+
+    def step(kind, new, before, later) -> Column:
+        values = {"kind": kind, "new": new, "before": before, "later": later}
+        return F.struct(*[F.lit(v).alias(k) for k, v in values.items()])
+
+    inserted = ("insert", "1001", "", 0)
+    steps = F.array(step(*inserted))
+    for status, more in ORDER_STEPS.items():
+        all_steps = F.array(*[step(*x) for x in (inserted, *more)])
+        steps = F.when(F.col("o_orderstatus") == status, all_steps).otherwise(steps)
+    moved = orders.select("*", F.explode(steps).alias("step")).select("*", "step.*")
+    is_update = F.col("kind") == "update"
     row = {
         "id": F.col("o_orderkey"),
         "consignee": F.concat(F.lit("Customer "), text_of(F.col("o_custkey"))),
@@ -84,27 +101,12 @@ def order_info(orders: DataFrame) -> list[DataFrame]:
         "payment_way": F.col("o_orderpriority"),
         "create_time": stamp("o_orderdate"),
         "province_id": F.col("o_custkey") % 34,
+        "order_status": F.col("new"),
+        "operate_time": F.when(is_update, stamp("o_orderdate", "1 DAY")),
     }
-
-    def step(status: str, new: str, before: str, offset: int) -> DataFrame:
-        return changes(
-            orders.where(F.col("o_orderstatus") == status),
-            "order_info",
-            "update",
-            at("o_orderkey", offset),
-            {**row, "order_status": F.lit(new), "operate_time": stamp("o_orderdate", "1 DAY")},
-            {"order_status": F.lit(before)},
-        )
-
-    return [
-        changes(
-            orders, "order_info", "insert", at("o_orderkey"), {**row, "order_status": F.lit("1001")}
-        ),
-        step("O", "1002", "1001", 600),
-        step("F", "1003", "1001", 600),
-        step("P", "1005", "1001", 600),
-        step("P", "1006", "1005", 1200),
-    ]
+    old = F.when(is_update, _map({"order_status": F.col("before")}))
+    second = at("o_orderkey") + F.col("later")
+    return [changes(moved, "order_info", F.col("kind"), second, row, old)]
 
 
 def detail_id() -> Column:
@@ -418,18 +420,19 @@ def change_feed(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     return with_times(feed.where(F.col("table").isin(*wanted)))
 
 
-# Which function makes the changes of which source tables.
+# Which function makes the changes of which source tables. Making texts and maps is the costly
+# part, so small inputs are spread over all cores first.
 FEED_PARTS = (
-    (("order_info",), lambda s, d: order_info(table(s, d, "orders"))),
+    (("order_info",), lambda s, d: order_info(spread(table(s, d, "orders")))),
     (
         ("order_detail", "order_detail_activity", "order_detail_coupon"),
-        lambda s, d: order_lines(table(s, d, "lineitem")),
+        lambda s, d: order_lines(spread(table(s, d, "lineitem"))),
     ),
-    (("payment_info",), lambda s, d: payments(table(s, d, "orders"))),
-    (("order_refund_info", "refund_payment"), lambda s, d: refunds(table(s, d, "lineitem"))),
-    (("cart_info",), lambda s, d: carts(table(s, d, "lineitem"))),
-    (("coupon_use",), lambda s, d: coupons(table(s, d, "orders"))),
-    (("favor_info", "user_info"), lambda s, d: event_members(table(s, d, "events"))),
+    (("payment_info",), lambda s, d: payments(spread(table(s, d, "orders")))),
+    (("order_refund_info", "refund_payment"), lambda s, d: refunds(spread(table(s, d, "lineitem")))),
+    (("cart_info",), lambda s, d: carts(spread(table(s, d, "lineitem")))),
+    (("coupon_use",), lambda s, d: coupons(spread(table(s, d, "orders")))),
+    (("favor_info", "user_info"), lambda s, d: event_members(spread(table(s, d, "events")))),
     (("comment_info",), lambda s, d: comments(table(s, d, "conversations"))),
     (("customer", "supplier", "part", "nation", "region"), lambda s, d: dimension_rows(s, d)),
 )
@@ -443,9 +446,9 @@ def feed_messages(feed: DataFrame) -> DataFrame:
 
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes in use and their names. The codes of a column are few: it is a status or a flag."""
+    flags = F.array("l_returnflag", "l_linestatus")
     codes = [
-        table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("dic_code")),
-        table(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("dic_code")),
+        table(spark, sf_dir, "lineitem").select(F.explode(flags).alias("dic_code")),
         table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("dic_code")),
         table(spark, sf_dir, "conversations")
         .where("role <> 'system'")
@@ -547,7 +550,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """App log as JSON texts, and the documents as lines that are no records."""
     logs = app_log(spark, sf_dir)
     record = F.struct(*[c for c in logs.columns if c != "seq"])
-    good = logs.select(F.to_json(record).alias("value"), "seq")
+    good = spread(logs).select(F.to_json(record).alias("value"), "seq")
     bad = table(spark, sf_dir, "documents").select(
         F.col("text").alias("value"), (-1 - F.col("doc_id")).alias("seq")
     )
@@ -556,7 +559,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as searched keywords, one per second, and all events, as page maps."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread(table(spark, sf_dir, "documents"), 500)
     searched = documents.select(
         F.create_map(
             F.lit("item"),
