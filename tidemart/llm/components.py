@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.tables import remove, stored_at
+from tidemart.llm.tables import join_split, remove, stored_at
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour or itself."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    larger = both.filter("v > u").join(least, "u")
+    larger = join_split(both.filter("v > u"), least, ["u"])
     return larger.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are linked to the smallest of them."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = join_split(edges, least, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
     kept = least.select("u", F.col("m").alias("v"))
     return moved.filter("u <> v").union(kept).distinct()
 

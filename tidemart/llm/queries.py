@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import mixing, repeats, simhash
+from tidemart.llm import mixing, repeats, simhash, units, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,23 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op7_units", units.SQL)
+def op7_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = units.remove_units(table(spark, sf_dir, "documents"), separator="\n", least_words=5)
+    removed = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"]
+    )
+    return cut.select(
+        "doc_id",
+        "n_units",
+        F.size("spans").cast("long").alias("n_removed"),
+        removed.alias("removed_chars"),
+        F.md5("kept").alias("kept_md5"),
+    )
+
+
+@query("op9_urls", urls.SQL)
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))

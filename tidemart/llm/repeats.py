@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.tables import narrow, stored
+from tidemart.llm.tables import join_split, narrow, stored
 
 #: Length of the byte strings whose hash picks an anchor.
 GRAM = 32
@@ -329,7 +329,7 @@ def window_ranges(docs: DataFrame, length: int) -> DataFrame:
         .select("h", (F.col("least") != F.col("most")).alias("mixed"))
     )
     # An anchor that occurs once is in no repeat: most rows end here.
-    hits = stored(found.join(keys, "h"), "anchors")
+    hits = stored(join_split(found, keys, ["h"]), "anchors")
     first = F.shiftright("at", 16)
     count = F.col("at").bitwiseAND(F.lit(0xFFFF))
     # All runs of the anchor are copies of one piece: all their windows repeat.
@@ -341,7 +341,7 @@ def window_ranges(docs: DataFrame, length: int) -> DataFrame:
     )
     distinct = stored(distinct, "pieces")
     blocks = distinct.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    dealt = distinct.join(blocks, "h").select(
+    dealt = join_split(distinct, blocks, ["h"]).select(
         "doc_id", "th", "at", "h", "d", "off",
         F.pmod(F.xxhash64("d"), "blocks").alias("part"), (F.col("blocks") > 1).alias("open"),
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.components import components
-from tidemart.llm.tables import narrow, stored
+from tidemart.llm.tables import join_split, narrow, stored
 
 BITS = 64
 #: A group of at most so many fingerprints is compared pair by pair inside one task; a larger one
@@ -92,8 +92,9 @@ def _bucketed(keyed: DataFrame, max_bits: int) -> tuple[DataFrame, DataFrame]:
     sizes = keyed.groupBy("mask", "key").agg(
         F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")
     )
+    sizes = stored(sizes.filter("n > 1"), "buckets")
     pairs = sizes.filter("n = 2").filter(_near(F.col("a"), F.col("b"), max_bits)).select("a", "b")
-    members = keyed.join(sizes.filter("n > 2").select("mask", "key", "n"), ["mask", "key"])
+    members = join_split(keyed, sizes.filter("n > 2").select("mask", "key", "n"), ["mask", "key"])
     return pairs, members
 
 
@@ -185,7 +186,7 @@ def close_links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
     everything = (1 << BITS) - 1
     masks = block_masks(everything, max_bits)
     pairs, members = _bucketed(_keyed(fps, masks), max_bits)
-    members = stored(members, "buckets")
+    members = stored(members, "members")
     crowded = members.filter(F.col("n") > DENSE)
     inner = {m: [m | s for s in block_masks(everything & ~m, max_bits)] for m in masks}
     choices = F.create_map(

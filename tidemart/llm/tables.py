@@ -45,3 +45,15 @@ def crc_remainder(column: str, divisor: int):
     """crc32 of an id as text, modulo ``divisor``; a null id counts as the empty text."""
     text = F.coalesce(F.col(column).cast("string"), F.lit(""))
     return (F.crc32(text.cast("binary")) % divisor).cast("int")
+
+
+def join_split(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Joins on whole-number ``keys`` so that AQE can split a hot one.
+
+    After a grouping by the same keys Spark would join where the groups already lie, and such a
+    partition is never split. Under another value of the key both sides are dealt out for the join.
+    """
+    last = keys[-1]
+    mine = left.withColumn("_dealt", F.bitwise_not(last))
+    other = right.withColumn("_dealt", F.bitwise_not(last)).drop(last)
+    return mine.join(other, [*keys[:-1], "_dealt"], how).drop("_dealt")
