@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import mixing, repeats, simhash, units, urls
+from tidemart.llm import langid, mixing, quality, repeats, simhash, toxicity, units, urls
+from tidemart.llm.features import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apart = held_out("doc_id", 3, 1)
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, labels, learn=~apart, threshold=0.7)
+    return scored.select("doc_id", apart.alias("held_out"), "score", "predicted")
+
+
 @query("op2_simhash")
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
@@ -35,6 +44,13 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratings = quality.grades_of(table(spark, sf_dir, "labels"))
+    rated = quality.rate(table(spark, sf_dir, "documents"), ratings, least_grade=1)
+    return rated.select("doc_id", "expected_grade", "tail", (F.col("tail") >= 0.5).alias("kept"))
+
+
 @query("op5_mix", mixing.SQL)
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = mixing.quality_weights(table(spark, sf_dir, "labels"))
@@ -56,6 +72,13 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_langid")
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apart = held_out("doc_id", 4, 2)
+    found = langid.identify(table(spark, sf_dir, "documents"), learn=~apart)
+    return found.select("doc_id", apart.alias("held_out"), "lang_pred", "score")
+
+
 @query("op7_units", units.SQL)
 def op7_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = units.remove_units(table(spark, sf_dir, "documents"), separator="\n", least_words=5)
