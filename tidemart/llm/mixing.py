@@ -135,6 +135,24 @@ def quality_weights(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", weight.alias("weight"))
 
 
+def with_taken(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
+    """``docs`` with ``taken``, as in ``mix``.
+
+    Rows are matched by id, source and text hash; rows that repeat all three share what is taken of
+    them evenly, rounded down.
+    """
+    hashed = F.xxhash64(F.coalesce("text", F.lit("")))
+    keyed = docs.withColumn("_key", F.to_json(F.struct("doc_id", "source", hashed.alias("hash")), {"ignoreNullFields": "false"}))
+    names = keyed.select(F.col("doc_id").alias("key_id"), F.col("_key").alias("key"))
+    if quality is not None:
+        names = names.distinct()
+        quality = quality.join(names, F.col("doc_id") == F.col("key_id")).select(F.col("key").alias("doc_id"), "weight")
+    taken = mix(keyed, id_col="_key", quality=quality).groupBy("doc_id").agg(
+        F.floor(F.avg("taken")).cast("long").alias("taken")
+    )
+    return keyed.join(taken.withColumnRenamed("doc_id", "_key"), "_key").select(*docs.columns, "taken")
+
+
 SQL = rf"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size

@@ -9,7 +9,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.features import Adam, SparseRows, code_points, gram_buckets, map_rows, sampled, sigmoid
+from tidemart.llm.features import (
+    Adam,
+    SparseRows,
+    code_points,
+    gram_buckets,
+    map_rows,
+    packed,
+    sampled,
+    sigmoid,
+    unpacked,
+)
 from tidemart.llm.tables import narrow
 
 #: Buckets of each n-gram length, as a power of two.
@@ -115,7 +125,7 @@ def grades_of(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", grade.alias("grade"))
 
 
-def train(docs: DataFrame, ratings: DataFrame, most: int = 12000) -> tuple[np.ndarray, np.ndarray]:
+def train(docs: DataFrame, ratings: DataFrame, most: int = 8000) -> tuple[np.ndarray, np.ndarray]:
     """Fits ``(doc_id, text)`` and ``(doc_id, grade)``, grades from 0 up, on at most ``most`` rows.
 
     The rows are the first by a hash of the id. Of several grades of one id the lowest counts.
@@ -127,24 +137,15 @@ def train(docs: DataFrame, ratings: DataFrame, most: int = 12000) -> tuple[np.nd
     # At most ``most`` ids.
     chosen = F.broadcast(sampled(rated.join(ids, "doc_id", "left_semi"), most))
 
-    def make():
-        def run(texts: list) -> list[pa.Array]:
-            made = [features(t) for t in texts]
-            return [
-                pa.array([i.astype(np.int32) for i, _ in made], pa.list_(pa.int32())),
-                pa.array([v.astype(np.float32) for _, v in made], pa.list_(pa.float32())),
-            ]
-
-        return run
-
     texts = docs.join(chosen, "doc_id").select("grade", "text")
-    rows = map_rows(texts, make, "ids array<int>, vals array<float>", "grade").collect()
+    rows = map_rows(
+        texts, lambda: lambda found: packed([features(t) for t in found]), "ids binary, vals binary", "grade"
+    ).collect()
     grades = np.array([r["grade"] for r in rows], dtype=np.int64)
     levels = int(grades.max()) + 1 if len(grades) else 1
     if levels < 2:
         return np.zeros(WIDTH), np.zeros(1)
-    sparse = SparseRows([np.array(r["ids"]) for r in rows], [np.array(r["vals"]) for r in rows])
-    return fit(sparse, grades, levels)
+    return fit(unpacked(rows), grades, levels)
 
 
 def _tails(texts: list, weights: np.ndarray, thresholds: np.ndarray) -> np.ndarray:

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import langid, mixing, quality, repeats, simhash, toxicity, units, urls
+import corpus_pipeline
+from tidemart.llm import (
+    langid,
+    leaks,
+    mixing,
+    neighbours,
+    quality,
+    repeats,
+    simhash,
+    toxicity,
+    units,
+    urls,
+)
 from tidemart.llm.features import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +63,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", "expected_grade", "tail", (F.col("tail") >= 0.5).alias("kept"))
 
 
+@query("op4_leaks")
+def op4_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op5_mix", mixing.SQL)
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = mixing.quality_weights(table(spark, sf_dir, "labels"))
@@ -94,6 +111,16 @@ def op7_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_neighbours")
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 @query("op9_urls", urls.SQL)
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

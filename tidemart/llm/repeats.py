@@ -442,3 +442,24 @@ def remove_repeats(
     return joined.mapInArrow(
         run, f"doc_id {kind}, text string, spans array<struct<start:long,end:long>>, kept binary"
     )
+
+
+def replace_texts(docs: DataFrame, length: int = 200) -> DataFrame:
+    """``docs`` with repeated strings cut out of ``text``, in whole characters, and ``n_chars``, if
+    there is such a column, counted anew; other columns stay.
+
+    Rows are matched by id and text. A null text stays null.
+    """
+    marked = docs.withColumn(
+        "_key", F.struct(F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    ).withColumn("_key", F.to_json("_key", {"ignoreNullFields": "false"}))
+    cut = remove_repeats(marked, id_col="_key", length=length, characters=True)
+    # Rows that repeat an id and its text share one result.
+    new = cut.select(F.col("doc_id").alias("_key"), F.col("kept").cast("string").alias("_kept"))
+    joined = marked.join(new.dropDuplicates(["_key"]), "_key")
+    text = F.when(F.col("text").isNotNull(), F.col("_kept"))
+    out = joined.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.length("text").cast(kind))
+    return out.select(*docs.columns)

@@ -7,7 +7,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.features import Adam, SparseRows, WordBuckets, map_rows, sampled, sigmoid
+from tidemart.llm.features import (
+    Adam,
+    SparseRows,
+    WordBuckets,
+    map_rows,
+    packed,
+    sampled,
+    sigmoid,
+    unpacked,
+)
 from tidemart.llm.tables import narrow
 
 BITS = 18
@@ -86,8 +95,8 @@ def cut_off(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float
 def train(
     docs: DataFrame,
     labels: DataFrame,
-    most_positive: int = 6000,
-    most_unlabelled: int = 12000,
+    most_positive: int = 4000,
+    most_unlabelled: int = 8000,
     least_lift: float = 4.0,
     prior: float | None = None,
     threshold: float = 0.7,
@@ -121,21 +130,10 @@ def train(
     def make():
         words = WordBuckets(BITS)
 
-        def run(found: list) -> list[pa.Array]:
-            made = [words(t) for t in found]
-            return [
-                pa.array([ids.astype(np.int32) for ids, _ in made], pa.list_(pa.int32())),
-                pa.array([shares.astype(np.float32) for _, shares in made], pa.list_(pa.float32())),
-            ]
+        return lambda found: packed([words(t) for t in found])
 
-        return run
-
-    rows = map_rows(texts, make, "ids array<int>, shares array<float>", "positive").collect()
-    groups = []
-    for is_positive in (True, False):
-        own = [r for r in rows if r["positive"] == is_positive]
-        ids = [np.array(r["ids"], dtype=np.int64) for r in own]
-        groups.append(SparseRows(ids, [np.array(r["shares"]) for r in own]))
+    rows = map_rows(texts, make, "ids binary, vals binary", "positive").collect()
+    groups = [unpacked([r for r in rows if r["positive"] == own]) for own in (True, False)]
     nothing = np.zeros(1 << BITS), float(np.log(prior / (1 - prior)))
     fitted = [g.rows(np.flatnonzero(np.arange(len(g)) % 4 > 0)) for g in groups]
     if not all(map(len, fitted)):
