@@ -75,22 +75,17 @@ class SparseRows:
 
     def __init__(self, ids: list[np.ndarray], values: list[np.ndarray] | None = None):
         self.lengths = np.array([len(i) for i in ids], dtype=np.int64)
-        self.ids = np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64)
+        self.ids = np.concatenate([np.zeros(0, np.int32), *ids]).astype(np.int32)
         self.values = (
-            np.ones(len(self.ids))
+            np.ones(len(self.ids), dtype=np.float32)
             if values is None
-            else np.concatenate([np.zeros(0), *values]).astype(np.float64)
+            else np.concatenate([np.zeros(0, np.float32), *values]).astype(np.float32)
         )
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)])
 
     def __len__(self) -> int:
         return len(self.lengths)
 
-    def rows_with(self, size: int) -> np.ndarray:
-        """In how many rows each bucket occurs."""
-        row = np.repeat(np.arange(len(self)), self.lengths)
-        return np.bincount(np.unique(row * size + self.ids) % size, minlength=size)
-
     def only(self, wanted: np.ndarray) -> SparseRows:
         """The pairs of the wanted buckets, which are numbered anew from 0."""
         out = SparseRows([])
@@ -118,7 +113,12 @@ class SparseRows:
 
 
 def packed(rows: list[tuple[np.ndarray, np.ndarray]]) -> list[pa.Array]:
-    """(buckets, values) of each row as bytes: eight bytes a pair on the way to the driver."""
+    """(buckets, values) of each row as bytes: eight bytes a pair on the way to the driver.
+
+    A bucket that comes several times in a row comes once, with the sum.
+    """
+    rows = [(np.unique(ids, return_inverse=True), values) for ids, values in rows]
+    rows = [(ids, np.bincount(place, values, minlength=len(ids))) for (ids, place), values in rows]
     return [
         pa.array([ids.astype("<i4").tobytes() for ids, _ in rows], pa.binary()),
         pa.array([values.astype("<f4").tobytes() for _, values in rows], pa.binary()),

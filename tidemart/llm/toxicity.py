@@ -95,8 +95,8 @@ def cut_off(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float
 def train(
     docs: DataFrame,
     labels: DataFrame,
-    most_positive: int = 4000,
-    most_unlabelled: int = 8000,
+    most_positive: int = 2500,
+    most_unlabelled: int = 5000,
     least_lift: float = 4.0,
     prior: float | None = None,
     threshold: float = 0.7,
@@ -138,7 +138,7 @@ def train(
     fitted = [g.rows(np.flatnonzero(np.arange(len(g)) % 4 > 0)) for g in groups]
     if not all(map(len, fitted)):
         return nothing
-    seen, usual = (g.rows_with(1 << BITS) for g in fitted)
+    seen, usual = (np.bincount(g.ids, minlength=1 << BITS) for g in fitted)
     expected = (usual + 1) / (len(fitted[1]) + 1) * len(fitted[0])
     wanted = seen >= expected + least_lift * np.sqrt(expected)
     weights = np.zeros(1 << BITS)
