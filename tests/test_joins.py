@@ -6,9 +6,8 @@ from tidemart.operators import config, joins
 from tidemart.schemas import SENSOR_NAME, SENSOR_READING
 from tidemart.sources.tables import read_config_cdc, read_csv_lines
 
-LEFT = ["1001,23.5,8", "1001,23.5,9", "1002,89.5,15", "1003,23.5,8"]
-RIGHT = ["1001,sensor_1,8", "1001,sensor_2,9", "1001,sensor_3,10", "1002,sensor_1,15",
-         "1001,sensor_3,10", "1003,s_1,8"]
+LEFT = ["p,4.5,100", "p,4.75,103", "q,1.25,100", "r,7.5,90", "r,7.5,91", "t,0.5,5"]
+RIGHT = ["p,gauge,99", "p,dial,103", "p,dial,110", "q,lamp,107", "r,bell,88", "r,horn,93", "u,none,5"]
 
 
 def sensors(spark, left=LEFT, right=RIGHT):
@@ -55,15 +54,15 @@ def test_interval_join_busy_key(spark):
 
 def test_outer_joins(spark):
     left, right = sensors(
-        spark, ["1001,23.5,8", "1002,50.5,9", "1001,23,10"], ["1001,sensor_1,8", "1005,s_2,9"])
+        spark, ["p,4.5,100", "q,1.25,100", "p,4.75,103"], ["p,gauge,99", "u,none,5"])
     right = right.withColumnRenamed("id", "r_id")
     on = [("id", "r_id")]
 
     def pairs(join):
         return rows(join(left, right, on).select("id", "r_id", "name"))
 
-    both = [("1001", "1001", "sensor_1")] * 2
-    alone_l, alone_r = ("1002", None, None), (None, "1005", "s_2")
+    both = [("p", "p", "gauge")] * 2
+    alone_l, alone_r = ("q", None, None), (None, "u", "none")
     assert pairs(joins.inner_stream_join) == both
     assert pairs(joins.left_stream_join) == [*both, alone_l]
     assert pairs(joins.right_stream_join) == [*both, alone_r]
@@ -78,21 +77,25 @@ def test_within_bound(spark):
     assert rows(joined.select("name")) == [("near",)]
 
 
-def test_lookup_drops_misses_and_checks_size(spark):
+def test_lookup_drops_misses(spark):
     facts = spark.createDataFrame([("a",), ("z",), (None,)], "code string")
     dic = spark.createDataFrame([("a", "A"), ("b", "B")], "dic_code string, dic_name string")
     assert rows(joins.lookup_join(facts, joins.lookup_entries(dic), "code", "name")) == [("a", "A")]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        def plan(entries):
-            joined = joins.lookup_join(facts, entries, "code", "name")
-            return joined._jdf.queryExecution().executedPlan().toString()
 
-        assert "BroadcastHashJoin" in plan(joins.broadcast_if_small(dic))
-        assert "BroadcastHashJoin" not in plan(joins.broadcast_if_small(dic, max_rows=1))
-        assert "BroadcastHashJoin" not in plan(joins.broadcast_if_small(dic, max_bytes=3))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+def test_plans_are_made_without_a_job(spark):
+    """Lookups and rule joins neither count nor fetch while they are put together."""
+    from unittest import mock
+
+    facts = spark.createDataFrame([("a", {"id": "1"})], "table string, data map<string,string>")
+    dic = spark.createDataFrame([("a", "A")], "dic_code string, dic_name string")
+    rules = spark.createDataFrame(
+        [("a", "dim_a", "id", "id")], "source_table string, sink_table string, sink_columns string, sink_pk string")
+    kind = type(facts)
+    with mock.patch.object(kind, "count") as count, mock.patch.object(kind, "collect") as collect:
+        joins.lookup_join(facts, joins.lookup_entries(dic), "table", "name")
+        config.config_broadcast_join(facts, rules)
+    assert not count.called and not collect.called
 
 
 def test_latest_config(spark):
@@ -136,5 +139,3 @@ def test_fact_join_splits_a_busy_key(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-

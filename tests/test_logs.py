@@ -9,14 +9,14 @@ from tidemart.operators import applog, summaries
 from tidemart.plans import summary, traffic
 
 COMMON = {"ar": "1", "ch": "c", "is_new": "1", "mid": "m", "vc": "v"}
-START = {"common": COMMON, "start": {"entry": "icon", "loading_time": 5}, "ts": 1592100700000}
+START = {"common": COMMON, "start": {"entry": "widget", "loading_time": 5}, "ts": 1_700_000_000_000}
 PAGE = {
     "common": COMMON,
     "page": {"page_id": "home", "during_time": 7},
     "displays": [{"item": "1"}, {"item": "2", "ts": "old"}],
     "actions": [{"action_id": "get", "ts": "77"}],
     "err": {"error_code": 3},
-    "ts": 1592100700001,
+    "ts": 1_700_000_000_001,
 }
 
 
@@ -39,7 +39,7 @@ def test_routes(spark):
     assert by["error"]["displays"] and json.loads(by["error"]["err"]) == {"error_code": 3}
     assert by["page"] == {
         "common": COMMON, "page": PAGE["page"], "ts": PAGE["ts"]}
-    assert by["start"]["start"]["entry"] == "icon"
+    assert by["start"]["start"]["entry"] == "widget"
     assert by["action"]["ts"] == "77" and by["action"]["page_id"] == "home"
     shown = [v for k, v in out if k == "display"]
     assert {d["item"] for d in shown} == {"1", "2"}

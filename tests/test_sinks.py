@@ -3,6 +3,7 @@ import json
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tidemart.operators import config
 from tidemart.plans import dim
 from tidemart.session import scratch_dir
 from tidemart.sinks import writers
@@ -115,6 +116,38 @@ def test_dim_tables_follow_rules_and_batches(spark):
     assert rows(writers.read_dim(spark, root, shop)) == [("k'k", "2")]
 
 
+def test_dim_changes_set_only_their_columns(spark):
+    """Within a batch and between batches; a null that is sent is a value."""
+    root = scratch_dir(spark, "dim")
+    rule_text = [rule("shop", "dim_shop", "id,a,b,c", None, 1)]
+    write = dim.write_dims(root, lambda: sources.read_config_cdc(spark.createDataFrame(rule_text, "value string")))
+
+    def feed(*changes):
+        lines = [(json.dumps({"database": "m", "table": "shop", "type": "update", "ts": ts, "data": d}),) for ts, d in changes]
+        return sources.read_change_feed(spark.createDataFrame(lines, "value string"))
+
+    write(feed((1, {"id": "1", "a": "x", "b": "y", "c": "z"}), (2, {"id": "1", "b": "y2"})), 0)
+    write(feed((3, {"id": "1", "c": None}), (3, {"a": "keyless"})), 1)
+    shop = {"sink_table": "dim_shop", "sink_columns": "id,a,b,c", "sink_pk": "id"}
+    assert rows(writers.read_dim(spark, root, shop)) == [("1", "x", "y2", None)]
+    assert rows(spark.read.parquet(f"{root}/_keyless").select("data")) == [({"a": "keyless"},)]
+
+
+def test_rules_need_their_key_among_the_columns(spark):
+    """Rows of such a rule would all have the same, empty key."""
+    root = scratch_dir(spark, "dim")
+    texts = [rule("brand", "dim_brand", "name,logo", None, 1), rule("shop", "dim_shop", "id,x", None, 1)]
+    records = sources.read_config_cdc(spark.createDataFrame(texts, "value string"))
+    rules = dim.latest_config(records)
+    assert rows(config.lacks_key(rules).select("sink_table")) == [("dim_brand",)]
+    lines = [(json.dumps({"database": "m", "table": t, "type": "insert", "ts": 1, "data": {"id": str(i), "x": "v"}}),)
+             for t in ("brand", "shop") for i in range(5)]
+    dim.write_dims(root, lambda: records)(sources.read_change_feed(spark.createDataFrame(lines, "value string")), 0)
+    shop = {"sink_table": "dim_shop", "sink_columns": "id,x", "sink_pk": "id"}
+    assert writers.read_dim(spark, root, shop).count() == 5
+    assert spark.read.parquet(root).select("sink_table").distinct().count() == 1
+
+
 def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert spark.range(1).select(F.lit(1)).count() == 1

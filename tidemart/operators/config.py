@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.operators.changes import config_column_filter
-from tidemart.operators.joins import broadcast_if_small
 from tidemart.schemas import CONFIG_FIELDS
 
 DEFAULT_PK = "id"
@@ -29,12 +28,25 @@ def latest_config(records: DataFrame, order: str = "ts_ms") -> DataFrame:
 def config_broadcast_join(changes: DataFrame, rules: DataFrame) -> DataFrame:
     """Change records of configured tables, ``data`` cut to the configured columns.
 
-    Adds ``sink_table`` and ``sink_pk``. Records of other tables are dropped.
+    Adds ``sink_table``, ``sink_pk`` and ``sink_key``, the key's value, which is taken before the
+    cut. Records of other tables are dropped.
     """
     wanted = rules.select(
         F.col("source_table").alias("_source"), "sink_table", "sink_columns", "sink_pk"
     )
-    matched = changes.join(broadcast_if_small(wanted), F.col("table") == F.col("_source"))
-    return matched.withColumn(
+    matched = changes.join(wanted, F.col("table") == F.col("_source"))
+    keyed = matched.withColumn("sink_key", F.col("data")[F.col("sink_pk")])
+    return keyed.withColumn(
         "data", config_column_filter(F.col("sink_columns"), F.col("data"))
     ).drop("_source", "sink_columns")
+
+
+def has_key(rules: DataFrame) -> DataFrame:
+    """The rules whose key is one of their columns; a table cannot be made for the others."""
+    return rules.where(F.array_contains(F.split("sink_columns", ","), F.col("sink_pk")))
+
+
+def lacks_key(rules: DataFrame) -> DataFrame:
+    """The rules that ``has_key`` leaves out, to be reported."""
+    named = F.array_contains(F.split("sink_columns", ","), F.col("sink_pk"))
+    return rules.where(~F.coalesce(named, F.lit(False)))

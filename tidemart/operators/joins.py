@@ -10,29 +10,13 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.values import all_of, slice_start
 
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 * 1024 * 1024
 
+def lookup_entries(dictionary: DataFrame) -> DataFrame:
+    """The code and name of a dictionary, to be used in several lookups.
 
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Mark ``df`` for broadcast only after measuring it; a larger one joins by shuffle.
-
-    The measuring job stops at ``max_rows + 1`` rows.
+    No hint: the planner goes by the size of the stored table, and AQE by the size it meets.
     """
-    width = F.lit(0)
-    for name in df.columns:
-        width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
-    rows, size = (
-        df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    )
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
-
-
-def lookup_entries(dictionary: DataFrame) -> DataFrame:
-    """The code and name of a dictionary, measured once, to be used in several lookups."""
-    return broadcast_if_small(dictionary.select("dic_code", "dic_name"))
+    return dictionary.select("dic_code", "dic_name")
 
 
 def lookup_join(

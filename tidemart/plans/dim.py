@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.operators.changes import cdc_upserts_only
-from tidemart.operators.config import config_broadcast_join, latest_config
+from tidemart.operators.config import config_broadcast_join, has_key, latest_config
 from tidemart.sinks.writers import BatchWriter, ensure_dim_table, write_dim_routed
 
 
 def dim_app(feed: DataFrame, rule_records: DataFrame, order: str = "ts_ms") -> DataFrame:
-    """Inserted, updated and bootstrapped rows of configured tables, with their target table."""
-    return config_broadcast_join(cdc_upserts_only(feed), latest_config(rule_records, order))
+    """Inserted, updated and bootstrapped rows of configured tables, with their target table.
+
+    A rule whose key is not among its columns makes no table; ``config.lacks_key`` names these.
+    """
+    rules = has_key(latest_config(rule_records, order))
+    return config_broadcast_join(cdc_upserts_only(feed), rules)
 
 
 def make_dim_tables(spark: SparkSession, root: str, rules: DataFrame) -> None:

@@ -125,15 +125,17 @@ def order_pre_process(
         database=database,
     )
     # One event-time column between the joins: a stream allows no second one.
-    joined = inner_stream_join(
-        details, orders, [("order_id", "oi_id")], times=("et", "oi_et"), within=within
-    ).drop("oi_et")
+    # Orders come last: they multiply a line by its order's changes and make it wide. Activities
+    # and coupons meet the narrow lines on one key.
     joined = left_stream_join(
-        joined, activities, [("id", "oa_detail_id")], times=("et", "oa_et"), within=within
+        details, activities, [("id", "oa_detail_id")], times=("et", "oa_et"), within=within
     ).drop("oa_et")
     joined = left_stream_join(
         joined, coupons, [("id", "oc_detail_id")], times=("et", "oc_et"), within=within
     ).drop("oc_et")
+    joined = inner_stream_join(
+        joined, orders, [("order_id", "oi_id")], times=("et", "oi_et"), within=within
+    ).drop("oi_et")
     return joined.withColumnRenamed("source_type", "source_type_id").select(
         *PRE_PROCESS_COLUMNS, "version", "et"
     )
@@ -175,8 +177,13 @@ def pay_detail_suc(
     )
 
 
-def cart_add(feed: DataFrame, dictionary: DataFrame, database: str | None = None) -> DataFrame:
-    """Inserted cart rows, and by how much an update raised the number."""
+def cart_add(
+    feed: DataFrame, dictionary: DataFrame | None = None, database: str | None = None
+) -> DataFrame:
+    """Inserted cart rows, and by how much an update raised the number.
+
+    Without a dictionary there is no ``source_type_name``: streams add it per micro-batch.
+    """
     carts = cdc_filter(
         feed,
         "cart_info",
@@ -185,6 +192,9 @@ def cart_add(feed: DataFrame, dictionary: DataFrame, database: str | None = None
         database=database,
         where=is_increase("sku_num"),
     )
+    if dictionary is None:
+        coded = carts.withColumnRenamed("source_type", "source_type_id")
+        return coded.select(*[c for c in CART_COLUMNS if c != "source_type_name"])
     named = lookup_join(carts, lookup_entries(dictionary), "source_type", "source_type_name")
     return named.withColumnRenamed("source_type", "source_type_id").select(*CART_COLUMNS)
 

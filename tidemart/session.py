@@ -34,7 +34,7 @@ def configure(spark: SparkSession, tz: str = "UTC") -> SparkSession:
     """Runtime settings only, so it also works on a session made by somebody else.
 
     AQE re-plans joins from measured sizes and splits skewed join partitions. Shuffle
-    partitions are left to the cluster; only an untouched default is lowered in local mode.
+    partitions are left to the session.
     """
     conf = spark.conf
     conf.set("spark.sql.session.timeZone", tz)
@@ -42,8 +42,6 @@ def configure(spark: SparkSession, tz: str = "UTC") -> SparkSession:
     conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     for key, value in STATE_STORE.items():
         conf.set(key, value)
-    if is_local(spark) and conf.get("spark.sql.shuffle.partitions") == "200":
-        conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return spark
 
 

@@ -156,12 +156,25 @@ def dim_rows(routed: DataFrame, version: str) -> DataFrame:
     """Routed change records as keyed dimension rows."""
     return routed.select(
         "sink_table",
-        F.col("data")[F.col("sink_pk")].alias("pk"),
+        F.col("sink_key").alias("pk"),
         "data",
         F.col(version).cast("bigint").alias("version"),
     )
 
 
+def merged_dim_rows(rows: DataFrame) -> DataFrame:
+    """One row per table and key, each column with the value that came last.
+
+    A change sets only the columns it has; a column it does not have keeps its value.
+    """
+    cells = rows.select("sink_table", "pk", "version", F.explode("data").alias("name", "value"))
+    last = latest_by_key(cells, ["sink_table", "pk", "name"], ["version"])
+    entry = F.struct("name", "value")
+    return last.groupBy("sink_table", "pk").agg(
+        F.map_from_entries(F.collect_list(entry)).alias("data"), F.max("version").alias("version")
+    )
+
+
 def ensure_dim_table(spark: SparkSession, root: str, rule: Mapping[str, str]) -> T.StructType:
     """Make an empty table for a rule if there is none; gives the table's columns."""
     path = f"{root}/batch_id=-1/sink_table={rule['sink_table']}"
@@ -172,18 +185,25 @@ def ensure_dim_table(spark: SparkSession, root: str, rule: Mapping[str, str]) ->
 def write_dim_routed(root: str, version: str = "ts") -> BatchWriter:
     """Upsert each routed record into the table it names: one write for all tables.
 
-    The last change per (table, key) of the batch is kept, cut on the map side first.
+    The last value per (table, key, column) of the batch is kept, cut on the map side first.
+    Records without a key go to the folder ``_keyless``, which table reads pass over.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
-        rows = latest_by_key(dim_rows(df, version), ["sink_table", "pk"], ["version"])
-        write_routed(root, "sink_table")(rows, batch_id)
+        rows = dim_rows(df, version)
+        keyed = merged_dim_rows(rows.where("pk IS NOT NULL"))
+        write_routed(root, "sink_table")(keyed, batch_id)
+        keyless = rows.where("pk IS NULL")
+        keyless.write.mode("overwrite").parquet(_batch_path(f"{root}/_keyless", batch_id))
 
     return write
 
 
 def read_dim(spark: SparkSession, root: str, rule: Mapping[str, str]) -> DataFrame:
-    """The current rows of one dimension table. Only that table's folders are read."""
+    """The current rows of one dimension table. Only that table's folders are read.
+
+    Each column has the value of the newest change that set it.
+    """
     schema = T.StructType(
         [
             *DIM_ROW.fields,
@@ -192,5 +212,12 @@ def read_dim(spark: SparkSession, root: str, rule: Mapping[str, str]) -> DataFra
         ]
     )
     rows = spark.read.schema(schema).parquet(root).where(F.col("sink_table") == rule["sink_table"])
-    current = latest_by_key(rows, ["pk"], ["batch_id", "version"])
-    return current.select(*[F.col("data")[n].alias(n) for n in dim_schema(rule).names])
+    names = dim_schema(rule).names
+    order = F.struct("batch_id", "version")
+
+    def last(name: str):
+        is_set = F.map_contains_key("data", name)
+        newest = F.max_by(F.when(is_set, F.struct(F.col("data")[name].alias("v"))), F.when(is_set, order))
+        return newest["v"].alias(name)
+
+    return rows.groupBy("pk").agg(*[last(n) for n in names]).select(*names)

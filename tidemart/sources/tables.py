@@ -72,7 +72,7 @@ def read_lookup(
     jdbc: Mapping[str, str] | None = None,
     schema: T.StructType = DICTIONARY,
 ) -> DataFrame:
-    """The dictionary as a table. Read it per micro-batch to see changes of it."""
+    """The dictionary as a table. A stream sees its changes through ``runner.with_lookups``."""
     if jdbc is not None:
         return spark.read.format("jdbc").options(**jdbc).load().select(*schema.names)
     return spark.read.format(fmt).schema(schema).load(path)
@@ -87,17 +87,3 @@ def read_csv_lines(lines: DataFrame, schema: T.StructType, column: str = "value"
             for i, f in enumerate(schema.fields)
         ]
     )
-
-
-def spread(df: DataFrame, rows_per_task: int = 10_000) -> DataFrame:
-    """Use all cores on a small table stored in few blocks.
-
-    A table with at least as many read tasks as the cluster has cores is left alone, without
-    counting it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = df.rdd.getNumPartitions()
-    if tasks >= cores:
-        return df
-    wanted = min(cores, df.count() // rows_per_task + 1)
-    return df.repartition(wanted) if wanted > 1 else df

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemart.operators.joins import lookup_entries, lookup_join
+
 
 def run_available(
     df: DataFrame,
@@ -43,6 +45,28 @@ def run_batches(
     query.awaitTermination()
 
 
+def with_lookups(
+    write: Callable[[DataFrame, int], None],
+    read: Callable[[], DataFrame],
+    names: Mapping[str, str],
+    how: str = "inner",
+) -> Callable[[DataFrame, int], None]:
+    """Batch writer that adds dictionary names (``{code column: name column}``) before ``write``.
+
+    ``read`` gives the dictionary as it is now. It is called for each micro-batch, so codes that
+    came after the stream was started are found, and the join is planned by today's size. Stateful
+    joins go before, on the codes.
+    """
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        entries = lookup_entries(read())
+        for code, name in names.items():
+            df = lookup_join(df, entries, code, name, how)
+        write(df, batch_id)
+
+    return run
+
+
 def start(
     df: DataFrame,
     write: Callable[[DataFrame, int], None],

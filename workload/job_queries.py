@@ -120,14 +120,17 @@ def rename_constant(spark, d):
 
 @query(
     "read_change_feed",
-    f"""SELECT 'insert' AS type, {txt('o_orderkey')} AS id, {txt(f'o_orderkey + {BASE}')} AS ts,
-      CAST(o_orderkey + {BASE} AS BIGINT) AS second FROM orders""",
+    with_ctes(
+        f"SELECT type, id, {txt('version')} AS ts, CAST(version AS BIGINT) AS second, old_status FROM order_info",
+        "order_info",
+    ),
 )
 def read_change_feed(spark, d):
-    feed = a.change_feed(spark, d, "order_info").where("table = 'order_info' AND type = 'insert'")
-    read = sources.read_change_feed(a.feed_messages(feed))
+    """Inserts and updates, with what an update replaced, through their JSON text."""
+    read = sources.read_change_feed(a.feed_messages(a.change_feed(spark, d, "order_info")))
     second = F.unix_seconds("et").alias("second")
-    return read.where(F.col("pt").isNotNull()).select("type", field("id").alias("id"), "ts", second)
+    old = field("order_status", "old").alias("old_status")
+    return read.where(F.col("pt").isNotNull()).select("type", field("id").alias("id"), "ts", second, old)
 
 
 @query(
@@ -282,15 +285,14 @@ def left_stream_join(spark, d):
 
 @query(
     "right_stream_join",
-    f"SELECT {DETAIL_ID} AS id, {txt('o_orderkey')} AS oi_id"
+    f"SELECT CASE WHEN l_orderkey IS NOT NULL THEN {DETAIL_ID} END AS id, {txt('o_orderkey')} AS oi_id"
     " FROM lineitem RIGHT JOIN orders ON l_orderkey = o_orderkey",
 )
 def right_stream_join(spark, d):
     feed = a.change_feed(spark, d, "order_info", "order_detail")
     orders = _orders(feed, ("insert",))
     joined = joins.right_stream_join(_details(feed), orders, [("order_id", "oi_id")])
-    # A line without a partner has no id; the SQL side builds an empty text from its NULL parts.
-    return joined.select(F.coalesce("id", F.lit("")).alias("id"), "oi_id")
+    return joined.select("id", "oi_id")
 
 
 @query(
