@@ -319,7 +319,8 @@ def _pieces(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
 
 
 def window_ranges(docs: DataFrame, length: int) -> DataFrame:
-    """``(doc_id, th, text)`` -> ranges ``(doc_id, th, lo, hi)`` of starts of repeated strings."""
+    """``(doc_id, th, text)`` -> ``(doc_id, th, ranges)``, a row for each run of window starts that
+    has repeated strings, with ranges ``(lo, hi)`` of the places where these start."""
     width = length - min(GRAM, length) + 1
     found = anchors(docs, length)
     keys = (
@@ -333,7 +334,8 @@ def window_ranges(docs: DataFrame, length: int) -> DataFrame:
     first = F.shiftright("at", 16)
     count = F.col("at").bitwiseAND(F.lit(0xFFFF))
     # All runs of the anchor are copies of one piece: all their windows repeat.
-    copies = hits.filter("NOT mixed").select("doc_id", "th", first.alias("lo"), (first + count - 1).alias("hi"))
+    whole_run = F.struct(first.alias("lo"), (first + count - 1).alias("hi"))
+    copies = hits.filter("NOT mixed").select("doc_id", "th", F.array(whole_run).alias("ranges"))
     mixed = hits.filter("mixed")
     # Of each different piece one run is compared. All firsts come from the same row.
     distinct = mixed.groupBy("h", "d").agg(
@@ -360,11 +362,18 @@ def window_ranges(docs: DataFrame, length: int) -> DataFrame:
     whole = distinct.filter("times > 1").select(
         "h", "d", (width - 1 - F.col("off")).alias("a"), (width - 2 - F.col("off") + count).alias("b")
     )
+    # One row for each piece, however many ranges it has, so that the join makes no more rows than
+    # there are runs.
+    by_piece = (
+        shared.unionByName(whole)
+        .groupBy(F.col("h").alias("k"), F.col("d").alias("e"))
+        .agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
+    )
+    back = mixed.join(stored(by_piece, "ranges"), (F.col("h") == F.col("k")) & (F.col("d") == F.col("e")))
     # From columns back to places in the texts.
     low = first + F.col("off") - (width - 1)
-    back = mixed.join(shared.unionByName(whole).withColumnRenamed("h", "k").withColumnRenamed("d", "e"),
-                      (F.col("h") == F.col("k")) & (F.col("d") == F.col("e")))
-    return copies.union(back.select("doc_id", "th", (low + F.col("a")).alias("lo"), (low + F.col("b")).alias("hi")))
+    placed = F.transform("ranges", lambda r: F.struct((low + r["a"]).alias("lo"), (low + r["b"]).alias("hi")))
+    return copies.union(back.select("doc_id", "th", placed.alias("ranges")))
 
 
 def merged(ranges: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -413,7 +422,7 @@ def remove_repeats(
     by_doc = (
         window_ranges(texts, length)
         .groupBy("doc_id", "th")
-        .agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+        .agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
         .select(F.col("doc_id").alias("id"), F.col("th").alias("hash"), "ranges")
     )
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("hash"))
