@@ -8,7 +8,7 @@ from tidemart.plans import dim
 from tidemart.session import scratch_dir
 from tidemart.sinks import writers
 from tidemart.sources import tables as sources
-from tidemart.streaming.runner import run_batches, start, stream_of
+from tidemart.streaming.runner import run_batches, start, stream_of, with_lookups
 
 
 def frame(spark, data, schema="id string, v string, n long"):
@@ -148,6 +148,27 @@ def test_rules_need_their_key_among_the_columns(spark):
     assert spark.read.parquet(root).select("sink_table").distinct().count() == 1
 
 
+def test_lookups_see_a_growing_dictionary(spark):
+    """A code that comes between two micro-batches of one running stream is found."""
+    source, out, state, names = (scratch_dir(spark, n) for n in ("in", "out", "state", "names"))
+    schema = "dic_code string, dic_name string, parent_code string, create_time timestamp, operate_time timestamp"
+
+    def entry(code):
+        spark.createDataFrame([(code, code.upper(), "0", None, None)], schema).write.mode("append").parquet(names)
+
+    entry("a")
+    frame(spark, [("1", "a", 1)]).write.parquet(source)
+    write = with_lookups(writers.write_append(out), lambda: sources.read_lookup(spark, names), {"v": "name"})
+    running = start(stream_of(spark, source, "id string, v string, n long"), write, state, "1 second")
+    running.processAllAvailable()
+    entry("b")
+    frame(spark, [("2", "b", 2)]).write.mode("append").parquet(source)
+    running.processAllAvailable()
+    running.stop()
+    found = [json.loads(r[0]) for r in spark.read.text(out).select("value").collect()]
+    assert sorted((r["id"], r["name"]) for r in found) == [("1", "A"), ("2", "B")]
+
+
 def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert spark.range(1).select(F.lit(1)).count() == 1

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.times import DATE_TIME
 from tidemart.schemas import STRING_MAP
-from tidemart.session import configure
+from tidemart.session import configure, is_local
 from tidemart.sources.tables import with_times
 
 BASE_SECONDS = 1_704_067_200  # 2024-01-01 UTC
@@ -21,6 +21,10 @@ DATABASE = "mart"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
+    # These small tables on one machine: a state store for each of 200 partitions takes minutes.
+    partitions = "spark.sql.shuffle.partitions"
+    if is_local(spark) and spark.conf.get(partitions) == "200":
+        spark.conf.set(partitions, str(spark.sparkContext.defaultParallelism))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

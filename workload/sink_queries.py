@@ -94,6 +94,11 @@ def write_dim_routed(spark, d):
     feed = a.change_feed(spark, d, "customer", "supplier", "part", "nation", "region")
     write = dim.write_dims(root, lambda: sources.read_config_cdc(a.rule_messages(spark)))
     write(feed, 0)
+    return dim_tables(spark, root, rules)
+
+
+def dim_tables(spark, root, rules):
+    """All dimension tables as one."""
     detail = {"customer": "segment", "supplier": "nation", "part": "brand", "nation": None}
     parts = []
     for rule in rules.toLocalIterator():
@@ -139,6 +144,68 @@ def ensure_dim_table(spark, d):
     return changes.union_streams(*parts)
 
 
+@query(
+    "dim_partial_upsert",
+    f"""SELECT {txt('o_custkey')} AS id, max_by(o_orderpriority, o_orderkey) AS a,
+      max_by(o_orderstatus, o_orderkey) FILTER (o_orderkey % 2 = 0) AS b,
+      CAST(max(o_orderkey) FILTER (o_orderkey % 3 = 0) AS VARCHAR) AS c
+    FROM orders GROUP BY o_custkey""",
+)
+def dim_partial_upsert(spark, d):
+    """Customers' last orders: each change sets the columns it has, in two batches."""
+    root = scratch_dir(spark, "partial")
+    key = F.col("o_orderkey")
+
+    def entry(name, value):
+        return F.struct(F.lit(name).alias("k"), value.alias("v"))
+
+    entries = F.array(
+        entry("id", a.text_of(F.col("o_custkey"))),
+        entry("a", F.col("o_orderpriority")),
+        F.when(key % 2 == 0, entry("b", F.col("o_orderstatus"))),
+        F.when(key % 3 == 0, entry("c", a.text_of(key))),
+    )
+    routed = a.table(spark, d, "orders").select(
+        F.lit("dim_buyer").alias("sink_table"),
+        a.text_of(F.col("o_custkey")).alias("sink_key"),
+        F.map_from_entries(F.array_compact(entries)).alias("data"),
+        key.alias("ts"),
+    )
+    middle = routed.agg(F.percentile_approx("ts", 0.5)).first()[0]
+    write = writers.write_dim_routed(root)
+    write(routed.where(F.col("ts") <= middle), 0)
+    write(routed.where(F.col("ts") > middle), 1)
+    rule = {"sink_table": "dim_buyer", "sink_columns": "id,a,b,c", "sink_pk": "id"}
+    return writers.read_dim(spark, root, rule)
+
+
+@query(
+    "dim_key_outside_columns",
+    f"SELECT {txt('s_suppkey')} AS code, s_name AS name FROM supplier",
+)
+def dim_key_outside_columns(spark, d):
+    """A rule without its key among the columns makes no table; the other one keeps every row."""
+    root = scratch_dir(spark, "keys")
+    rules = spark.createDataFrame(
+        [
+            ("customer", "dim_customer", "name,segment", "id"),
+            ("supplier", "dim_supplier", "code,name", "code"),
+        ],
+        "source_table string, sink_table string, sink_columns string, sink_pk string",
+    )
+    rows = a.change_feed(spark, d, "customer", "supplier")
+    code = F.map_from_arrays(F.array(F.lit("code")), F.array(F.col("data")["id"]))
+    coded = rows.withColumn("data", F.map_concat("data", code))
+    routed = config.config_broadcast_join(changes.cdc_upserts_only(coded), config.has_key(rules))
+    writers.write_dim_routed(root)(routed, 0)
+    tables = [r["sink_table"] for r in config.has_key(rules).toLocalIterator()]
+    parts = [
+        writers.read_dim(spark, root, {"sink_table": t, "sink_columns": "code,name", "sink_pk": "code"})
+        for t in tables
+    ]
+    return changes.union_streams(*parts)
+
+
 SUMMARY_COLUMNS = ["stt", "edt", *summaries.TRAFFIC_KEYS, *summaries.MEASURES, "ts"]
 
 

@@ -11,16 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.values import field
-from tidemart.operators import changes, joins
+from tidemart.operators import changes, config, joins
 from tidemart.plans import dim, summary, trade, traffic
 from tidemart.schemas import CHANGE_RECORD
 from tidemart.session import scratch_dir
 from tidemart.sinks import writers
 from tidemart.sources import tables as sources
-from tidemart.streaming.runner import run_available, run_batches, stream_of
+from tidemart.streaming.runner import run_available, run_batches, stream_of, with_lookups
 from workload import adapters as a
 from workload import job_queries as jobs
 from workload import log_queries as logs
+from workload import sink_queries as sink_jobs
 from workload.oracle import with_ctes
 from workload.registry import ORACLES, query
 
@@ -273,29 +274,56 @@ def write_upsert_stream(spark, d):
 
 @query(
     "dim_app_stream",
-    "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CASE WHEN c_acctbal < 0"
-    " THEN lower(c_mktsegment) ELSE c_mktsegment END AS segment FROM customer",
+    ORACLES["write_dim_routed"],
 )
 def dim_app_stream(spark, d):
+    """All dimension tables, filled from the stream."""
     feed_path = feed_topic(spark, d, *jobs.DIM_TABLES)
     root, checkpoint = scratch_dir(spark, "dim"), scratch_dir(spark, "state-dim")
     rules = a.rule_messages(spark)
     write = dim.write_dims(root, lambda: sources.read_config_cdc(rules))
     run_batches(feed_of(spark, feed_path), write, checkpoint)
-    rule = {"sink_table": "dim_customer", "sink_columns": "id,name,segment", "sink_pk": "id"}
-    return writers.read_dim(spark, root, rule)
+    return sink_jobs.dim_tables(spark, root, config.latest_config(sources.read_config_cdc(rules)))
+
+
+@query("cart_add_new_code_stream", ORACLES["cart_add"])
+def cart_add_new_code_stream(spark, d):
+    """Carts in two runs; the dictionary gets the code of the second run's carts between them."""
+    dictionary = a.dictionary(spark, d)
+    carts = a.change_feed(spark, d, "cart_info")
+    late = F.col("data")["source_type"] == "R"
+    feed_path, names = scratch_dir(spark, "carts"), scratch_dir(spark, "names")
+    out, checkpoint = scratch_dir(spark, "cart-out"), scratch_dir(spark, "cart-state")
+    columns = CHANGE_RECORD.names
+
+    def run() -> None:
+        feed = sources.with_times(stream_of(spark, feed_path, CHANGE_RECORD))
+        coded = trade.cart_add(feed, database=a.DATABASE)
+        write = with_lookups(
+            lambda rows, n: rows.write.mode("overwrite").parquet(f"{out}/batch_id={n}"),
+            lambda: sources.read_lookup(spark, names),
+            {"source_type_id": "source_type_name"},
+        )
+        run_batches(coded, write, checkpoint)
+
+    carts.where(~late).select(*columns).write.parquet(feed_path)
+    dictionary.where("dic_code <> 'R'").write.parquet(names)
+    run()
+    dictionary.where("dic_code = 'R'").write.mode("append").parquet(names)
+    carts.where(late).select(*columns).write.mode("append").parquet(feed_path)
+    run()
+    return spark.read.parquet(out).select(*trade.CART_COLUMNS)
 
 
 @query(
     "read_stream_raw",
-    "SELECT md5(text) AS value FROM documents WHERE lang = 'en'"
-    " UNION ALL SELECT NULL FROM documents WHERE lang <> 'en'",
+    "SELECT CASE WHEN doc_id % 7 <> 0 THEN md5(text) END AS value FROM documents",
 )
 def read_stream_raw(spark, d):
-    """Texts as a stream; the ones of other languages stand for messages without a body."""
+    """Texts of all languages as a stream; every seventh stands for a message without a body."""
     documents = a.table(spark, d, "documents")
     path = topic(
-        spark, "text", documents.select(F.when(F.col("lang") == "en", F.col("text")).alias("value"))
+        spark, "text", documents.select(F.when(F.col("doc_id") % 7 != 0, F.col("text")).alias("value"))
     )
 
     def build():
