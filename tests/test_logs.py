@@ -36,14 +36,41 @@ def test_routes(spark):
     kinds = sorted(k for k, _ in out)
     assert kinds == ["action", "display", "display", "error", "page", "start"] and dirty == 1
     by = {k: v for k, v in out}
-    assert by["error"]["displays"] and json.loads(by["error"]["err"]) == {"error_code": 3}
+    assert by["error"] == PAGE
     assert by["page"] == {
         "common": COMMON, "page": PAGE["page"], "ts": PAGE["ts"]}
     assert by["start"]["start"]["entry"] == "widget"
     assert by["action"]["ts"] == "77" and by["action"]["page_id"] == "home"
     shown = [v for k, v in out if k == "display"]
     assert {d["item"] for d in shown} == {"1", "2"}
-    assert all(d["ts"] == str(PAGE["ts"]) and json.loads(d["common"])["mid"] == "m" for d in shown)
+    assert all(d["ts"] == PAGE["ts"] and d["common"] == COMMON for d in shown)
+
+
+def test_fields_of_no_layout(spark):
+    common = {**COMMON, "sid": "s", "flags": [1, None]}
+    page = {"page_id": "home", "during_time": 7.5, "source_type": "promo"}
+    record = {"common": common, "page": page, "displays": [{"item": 4, "at": {"x": 1}}, 5],
+              "actions": [{"n": 2}, None], "err": {"code": [1]}, "trace": {"id": 9}, "ts": "1700000000000"}
+    out, dirty = routed(spark, record)
+    by = dict(out)
+    assert dirty == 0 and by["error"] == record
+    assert by["page"] == {k: record[k] for k in ("common", "page", "trace", "ts")}
+    assert by["action"] == {"n": 2, "common": common, "page_id": "home"}
+    # An element that is no object gives no entry.
+    assert by["display"] == {"item": 4, "at": {"x": 1}, "common": common, "page_id": "home", "ts": record["ts"]}
+    assert sorted(k for k, _ in out) == ["action", "display", "error", "page"]
+    start = {"common": {"mid": "n"}, "start": {"first_open": True}, "ts": 5}
+    assert routed(spark, start) == ([("start", start)], 0)
+
+
+def test_dirty_lines(spark):
+    texts = ["", "x", "[1]", "7", "null", "{", '{"ts":1}', '{"common":{"mid":"m"}}',
+             '{"common":{"mid":null},"ts":1}', '{"common":"m","ts":1}', None,
+             '{"common":{"mid":"m"},"ts":1,"ts":2}']
+    lines = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "value string, seq long")
+    out, dirty = traffic.base_log(lines)
+    assert out.count() == 0
+    assert rows(dirty.select("value", "seq")) == sorted(((t, i) for i, t in enumerate(texts)), key=repr)
 
 
 def test_error_in_start_record(spark):

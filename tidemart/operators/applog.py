@@ -42,6 +42,84 @@ def split_log(logs: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def _as_map(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
+def open_records(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Log records with all fields they have, and the lines that are no records.
+
+    A record is a JSON object that has a visitor id and a time and repeats no key. It becomes
+    ``record``, a map of its fields; ``common`` (visitor id, mark) and ``ts`` are read out for the
+    visitor logic. Other columns of ``lines`` pass through.
+    """
+    rest = [c for c in lines.columns if c != column]
+    # A generator is evaluated once per row, so a text is parsed once.
+    once = F.explode(F.array(F.try_parse_json(F.col(column)))).alias("_v")
+    parsed = lines.select(*rest, F.col(column), once)
+
+    def get(path: str, kind: str) -> Column:
+        return F.try_variant_get("_v", path, kind)
+
+    mid, ts = get("$.common.mid", "string"), get("$.ts", "bigint")
+    good = _as_map(F.col("_v")).isNotNull() & mid.isNotNull() & ts.isNotNull()
+    common = F.struct(mid.alias("mid"), get("$.common.is_new", "string").alias("is_new"))
+    record = _as_map(F.col("_v")).alias("record")
+    valid = parsed.where(good).select(*rest, common.alias("common"), ts.alias("ts"), record)
+    dirty = parsed.where(~good).select(*rest, F.col(column))
+    return valid, dirty
+
+
+def route_open(logs: DataFrame) -> DataFrame:
+    """The five kinds of ``route_log`` from open records; every field keeps its value and type.
+
+    ``common.is_new`` of the row replaces that of the record.
+    """
+
+    def but(fields: Column, *names: str) -> Column:
+        return F.map_filter(fields, lambda k, v: ~k.isin(*names))
+
+    def there(name: str) -> Column:
+        value = F.col("_r")[name]
+        return value.isNotNull() & ~F.is_variant_null(value)
+
+    common, mark = _as_map(F.col("record")["common"]), F.col("common.is_new")
+    marked = F.map_concat(but(common, "is_new"), F.create_map(F.lit("is_new"), mark.cast("variant")))
+    common = F.to_variant_object(F.when(mark.isNull(), common).otherwise(marked))
+    record = F.map_concat(but(F.col("record"), "common"), F.create_map(F.lit("common"), common))
+    logs = logs.select(F.explode(F.array(record)).alias("_r"))
+
+    is_start = there("start")
+    page_id = F.try_variant_get(F.col("_r")["page"], "$.page_id", "variant")
+
+    def record_of(kind: str, fields: Column, when: Column) -> Column:
+        row = F.struct(F.lit(kind).alias("kind"), F.to_json(fields).alias("value"))
+        return F.when(when, F.array(row))
+
+    def entries(kind: str, array: str, **extra: Column) -> Column:
+        added = F.create_map(*(x for name, value in extra.items() for x in (F.lit(name), value)))
+        listed = F.try_variant_get(F.col("_r")[array], "$", "array<map<string,variant>>")
+        rows = F.transform(
+            F.filter(listed, lambda e: e.isNotNull()),
+            lambda e: F.struct(
+                F.lit(kind).alias("kind"),
+                F.to_json(F.map_concat(but(e, *extra), added)).alias("value"),
+            ),
+        )
+        return F.when(~is_start, rows)
+
+    shared = {"common": F.col("_r")["common"], "page_id": page_id}
+    parts = [
+        record_of("error", F.col("_r"), there("err")),
+        record_of("start", but(F.col("_r"), "err"), is_start),
+        entries("display", "displays", **shared, ts=F.col("_r")["ts"]),
+        entries("action", "actions", **shared),
+        record_of("page", but(F.col("_r"), "err", "displays", "actions", "start"), ~is_start),
+    ]
+    routed = F.flatten(F.array_compact(F.array(*parts)))
+    return logs.select(F.explode(routed).alias("r")).select("r.kind", "r.value")
+
+
 def route_log(logs: DataFrame) -> DataFrame:
     """The same five kinds as rows ``(kind, value)`` with JSON text, made in one pass.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.operators import visits
-from tidemart.operators.applog import route_log
+from tidemart.operators.applog import open_records, route_open
 from tidemart.operators.changes import split_valid_json
 from tidemart.schemas import APP_LOG
 from tidemart.sinks.writers import BatchWriter, write_routed
@@ -38,10 +38,11 @@ user_jump_detail = _by_kind(visits.user_jump, "user_jump_stream")
 def base_log(lines: DataFrame, tz: str = "UTC", column: str = "value") -> tuple[DataFrame, DataFrame]:
     """All log lines as routed records ``(kind, value)``, and the dirty lines.
 
-    ``lines`` has ``seq``, the position of a line in its source, next to the text.
+    ``lines`` has ``seq``, the position of a line in its source, next to the text. Records keep
+    all their fields.
     """
-    logs, dirty = valid_logs(lines, column)
-    return route_log(repair_is_new(logs, tz)), dirty
+    logs, dirty = open_records(lines, column)
+    return route_open(repair_is_new(logs, tz)), dirty
 
 
 def write_base_log(path: str) -> BatchWriter:

@@ -1,17 +1,21 @@
 """Keyed-state processors for ``transformWithStateInPandas``.
 
-Rows of a key arrive in chunks of bounded size and in no order. None of the processors holds
-more than one chunk in memory; what must wait lies in the state store on disk.
+Rows of a key arrive in chunks of bounded size and in no order. What must wait lies in the state
+store on disk; in memory the processors hold one chunk, the jump detector the rows of one visitor
+and second.
 """
 
 from __future__ import annotations
 
+import json
 from itertools import islice
 
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 CHUNK = 5000
+#: Seconds that are looked up one by one for the next row.
+NEAR = 64
 
 
 class FirstVisitRepair(StatefulProcessor):
@@ -99,10 +103,12 @@ class DailyFirst(StatefulProcessor):
 
 
 class JumpDetector(StatefulProcessor):
-    """State: the rows of one visitor and time slice that wait for their successor.
+    """State: the rows of one visitor and time slice that wait for their successor, by second.
 
-    A row is decided when the watermark is past its time plus the timeout; then every row that
-    could follow it in time has come. Decided rows leave the state.
+    A second is decided by its own timer, when the watermark is past its end plus the timeout;
+    then every row that could follow one of its rows in time has come. A timer reads the rows of
+    its second and the first row of the next second that has any. Timers come in the order of
+    time, so a second is not dropped before the ones ahead of it are decided.
     """
 
     def __init__(self, timeout_ms: int):
@@ -110,46 +116,62 @@ class JumpDetector(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._rows = handle.getListState(
-            "rows", "ts long, seq long, is_start boolean, payload string"
+        self._heads = handle.getMapState(
+            "heads", "second long", "parts long, ts long, seq long, is_start boolean"
         )
+        self._rows = handle.getMapState("rows", "second long, part long", "rows string")
 
     def handleInputRows(self, key, rows, timerValues):
-        deadlines = set()
         for chunk in rows:
-            part = chunk[["ts", "seq", "is_start", "payload"]]
-            part = part.astype({"payload": object}).where(part.notna(), None)
-            self._rows.appendList(
-                [(int(t), int(s), bool(b), p) for t, s, b, p in part.itertuples(index=False)]
-            )
-            # One timer per second is enough, and keeps timers few.
-            deadlines.update(((chunk["ts"] + self._timeout) // 1000 * 1000 + 1000).tolist())
-        for deadline in deadlines:
-            self._handle.registerTimer(int(deadline))
+            for second, group in chunk.groupby(chunk["ts"] // 1000):
+                columns = (group[c] for c in ("ts", "seq", "is_start", "payload"))
+                held = [
+                    (int(t), int(s), bool(b), p if isinstance(p, str) else None)
+                    for t, s, b, p in zip(*columns)
+                ]
+                second, parts, first = int(second), 0, min(r[:3] for r in held)
+                known = self._heads.getValue((second,))
+                if known is None:
+                    self._handle.registerTimer((second + 1) * 1000 + self._timeout)
+                else:
+                    parts, first = known[0], min(first, tuple(known[1:]))
+                self._rows.updateValue((second, parts), (json.dumps(held),))
+                self._heads.updateValue((second,), (parts + 1, *first))
         yield pd.DataFrame({"reason": [], "payload": []}, dtype=object)
 
+    def _first_after(self, second: int):
+        """The first row after a second, if it may lie within the timeout of one of its rows."""
+        last = second + 1 + self._timeout // 1000
+        near = min(last, second + NEAR)
+        for later in range(second + 1, near + 1):
+            head = self._heads.getValue((later,))
+            if head is not None:
+                return tuple(head[1:])
+        if near == last:
+            return None
+        # A gap that long means few seconds with rows.
+        later = min((k[0] for k in self._heads.keys() if k[0] > near), default=None)
+        return None if later is None else tuple(self._heads.getValue((later,))[1:])
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        waiting = sorted(self._rows.get(), key=lambda r: (r[0], r[1]))
-        settled = timerValues.getCurrentWatermarkInMs() - self._timeout
-        reasons, payloads, done = [], [], 0
-        for i, (ts, _, is_start, payload) in enumerate(waiting):
-            if ts > settled:
-                break
-            done = i + 1
+        second = (expiredTimerInfo.getExpiryTimeInMs() - self._timeout) // 1000 - 1
+        held = []
+        for part in range(self._heads.getValue((second,))[0]):
+            held += json.loads(self._rows.getValue((second, part))[0])
+            self._rows.removeKey((second, part))
+        held.sort(key=lambda r: (r[0], r[1]))
+        reasons, payloads = [], []
+        for i, (ts, _, is_start, payload) in enumerate(held):
             if payload is None or not is_start:
                 continue
-            follower = waiting[i + 1] if i + 1 < len(waiting) else None
+            follower = held[i + 1] if i + 1 < len(held) else self._first_after(second)
             if follower is None or follower[0] - ts >= self._timeout:
                 reasons.append("timeout")
                 payloads.append(payload)
             elif follower[2]:
                 reasons.append("match")
                 payloads.append(payload)
-        if done:
-            if done < len(waiting):
-                self._rows.put([tuple(r) for r in waiting[done:]])
-            else:
-                self._rows.clear()
+        self._heads.removeKey((second,))
         yield pd.DataFrame({"reason": reasons, "payload": payloads}, dtype=object)
 
     def close(self) -> None:

@@ -560,6 +560,29 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(bad)
 
 
+def open_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as log texts with fields, types and nesting that no fixed layout has, and as objects
+    without a visitor."""
+    pages = page_log(spark, sf_dir)
+    seq = F.col("seq")
+    view = F.struct(
+        F.col("page.page_id").alias("page_id"),
+        F.lit("promo").alias("source_type"),
+        (seq + 0.5).alias("during_time"),
+    )
+    record = F.struct(
+        F.struct("common.mid", "common.is_new", F.concat(F.lit("s"), seq).alias("sid")).alias("common"),
+        view.alias("page"),
+        F.array(F.struct(seq.alias("item"), F.lit("old").alias("ts"))).alias("displays"),
+        F.when(F.col("page.page_id") == "error", F.struct(seq.alias("error_code"))).alias("err"),
+        F.struct(seq.alias("id")).alias("trace"),
+        F.col("ts").cast("string").alias("ts"),
+    )
+    good = pages.select(F.to_json(record).alias("value"), "seq")
+    bad = pages.select(F.to_json(F.struct("seq")).alias("value"), (-1 - seq).alias("seq"))
+    return good.unionByName(bad)
+
+
 def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as searched keywords, one per second, and all events, as page maps."""
     documents = table(spark, sf_dir, "documents")

@@ -127,6 +127,51 @@ def base_log(spark, d):
     return _json_fields(routed)
 
 
+_OPEN = "'s' || seq AS sid, 'promo' AS source_type, CAST(seq + 0.5 AS DOUBLE) AS during_time"
+
+
+@query(
+    "base_log_open_fields",
+    with_ctes(
+        f"""SELECT 'error' AS kind, mid, is_new, {_OPEN}, seq AS code, NULL::BIGINT AS item, seq AS trace, ts
+          FROM repaired WHERE page_id = 'error'
+        UNION ALL SELECT 'page', mid, is_new, {_OPEN}, NULL, NULL, seq, ts FROM repaired
+        UNION ALL SELECT 'display', mid, is_new, 's' || seq, NULL, NULL, NULL, seq, NULL, ts FROM repaired""",
+        "repaired",
+    ),
+)
+def base_log_open_fields(spark, d):
+    """Fields that no layout names, error objects and fractional numbers come through."""
+    routed, _ = traffic.base_log(a.open_log_lines(spark, d))
+
+    def get(path):
+        return F.get_json_object("value", path)
+
+    return routed.select(
+        "kind",
+        get("$.common.mid").alias("mid"),
+        get("$.common.is_new").alias("is_new"),
+        get("$.common.sid").alias("sid"),
+        get("$.page.source_type").alias("source_type"),
+        get("$.page.during_time").cast("double").alias("during_time"),
+        get("$.err.error_code").cast("bigint").alias("code"),
+        get("$.item").cast("bigint").alias("item"),
+        get("$.trace.id").cast("bigint").alias("trace"),
+        get("$.ts").cast("bigint").alias("ts"),
+    )
+
+
+@query(
+    "base_log_dirty",
+    "SELECT md5('{\"seq\":' || event_id || '}') AS text FROM events"
+    " UNION ALL SELECT md5(text) FROM documents",
+)
+def base_log_dirty(spark, d):
+    lines = a.open_log_lines(spark, d).unionByName(a.log_lines(spark, d))
+    _, dirty = traffic.base_log(lines)
+    return dirty.select(F.md5("value").alias("text"))
+
+
 @query("repair_is_new", with_ctes(f"SELECT {columns(PAGE_COLUMNS)} FROM repaired", "repaired"))
 def repair_is_new(spark, d):
     return flat(visits.repair_is_new(a.page_log(spark, d))).select(*PAGE_COLUMNS)

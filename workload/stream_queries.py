@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.values import field
 from tidemart.operators import changes, config, joins
-from tidemart.plans import dim, summary, trade, traffic
+from tidemart.plans import dim, members, summary, trade, traffic
 from tidemart.schemas import CHANGE_RECORD
 from tidemart.session import scratch_dir
 from tidemart.sinks import writers
@@ -219,9 +219,64 @@ def left_stream_join_stream(spark, d):
     return out.where(~F.col("id").startswith("flush-"))
 
 
+@query("left_left_join_stream", ORACLES["left_stream_join"])
+def left_left_join_stream(spark, d):
+    """Lines with their activity and then their coupon, each if there is one."""
+    tables = ("order_detail", "order_detail_activity", "order_detail_coupon")
+    path = feed_topic(spark, d, *tables)
+
+    def build():
+        feed = feed_of(spark, path)
+        link = field("order_detail_id")
+        joined = changes.cdc_filter(feed, "order_detail", ["id"], keep=["et"])
+        for table, key, value in (
+            ("order_detail_activity", "oa", "activity_id"),
+            ("order_detail_coupon", "oc", "coupon_id"),
+        ):
+            time = F.col("et").alias(f"{key}_et")
+            other = changes.cdc_filter(feed, table, [link.alias(f"{key}_id"), value, time])
+            joined = joins.left_stream_join(
+                joined, other, [("id", f"{key}_id")], times=("et", f"{key}_et"), within="5 SECONDS"
+            ).drop(f"{key}_et")
+        return joined.select("id", "activity_id", "coupon_id")
+
+    out = spark.read.parquet(drain(spark, "left-left", build, flush_feed(spark, path, tables)))
+    return out.where(~F.col("id").startswith("flush-"))
+
+
 WITHIN = "30 MINUTES"
 
 
+@query("order_refund_stream", ORACLES["order_refund"])
+def order_refund_stream(spark, d):
+    path = feed_topic(spark, d, "order_refund_info", "order_info")
+    dictionary = a.dictionary(spark, d)
+
+    def build():
+        return trade.order_refund(feed_of(spark, path), dictionary, within=WITHIN)
+
+    return spark.read.parquet(drain(spark, "refund", build)).drop("row_op_ts")
+
+
+@query("refund_pay_suc_stream", ORACLES["refund_pay_suc"])
+def refund_pay_suc_stream(spark, d):
+    path = feed_topic(spark, d, "order_refund_info", "refund_payment", "order_info")
+    dictionary = a.dictionary(spark, d)
+
+    def build():
+        return trade.refund_pay_suc(feed_of(spark, path), dictionary, within=WITHIN)
+
+    return spark.read.parquet(drain(spark, "refund-pay", build)).drop("row_op_ts")
+
+
+@query("comment_stream", ORACLES["comment"])
+def comment_stream(spark, d):
+    path = feed_topic(spark, d, "comment_info")
+    dictionary = a.dictionary(spark, d)
+    out = drain(spark, "comment", lambda: members.comment(feed_of(spark, path), dictionary))
+    return spark.read.parquet(out)
+
+
 def pre_process_topic(spark, d) -> tuple[str, str]:
     path = feed_topic(spark, d, *jobs.ORDER_TABLES, "payment_info")
     dictionary = a.dictionary(spark, d)
@@ -239,6 +294,20 @@ def order_pre_process_stream(spark, d):
     return spark.read.parquet(out).select(*jobs.PRE_VISIBLE, old, "version")
 
 
+@query("order_detail_stream", ORACLES["order_detail"])
+def order_detail_stream(spark, d):
+    _, lines = pre_process_topic(spark, d)
+    out = drain(spark, "detail", lambda: trade.order_detail(listen(spark, lines)))
+    return spark.read.parquet(out).drop("et")
+
+
+@query("cancel_detail_stream", ORACLES["cancel_detail"])
+def cancel_detail_stream(spark, d):
+    _, lines = pre_process_topic(spark, d)
+    out = drain(spark, "cancel", lambda: trade.cancel_detail(listen(spark, lines)))
+    return spark.read.parquet(out)
+
+
 @query("pay_detail_suc_stream", ORACLES["pay_detail_suc"])
 def pay_detail_suc_stream(spark, d):
     """Payments met with order lines from the topic of the job before."""
