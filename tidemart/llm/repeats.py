@@ -358,22 +358,20 @@ def window_ranges(docs: DataFrame, length: int) -> DataFrame:
         .select(F.inline("rows"))
     )
     shared = compared.filter("digest IS NULL").select("h", "d", "a", "b").union(classes)
-    # A piece that occurs several times repeats as a whole.
-    whole = distinct.filter("times > 1").select(
-        "h", "d", (width - 1 - F.col("off")).alias("a"), (width - 2 - F.col("off") + count).alias("b")
+    same = (F.col("h") == F.col("k")) & (F.col("d") == F.col("e"))
+    # A piece that occurs several times repeats as a whole: its runs need no ranges.
+    several = distinct.filter("times > 1").select(F.col("h").alias("k"), F.col("d").alias("e"))
+    again = mixed.join(several, same).select("doc_id", "th", F.array(whole_run).alias("ranges"))
+    # A piece that occurs once has its place beside it. One row for each piece, however many ranges
+    # it has, so that the join makes no more rows than there are pieces.
+    by_piece = shared.groupBy(F.col("h").alias("k"), F.col("d").alias("e")).agg(
+        F.collect_set(F.struct("a", "b")).alias("ranges")
     )
-    # One row for each piece, however many ranges it has, so that the join makes no more rows than
-    # there are runs.
-    by_piece = (
-        shared.unionByName(whole)
-        .groupBy(F.col("h").alias("k"), F.col("d").alias("e"))
-        .agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
-    )
-    back = mixed.join(stored(by_piece, "ranges"), (F.col("h") == F.col("k")) & (F.col("d") == F.col("e")))
+    back = distinct.filter("times = 1").join(stored(by_piece, "ranges"), same)
     # From columns back to places in the texts.
     low = first + F.col("off") - (width - 1)
     placed = F.transform("ranges", lambda r: F.struct((low + r["a"]).alias("lo"), (low + r["b"]).alias("hi")))
-    return copies.union(back.select("doc_id", "th", placed.alias("ranges")))
+    return copies.union(again).union(back.select("doc_id", "th", placed.alias("ranges")))
 
 
 def merged(ranges: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
