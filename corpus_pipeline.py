@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import leaks, mixing, quality, repeats, simhash
+from tidemart.llm import leaks, mixing, quality, repeats, similar
 from tidemart.llm.tables import stored
 
 
@@ -26,12 +26,11 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies.
+    """Keeps one document of each group of texts whose five-word shingles are similar at 0.8 or more.
 
-    Fingerprints of five-word shingles that differ in at most 3 of 64 bits: stricter than a shingle
-    similarity of 0.8.
+    Long fingerprints measure the similarity and decide; see the module for their reach.
     """
-    return simhash.keep_one(docs, words=5, max_bits=3)
+    return similar.keep_one(docs, words=5, similarity=0.8)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,126 @@
+"""Long fingerprints, and groups by shingle similarity against the similarity itself."""
+
+import random
+
+import numpy as np
+import pytest
+from conftest import rows
+
+from tidemart.llm import similar, simhash
+
+WORDS = [f"w{i}" for i in range(3000)]
+
+
+def shingles(text):
+    found = text.lower().split()
+    return {tuple(found[i : i + 5]) for i in range(len(found) - 4)}
+
+
+def changed(text, count, rng):
+    found = text.split()
+    for at in rng.sample(range(len(found)), count):
+        found[at] = rng.choice(WORDS)
+    return " ".join(found)
+
+
+@pytest.mark.parametrize("text", [None, "", " \n", "one", "One TWO", "a b c d e f g", "x " * 900])
+def test_starts_with_the_short_fingerprint(text):
+    made = similar.long_fingerprint(text, words=5)
+    assert len(made) == 64
+    assert int.from_bytes(made[:8], "little") == simhash.fingerprint(text, words=5)
+
+
+def test_a_long_text_is_counted_in_parts(monkeypatch):
+    text = " ".join(random.Random(1).choices(WORDS, k=5_000))
+    whole = similar.long_fingerprint(text)
+    monkeypatch.setattr(similar, "ROWS", 64)
+    monkeypatch.setattr(simhash, "CHUNK", 1000)
+    assert similar.long_fingerprint(text) == whole
+
+
+def test_bits_differ_as_the_similarity_says():
+    rng = random.Random(2)
+    text = " ".join(rng.choices(WORDS, k=4000))
+    for count in (20, 80, 200):
+        other = changed(text, count, rng)
+        a, b = shingles(text), shingles(other)
+        expected = similar.differing(len(a & b) / len(a | b)) * 512
+        x, y = (int.from_bytes(similar.long_fingerprint(t), "little") for t in (text, other))
+        assert abs((x ^ y).bit_count() - expected) < 5 * (expected * 0.9) ** 0.5
+
+
+def test_blocks_hold_the_bits():
+    rng = random.Random(3)
+    base = rng.randbytes(64)
+    flipped = (int.from_bytes(base, "little") ^ 1 << 100).to_bytes(64, "little")
+    a, b = similar.blocks([base, flipped])
+    assert len(a) == 63 and [k >> 32 for k in a.tolist()] == list(range(63))
+    # One bit lies in one block of each cut at most.
+    assert 60 <= int((a == b).sum()) <= 63
+
+
+def test_tree_joins_what_pairs_join():
+    rng = np.random.default_rng(4)
+    centres = rng.integers(0, 1 << 63, (20, 2), dtype=np.uint64)
+    values = np.repeat(centres, 15, axis=0)
+    values[:, 0] ^= np.uint64(1) << rng.integers(0, 64, len(values), dtype=np.uint64)
+    values[:, 1] ^= np.uint64(1) << rng.integers(0, 64, len(values), dtype=np.uint64)
+    rng.shuffle(values)
+    parent = similar.tree(values, 4)
+    distance = np.bitwise_count(values[:, None] ^ values[None]).sum(axis=2)
+    reached = np.flatnonzero(parent >= 0)
+    assert (distance[reached, parent[reached]] <= 4).all()
+    assert (parent < 0).sum() == 20
+
+
+def test_distance(spark):
+    rng = random.Random(5)
+    pairs = [(rng.randbytes(64), rng.randbytes(64)) for _ in range(30)] + [(bytes(64), b"\xff" * 64)]
+    df = spark.createDataFrame([(bytearray(x), bytearray(y)) for x, y in pairs], "x binary, y binary")
+    got = [r[0] for r in df.select(similar._distance("x", "y")).collect()]
+    assert got == [(int.from_bytes(x, "big") ^ int.from_bytes(y, "big")).bit_count() for x, y in pairs]
+
+
+@pytest.mark.parametrize("dense", [similar.DENSE, 8])
+def test_groups(spark, monkeypatch, dense):
+    """Near copies at 0.87 and more meet, a crowd around one text too; texts with one passage in
+    common, and unrelated ones, stay apart."""
+    monkeypatch.setattr(similar, "DENSE", dense)
+    rng = random.Random(6)
+    texts, family = [], []
+    for k in range(25):
+        base = " ".join(rng.choices(WORDS, k=400))
+        for text in [base, base.upper(), changed(base, 1, rng), changed(base, 3, rng)]:
+            texts.append(text)
+            family.append(k)
+    base = " ".join(rng.choices(WORDS, k=500))
+    texts += [changed(base, 2, rng) for _ in range(120)]
+    family += [100] * 120
+    passage = " ".join(rng.choices(WORDS, k=80))
+    for k in range(60):
+        texts.append(" ".join([*rng.choices(WORDS, k=100), passage, *rng.choices(WORDS, k=60)]))
+        family.append(200 + k)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in similar.similar_documents(df).collect()}
+    first = {}
+    for i, k in enumerate(family):
+        first.setdefault(k, i)
+    assert found == {i: first[k] for i, k in enumerate(family)}
+
+
+def test_odd_rows_and_empty_tables(spark):
+    long_text = "word " * 50_000
+    data = [
+        (1, "", "a"), (2, None, "b"), (3, "  ", None), (4, "tiny", "x"), (5, "Tiny", "x"),
+        (6, "two words", "x"), (None, "tiny", "x"), (None, None, "x"), (7, long_text, "x"),
+        (8, long_text, "x"), (9, "other words here", "x"), (9, "other words here", "x"),
+    ]
+    df = spark.createDataFrame(data, "doc_id long, text string, full string")
+    found = rows(similar.similar_documents(df).select("doc_id", "component_id"))
+    expected = [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 6), (None, 4), (None, 1), (7, 7), (8, 7), (9, 9), (9, 9)]
+    assert found == sorted(expected, key=repr)
+    kept = similar.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 0, 1, 4, 6, 7, 9]
+    assert similar.similar_documents(df.limit(0)).count() == 0
+    assert similar.keep_one(df.limit(0)).count() == 0

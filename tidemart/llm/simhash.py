@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -22,29 +22,36 @@ DENSE = 2048
 CHUNK = 1 << 16
 
 
-def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
-    """A bit is 1 if it is set in over half of the XXH64 values of the word shingles.
+def shingle_hashes(text: str | None, words: int, seed: int) -> Iterator[np.ndarray]:
+    """XXH64 values of the word shingles, CHUNK at a time; nothing for a text without words.
 
-    Repeats count. A text shorter than a shingle is one shingle; without words the result is 0.
+    A text shorter than a shingle is one shingle.
     """
     found = (text or "").encode("utf-8", "replace").lower().split()
     if not found:
-        return 0
+        return
     joined = b" ".join(found)
     lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
     ends = np.cumsum(lengths + 1) - 1
     starts = ends - lengths
     words = min(words, len(found))
     first, last = starts[: len(found) - words + 1], ends[words - 1 :]
-    ones = np.zeros(BITS, dtype=np.int64)
     for at in range(0, len(first), CHUNK):
         spans = zip(first[at : at + CHUNK].tolist(), last[at : at + CHUNK].tolist(), strict=True)
-        hashes = np.array(
-            [xxhash.xxh64_intdigest(joined[a:b], seed) for a, b in spans], dtype="<u8"
-        )
+        yield np.array([xxhash.xxh64_intdigest(joined[a:b], seed) for a, b in spans], dtype="<u8")
+
+
+def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
+    """A bit is 1 if it is set in over half of the XXH64 values of the word shingles.
+
+    Repeats count. A text shorter than a shingle is one shingle; without words the result is 0.
+    """
+    ones, count = np.zeros(BITS, dtype=np.int64), 0
+    for hashes in shingle_hashes(text, words, seed):
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
-    majority = (2 * ones > len(first)).astype(np.uint8)
+        count += len(hashes)
+    majority = (2 * ones > count).astype(np.uint8)
     return int(np.packbits(majority, bitorder="little").view("<u8")[0])
 
 
@@ -230,13 +237,18 @@ def near_duplicates(
     texts = narrow(docs, doc_id=id_col, text=text_col)
     marked = stored(fingerprints(texts, words, seed), "fingerprints")
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(close_links(distinct.select("fp"), max_bits))
+    return named(marked, distinct, close_links(distinct.select("fp"), max_bits))
+
+
+def named(marked: DataFrame, distinct: DataFrame, links: DataFrame) -> DataFrame:
+    """``(doc_id, fp)``, ``(fp, least)`` and links of ``fp`` -> ``(doc_id, fp, component_id)``."""
+    roots = components(links)
     placed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     first = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = placed.join(first, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    ids = placed.join(first, "root").select("fp", "component_id")
+    return marked.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
 def hexadecimal(fp: Column) -> Column:
@@ -249,8 +261,12 @@ def keep_one(docs: DataFrame, words: int = 5, max_bits: int = 3) -> DataFrame:
     Rows with a null id are not compared and stay. Of rows that repeat the smallest id, one stays.
     Columns stay as they are.
     """
+    return first_of_groups(docs, lambda known: near_duplicates(known, words=words, max_bits=max_bits))
+
+
+def first_of_groups(docs: DataFrame, grouped: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows whose id is the ``component_id`` that ``grouped`` gives, and rows with a null id."""
     known = docs.filter("doc_id IS NOT NULL")
-    groups = near_duplicates(known, words=words, max_bits=max_bits)
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    kept = grouped(known).filter("doc_id = component_id").select("doc_id").distinct()
     first = known.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return first.unionByName(docs.filter("doc_id IS NULL"))

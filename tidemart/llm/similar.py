@@ -1,0 +1,266 @@
+"""SimHash for a shingle similarity: long fingerprints, blocks, and a check of the Hamming distance.
+
+Two texts whose shingle sets have similarity ``s`` (Jaccard) are at cosine ``2s / (1 + s)`` if they
+are about equally long, and each bit of their fingerprints differs with the probability ``angle/pi``:
+0.15 for 0.8. 64 bits can neither tell 0.8 from 0.6 nor leave a block of useful width untouched. So
+a fingerprint here has 512 bits, cut three times, in different orders, into 21 blocks of 24 bits.
+Pairs that share a block are compared, and linked if their whole fingerprints differ in few bits.
+
+A pair at similarity 0.9 shares a block with a probability above 0.999, one at 0.85 with 0.9, one at
+exactly 0.8 with 0.7.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidemart.llm import simhash
+from tidemart.llm.tables import join_split, narrow, stored
+
+#: 64-bit words of a fingerprint.
+LONGS = 8
+BITS = 64 * LONGS
+#: Bits of a block: unrelated texts share one block in 2^24.
+WIDTH = 24
+#: How often the bits are cut into blocks, each time in another order.
+CUTS = 3
+#: A bucket with more fingerprints than this is compared in parts of about this size.
+DENSE = 1024
+#: Shingles whose bits are counted at once.
+ROWS = 1 << 14
+
+_ODD = [0x9E3779B97F4A7C15 * (2 * k + 1) & ((1 << 64) - 1) for k in range(LONGS)]
+
+
+def differing(similarity: float) -> float:
+    """The share of bits that differ between two texts of that shingle similarity."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def most_bits(similarity: float, bits: int, deviations: float) -> int:
+    """Differing bits to allow: the expected number and so many standard deviations more."""
+    p = differing(similarity)
+    return int(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
+
+
+def _spread(hashes: np.ndarray) -> np.ndarray:
+    """Each 64-bit value and seven more that are mixed from it: a row of LONGS words."""
+    out = np.empty((len(hashes), LONGS), dtype="<u8")
+    out[:, 0] = hashes
+    for k in range(1, LONGS):
+        mixed = hashes * np.uint64(_ODD[k])
+        mixed ^= mixed >> np.uint64(31)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(29)
+        out[:, k] = mixed
+    return out
+
+
+def long_fingerprint(text: str | None, words: int = 5, seed: int = 42) -> bytes:
+    """64 bytes: a bit is 1 if it is set in over half of the shingles' spread hashes.
+
+    The first eight are ``simhash.fingerprint`` of the text, low byte first. No words: all zero.
+    """
+    ones, count = np.zeros(BITS, dtype=np.int64), 0
+    for hashes in simhash.shingle_hashes(text, words, seed):
+        count += len(hashes)
+        for at in range(0, len(hashes), ROWS):
+            spread = _spread(hashes[at : at + ROWS])
+            bits = np.unpackbits(spread.view(np.uint8), axis=1, bitorder="little")
+            ones += bits.sum(axis=0, dtype=np.uint16)
+    return np.packbits((2 * ones > count).astype(np.uint8), bitorder="little").tobytes()
+
+
+def long_fingerprints(docs: DataFrame, words: int = 5, seed: int = 42) -> DataFrame:
+    """``(doc_id, text)`` -> ``(doc_id, fp, full)``: the first 64 bits as a long, and all of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [long_fingerprint(t.as_py(), words, seed) for t in batch.column("text")]
+            first = np.array([int.from_bytes(m[:8], "little") for m in made], dtype=np.uint64)
+            columns = [batch.column("doc_id"), pa.array(first.view(np.int64)), pa.array(made, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "full"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long, full binary")
+
+
+def blocks(fulls: list[bytes]) -> np.ndarray:
+    """A row for each fingerprint, with the block's number and content in one number per block."""
+    bits = np.unpackbits(np.frombuffer(b"".join(fulls), dtype=np.uint8).reshape(-1, BITS // 8), axis=1)
+    count = BITS // WIDTH
+    weights = 1 << np.arange(WIDTH, dtype=np.int64)
+    out = []
+    for cut in range(CUTS):
+        order = np.random.default_rng(cut).permutation(BITS)[: count * WIDTH]
+        value = bits[:, order].reshape(-1, count, WIDTH).astype(np.int64) @ weights
+        out.append(value | (np.arange(count, dtype=np.int64) + cut * count) << 32)
+    return np.concatenate(out, axis=1)
+
+
+def _keyed(distinct: DataFrame) -> DataFrame:
+    """``(fp, full)`` -> ``(bucket, fp, second)`` for each block; ``second`` are the next 64 bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                fulls = part.column("full").to_pylist()
+                keys = blocks(fulls)
+                fp = np.repeat(part.column("fp").to_numpy(), keys.shape[1])
+                second = np.array([int.from_bytes(f[8:16], "little", signed=True) for f in fulls])
+                columns = [keys.ravel(), fp, np.repeat(second.astype(np.int64), keys.shape[1])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in columns], names=["bucket", "fp", "second"]
+                )
+
+    return distinct.select("fp", "full").mapInArrow(run, "bucket long, fp long, second long")
+
+
+def tree(values: np.ndarray, most: int) -> np.ndarray:
+    """Rows of words -> for each row the row it was reached from over steps of at most ``most``
+    differing bits, or -1 for the first row of each component."""
+    parent = np.full(len(values), -1, dtype=np.int64)
+    rest = np.arange(len(values))
+    while len(rest):
+        front, rest = [rest[0]], rest[1:]
+        while front and len(rest):
+            here = front.pop()
+            far = np.bitwise_count(values[rest] ^ values[here]).sum(axis=1, dtype=np.int64)
+            near = far <= most
+            if near.any():
+                parent[rest[near]] = here
+                front += rest[near].tolist()
+                rest = rest[~near]
+    return parent
+
+
+def _trees(members: DataFrame, most: int) -> DataFrame:
+    """``(bucket, part, crowded, fp, second)`` -> ``(bucket, fp, second, other)`` for each row that
+    was reached from another one of its group, and, with a null ``other``, for the first rows of
+    crowded buckets. A group is a bucket's part, of bounded size."""
+    names = ["bucket", "part", "crowded", "fp", "second"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[tuple[np.ndarray, ...]] = []
+
+        def made(last: bool) -> Iterator[pa.RecordBatch]:
+            columns = [np.concatenate(c) for c in zip(*kept, strict=True)]
+            bucket, part, crowded, fp, second = columns
+            cuts = np.flatnonzero((bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])) + 1
+            edges = [0, *cuts.tolist(), len(fp)]
+            end = edges[-1] if last else edges[-2]
+            kept[:] = [] if last else [tuple(c[end:] for c in columns)]
+            words = np.stack([fp, second], axis=1).view(np.uint64)
+            parent = np.full(end, -1, dtype=np.int64)
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if b <= end:
+                    found = tree(words[a:b], most)
+                    parent[a:b] = np.where(found >= 0, found + a, -1)
+            out = np.flatnonzero((parent >= 0) | crowded[:end])
+            other = pa.array(fp[parent[out]], mask=parent[out] < 0)
+            arrays = [pa.array(c[out]) for c in (bucket, fp, second)]
+            yield pa.RecordBatch.from_arrays([*arrays, other], names=["bucket", "fp", "second", "other"])
+
+        for batch in batches:
+            if batch.num_rows:
+                kept.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in names))
+                yield from made(False)
+        if kept:
+            yield from made(True)
+
+    dealt = members.select(names).repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+    return dealt.mapInArrow(run, "bucket long, fp long, second long, other long")
+
+
+def _parts(n: Column) -> Column:
+    return F.ceil(n / F.lit(DENSE)).cast("int")
+
+
+def similar_links(distinct: DataFrame, similarity: float) -> DataFrame:
+    """``(fp, full)``, ``fp`` being unique -> links ``(a, b)`` that connect fingerprints which share
+    a block and differ in few enough bits.
+
+    A bucket gives a link for each member but one at most, never all its pairs. A crowded bucket is
+    dealt out in parts of about DENSE; each part gives its links and the first member of each of
+    its components, and these are then compared over all pairs of parts. So a crowd of near copies
+    shrinks before parts meet. Two components of different parts of a crowded bucket are joined
+    through their first members; where these are too far apart, other blocks have other parts.
+    """
+    keyed = _keyed(distinct)
+    sizes = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = join_split(keyed, sizes, ["bucket"])
+    # 128 bits choose, all bits decide.
+    rough = most_bits(similarity, 128, 1.5)
+    part = F.pmod(F.xxhash64("fp"), _parts(F.col("n"))).cast("int")
+    dealt = members.withColumn("part", part).withColumn("crowded", F.col("n") > DENSE)
+    once = stored(_trees(dealt, rough), "trees")
+    firsts = once.filter("other IS NULL")
+    left = firsts.groupBy("bucket").agg(_parts(F.count(F.lit(1))).alias("parts"))
+    apart = join_split(firsts, left, ["bucket"]).withColumn(
+        "mine", F.pmod(F.xxhash64("fp"), "parts").cast("int")
+    )
+    met = apart.withColumn("yours", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "bucket", "fp", "second", F.lit(False).alias("crowded"),
+        (F.least("mine", "yours") * F.col("parts") + F.greatest("mine", "yours")).alias("part"),
+    )
+    found = once.unionByName(_trees(met, rough)).filter("other IS NOT NULL")
+    pairs = found.select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b")).distinct()
+    whole = distinct.select("fp", "full")
+    both = pairs.join(whole.select(F.col("fp").alias("a"), F.col("full").alias("x")), "a")
+    both = both.join(whole.select(F.col("fp").alias("b"), F.col("full").alias("y")), "b")
+    return both.filter(_distance("x", "y") <= most_bits(similarity, BITS, 1.0)).select("a", "b")
+
+
+def _distance(x: str, y: str) -> Column:
+    """Differing bits of two long fingerprints."""
+
+    def word(name: str, k: int) -> Column:
+        return F.conv(F.hex(F.substring(name, 8 * k + 1, 8)), 16, -10).cast("long")
+
+    out = F.bit_count(word(x, 0).bitwiseXOR(word(y, 0)))
+    for k in range(1, LONGS):
+        out = out + F.bit_count(word(x, k).bitwiseXOR(word(y, k)))
+    return out
+
+
+def similar_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = 5,
+    similarity: float = 0.8,
+    seed: int = 42,
+) -> DataFrame:
+    """One row for each input row: ``(doc_id, fp, component_id)``, as ``simhash.near_duplicates``.
+
+    Linked are texts whose shingle similarity, as their fingerprints measure it, is ``similarity`` or
+    more: the 512 bits may differ in the expected number and one standard deviation more, so that
+    texts at 0.8 are mostly taken, at 0.7 hardly ever. Texts with equal first 64 bits are one class.
+    A null text counts as empty; empty texts are copies of each other, and so are short texts of the
+    same words. Repeated ids give repeated rows. A null id stays null and is never the smallest one.
+    An empty table gives an empty result.
+    """
+    texts = narrow(docs, doc_id=id_col, text=text_col)
+    marked = stored(long_fingerprints(texts, words, seed), "fingerprints")
+    classes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("full").alias("full"))
+    classes = stored(classes, "classes")
+    links = similar_links(classes.select("fp", "full"), similarity)
+    return simhash.named(marked.select("doc_id", "fp"), classes.select("fp", "least"), links)
+
+
+def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each group the row with the smallest id stays.
+
+    Rows with a null id are not compared and stay. Of rows that repeat the smallest id, one stays.
+    Columns stay as they are.
+    """
+    return simhash.first_of_groups(
+        docs, lambda known: similar_documents(known, words=words, similarity=similarity)
+    )
