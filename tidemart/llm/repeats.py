@@ -226,21 +226,26 @@ def _ranges(found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _compared(pieces: DataFrame, length: int) -> DataFrame:
-    """Pieces dealt by anchor -> ranges of repeated window starts, counted from the anchor column.
+    """Pieces dealt by anchor -> ranges ``(lo, hi)`` of places where repeated strings start, for
+    pieces that occur once (``single``).
 
-    Rows with a ``digest`` stand for one class of windows of an anchor that has several blocks.
+    Rows with a ``digest`` stand for one class of windows of an anchor that has several blocks; of
+    these there are rows for the other pieces too.
     """
+    kind = pieces.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Anchors(length)
         width = cutter.width
-        names = ["h", "part", "d", "off", "open", "piece"]
+        names = ["h", "part", "doc_id", "th", "at", "off", "open", "single", "piece"]
         kept: list[tuple] = []
+        id_type = None
 
         def block(rows: list[tuple]) -> pa.RecordBatch:
-            h, _, d, off, is_open, piece = zip(*rows, strict=True)
+            _, _, doc_id, th, at, off, is_open, single, piece = zip(*rows, strict=True)
             offs, opens = np.array(off), np.array(is_open, dtype=bool)
             found, heads = repeated_windows(list(piece), offs, length, width, opens)
+            found[~np.array(single, dtype=bool)] = False  # these repeat as a whole
             row, first, last = _ranges(found)
             rows_of = row.tolist() + [r for r, _ in heads]
             digests: list[bytes | None] = [None] * len(row)
@@ -248,15 +253,18 @@ def _compared(pieces: DataFrame, length: int) -> DataFrame:
                 s = column - (width - 1 - off[r])
                 digests.append(xxhash.xxh3_128_digest(piece[r][s : s + length]))
             columns = [c for _, c in heads]
+            # From columns back to places in the texts.
+            low = [(at[r] >> 16) + off[r] - (width - 1) for r in rows_of]
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([h[r] for r in rows_of], pa.int64()),
-                    pa.array([d[r] for r in rows_of], pa.int64()),
-                    pa.array(first.tolist() + columns, pa.int32()),
-                    pa.array(last.tolist() + columns, pa.int32()),
+                    pa.array([doc_id[r] for r in rows_of], id_type),
+                    pa.array([th[r] for r in rows_of], pa.int64()),
+                    pa.array([x + c for x, c in zip(low, first.tolist() + columns, strict=True)], pa.int64()),
+                    pa.array([x + c for x, c in zip(low, last.tolist() + columns, strict=True)], pa.int64()),
+                    pa.array([single[r] for r in rows_of], pa.bool_()),
                     pa.array(digests, pa.binary()),
                 ],
-                names=["h", "d", "a", "b", "digest"],
+                names=["doc_id", "th", "lo", "hi", "single", "digest"],
             )
 
         def full_groups(last: bool) -> Iterator[list[tuple]]:
@@ -278,6 +286,7 @@ def _compared(pieces: DataFrame, length: int) -> DataFrame:
             del kept[:begin]
 
         for batch in batches:
+            id_type = batch.column("doc_id").type
             kept.extend(zip(*(batch.column(c).to_pylist() for c in names), strict=True))
             if len(kept) >= 2 * BLOCK:
                 for rows in full_groups(False):
@@ -286,42 +295,51 @@ def _compared(pieces: DataFrame, length: int) -> DataFrame:
             yield block(rows)
 
     dealt = pieces.repartition("h", "part").sortWithinPartitions("h", "part")
-    return dealt.mapInArrow(run, "h long, d long, a int, b int, digest binary")
+    return dealt.mapInArrow(run, f"doc_id {kind}, th long, lo long, hi long, single boolean, digest binary")
 
 
 def _pieces(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """Takes the bytes of the wanted runs out of the texts that hold them."""
 
+    kind = wanted.schema["doc_id"].dataType.simpleString()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["h", "part", "d", "off", "open"]
+        names = ["h", "part", "at", "off", "open", "single"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary()]
         for batch in batches:
-            cells: list[list] = [[] for _ in range(6)]
-            for text, runs in zip(batch.column("text"), batch.column("runs"), strict=True):
+            cells: list[list] = [[] for _ in kinds]
+            rows: list[int] = []
+            for i, (text, runs) in enumerate(zip(batch.column("text"), batch.column("runs"), strict=True)):
                 raw = text.as_py().encode("utf-8", "surrogatepass")
                 for r in runs.as_py():
                     first, count = r["at"] >> 16, r["at"] & 0xFFFF
+                    rows.append(i)
                     for cell, name in zip(cells, names, strict=False):
                         cell.append(r[name])
-                    cells[5].append(raw[first : first + count - 1 + length])
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
-            arrays = [pa.array(c, k) for c, k in zip(cells, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "piece"])
+                    cells[-1].append(raw[first : first + count - 1 + length])
+            index = pa.array(rows, pa.int64())
+            arrays = [batch.column("doc_id").take(index), batch.column("th").take(index)]
+            arrays += [pa.array(c, k) for c, k in zip(cells, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "th", *names, "piece"])
 
     by_doc = wanted.groupBy("doc_id", "th").agg(
-        F.collect_list(F.struct("at", "h", "part", "d", "off", "open")).alias("runs")
+        F.collect_list(F.struct("at", "h", "part", "off", "open", "single")).alias("runs")
     )
     one = docs.select(F.col("doc_id").alias("id"), F.col("th").alias("hash"), "text")
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("hash"))
     # Rows that repeat an id and its text give the same piece again, which changes nothing: a piece
     # that occurs twice is repeated anyway.
-    texts = one.join(by_doc, same).select("text", "runs")
-    return texts.mapInArrow(run, "h long, part long, d long, off int, open boolean, piece binary")
+    texts = one.join(by_doc, same).select("doc_id", "th", "text", "runs")
+    return texts.mapInArrow(
+        run,
+        f"doc_id {kind}, th long, h long, part long, at long, off int, open boolean, single boolean, "
+        "piece binary",
+    )
 
 
 def window_ranges(docs: DataFrame, length: int) -> DataFrame:
-    """``(doc_id, th, text)`` -> ``(doc_id, th, ranges)``, a row for each run of window starts that
-    has repeated strings, with ranges ``(lo, hi)`` of the places where these start."""
-    width = length - min(GRAM, length) + 1
+    """``(doc_id, th, text)`` -> ``(doc_id, th, lo, hi)``: ranges of the places where repeated
+    strings start."""
     found = anchors(docs, length)
     keys = (
         found.groupBy("h")
@@ -331,20 +349,28 @@ def window_ranges(docs: DataFrame, length: int) -> DataFrame:
     )
     # An anchor that occurs once is in no repeat: most rows end here.
     hits = stored(join_split(found, keys, ["h"]), "anchors")
-    first = F.shiftright("at", 16)
-    count = F.col("at").bitwiseAND(F.lit(0xFFFF))
-    # All runs of the anchor are copies of one piece: all their windows repeat.
-    whole_run = F.struct(first.alias("lo"), (first + count - 1).alias("hi"))
-    copies = hits.filter("NOT mixed").select("doc_id", "th", F.array(whole_run).alias("ranges"))
     mixed = hits.filter("mixed")
-    # Of each different piece one run is compared. All firsts come from the same row.
-    distinct = mixed.groupBy("h", "d").agg(
-        F.count(F.lit(1)).alias("times"), *(F.first(c).alias(c) for c in ("doc_id", "th", "at", "off"))
+    times = mixed.groupBy("h", "d").agg(F.count(F.lit(1)).alias("times"))
+    counted = stored(join_split(mixed, times, ["h", "d"]), "pieces")
+    # A piece that occurs several times repeats as a whole, at each of its places.
+    columns = ["doc_id", "th", "at"]
+    copies = hits.filter("NOT mixed").select(columns).union(counted.filter("times > 1").select(columns))
+    first = F.shiftright("at", 16)
+    last = first + F.col("at").bitwiseAND(F.lit(0xFFFF)) - 1
+    whole = copies.select("doc_id", "th", first.alias("lo"), last.alias("hi"))
+    # Compared are the pieces that occur once, and one place of each other one. All firsts come from
+    # the same row.
+    once = counted.filter("times = 1").select("h", "d", *columns, "off", F.lit(True).alias("single"))
+    others = (
+        counted.filter("times > 1")
+        .groupBy("h", "d")
+        .agg(*(F.first(c).alias(c) for c in (*columns, "off")))
+        .withColumn("single", F.lit(False))
     )
-    distinct = stored(distinct, "pieces")
+    distinct = stored(once.unionByName(others), "distinct")
     blocks = distinct.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     dealt = join_split(distinct, blocks, ["h"]).select(
-        "doc_id", "th", "at", "h", "d", "off",
+        "doc_id", "th", "at", "h", "off", "single",
         F.pmod(F.xxhash64("d"), "blocks").alias("part"), (F.col("blocks") > 1).alias("open"),
     )
     compared = stored(_compared(_pieces(dealt, docs, length), length), "compared")
@@ -353,27 +379,12 @@ def window_ranges(docs: DataFrame, length: int) -> DataFrame:
     classes = (
         compared.filter("digest IS NOT NULL")
         .groupBy("digest")
-        .agg(F.collect_list(F.struct("h", "d", "a", "b")).alias("rows"))
+        .agg(F.collect_list(F.struct("doc_id", "th", "lo", "hi", "single")).alias("rows"))
         .filter(F.size("rows") > 1)
         .select(F.inline("rows"))
     )
-    shared = compared.filter("digest IS NULL").select("h", "d", "a", "b").union(classes)
-    # A piece that occurs several times repeats as a whole.
-    whole = distinct.filter("times > 1").select(
-        "h", "d", (width - 1 - F.col("off")).alias("a"), (width - 2 - F.col("off") + count).alias("b")
-    )
-    # One row for each piece, however many ranges it has, so that the join makes no more rows than
-    # there are runs.
-    by_piece = (
-        shared.unionByName(whole)
-        .groupBy(F.col("h").alias("k"), F.col("d").alias("e"))
-        .agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
-    )
-    back = mixed.join(stored(by_piece, "ranges"), (F.col("h") == F.col("k")) & (F.col("d") == F.col("e")))
-    # From columns back to places in the texts.
-    low = first + F.col("off") - (width - 1)
-    placed = F.transform("ranges", lambda r: F.struct((low + r["a"]).alias("lo"), (low + r["b"]).alias("hi")))
-    return copies.union(back.select("doc_id", "th", placed.alias("ranges")))
+    shared = compared.filter("digest IS NULL").select(*classes.columns).union(classes)
+    return whole.union(shared.filter("single").select(*whole.columns))
 
 
 def merged(ranges: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -422,7 +433,7 @@ def remove_repeats(
     by_doc = (
         window_ranges(texts, length)
         .groupBy("doc_id", "th")
-        .agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+        .agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
         .select(F.col("doc_id").alias("id"), F.col("th").alias("hash"), "ranges")
     )
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("hash"))
