@@ -175,7 +175,7 @@ def _trees(members: DataFrame, most: int) -> DataFrame:
         if kept:
             yield from made(True)
 
-    dealt = members.select(names).repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+    dealt = members.select(names).repartition("bucket", "part").sortWithinPartitions("bucket", "part", "fp")
     return dealt.mapInArrow(run, "bucket long, fp long, second long, other long")
 
 
