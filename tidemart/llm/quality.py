@@ -141,6 +141,8 @@ def train(docs: DataFrame, ratings: DataFrame, most: int = 8000) -> tuple[np.nda
     rows = map_rows(
         texts, lambda: lambda found: packed([features(t) for t in found]), "ids binary, vals binary", "grade"
     ).collect()
+    # Rows come in the order of tasks; in an order of their own reruns fit the same model.
+    rows.sort(key=lambda r: (r["grade"], bytes(r["ids"]), bytes(r["vals"])))
     grades = np.array([r["grade"] for r in rows], dtype=np.int64)
     levels = int(grades.max()) + 1 if len(grades) else 1
     if levels < 2:
