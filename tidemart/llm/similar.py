@@ -6,7 +6,7 @@ are about equally long, and each bit of their fingerprints differs with the prob
 a fingerprint here has 512 bits, cut three times, in different orders, into 21 blocks of 24 bits.
 Pairs that share a block are compared, and linked if their whole fingerprints differ in few bits.
 
-A pair at similarity 0.9 shares a block with a probability above 0.999, one at 0.85 with 0.9, one at
+A pair at similarity 0.9 shares a block with a probability of 0.99, one at 0.85 with 0.9, one at
 exactly 0.8 with 0.7.
 """
 
