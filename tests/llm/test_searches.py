@@ -78,6 +78,28 @@ def test_best_run_is_brute_force():
         assert math.isclose(gains[first:end].sum(), best) and matches == same[first:end].sum()
 
 
+def test_every_run_that_meets_the_rule_is_found():
+    rng = random.Random(3)
+    for trial in range(600):
+        n = rng.randint(13, 30)
+        same = np.array([rng.random() < rng.choice([0.7, 0.8, 0.9]) for _ in range(n)])
+        runs = [(b - a, a, b) for a in range(n) for b in range(a + 1, n + 1) if 5 * same[a:b].sum() >= 4 * (b - a)]
+        longest = max([r[0] for r in runs], default=0)
+        first, end, matches = leaks.longest_run(same, 0.8)
+        assert end - first == longest and matches == same[first:end].sum()
+
+
+@pytest.mark.parametrize("equal", [(10, 1, 2), (12, 3, 12)])
+def test_overlaps_with_a_short_best_stretch(equal):
+    """13 words or more, 80 % equal, although the stretch before the replaced words is shorter."""
+    before, new, after = equal
+    item = [f"w{i}" for i in range(before + new + after)]
+    text = ["x"] * 5 + item[:before] + ["new"] * new + item[before + new :] + ["y"] * 5
+    index = leaks.Index([7], [" ".join(item)])
+    [(_, first, end, matches)] = leaks.overlaps(leaks.WordHashes()(" ".join(text)), index, 13, 0.8)
+    assert end - first >= 13 and 5 * matches >= 4 * (end - first)
+
+
 def test_two_words_apart_share_a_seed():
     """Two replaced words in a passage of thirty leave a seed that looks at neither."""
     rng = np.random.default_rng(1)

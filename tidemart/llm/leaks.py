@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -102,6 +103,17 @@ def best_run(same: np.ndarray, miss: float) -> tuple[int, int, int]:
     return first, end, int(same[first:end].sum())
 
 
+def longest_run(same: np.ndarray, least_share: float) -> tuple[int, int, int]:
+    """The longest run of places of which at least ``least_share`` match: (first, end, matches)."""
+    share = Fraction(least_share).limit_denominator(10**6)
+    # Whole numbers: a run holds enough matches if the total does not fall over it.
+    gains = np.where(same, share.denominator - share.numerator, -share.numerator)
+    total = np.concatenate([[0], np.cumsum(gains)])
+    first = np.searchsorted(-np.minimum.accumulate(total), -total, "left")
+    end = int(np.argmax(np.arange(len(total)) - first))
+    return int(first[end]), end, int(same[first[end] : end].sum())
+
+
 def overlaps(words: np.ndarray, index: Index, least_words: int, least_share: float) -> list[tuple]:
     """(item, first, end, matches) of the best overlap of the text with each item that it hits."""
     best: dict[int, tuple[int, int, int]] = {}
@@ -109,8 +121,12 @@ def overlaps(words: np.ndarray, index: Index, least_words: int, least_share: flo
     for item, diagonal in index.hits(words):
         other = index.words[item]
         a, b = max(0, diagonal), min(len(words), diagonal + len(other))
-        first, end, matches = best_run(words[a:b] == other[a - diagonal : b - diagonal], miss)
+        same = words[a:b] == other[a - diagonal : b - diagonal]
+        first, end, matches = best_run(same, miss)
         whole = matches == len(other)
+        if end - first < least_words and not whole:
+            # The run with the most gain may be a part of one that is long enough.
+            first, end, matches = longest_run(same, least_share)
         long_enough = end - first >= least_words or whole
         if long_enough and matches >= least_share * (end - first):
             if item not in best or matches > best[item][2]:
@@ -154,7 +170,8 @@ def find_leaks(
     the two texts are laid along each other and the run with the most equal words is taken, where a
     different word costs as much as ``least_share`` allows. It counts if it is at least
     ``least_words`` long and at least ``least_share`` of its words are equal, or if it is the whole
-    item. Words are runs of letters and digits without case; replaced words are found, inserted
+    item. Where that run is too short, the longest one with ``least_share`` equal words is taken, so
+    whatever run meets the rule, the pair is found. Words are runs of letters and digits without case; replaced words are found, inserted
     or left-out ones split a run. ``share`` is matches over the run's length.
 
     Items go in blocks of bounded size, each with one pass over the documents. Items with fewer
