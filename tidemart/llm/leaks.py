@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.tables import narrow
 
-#: Masks over a run of words: 1 is looked at, 0 ignored. Whatever two places of SPAN words in a row
-#: differ, at least one mask at one of the first places does not look at them.
-SEEDS = ("11111111", "110110110111", "1110010010111", "1101010001001011")
+#: Masks over a run of words: 1 is looked at, 0 ignored. Wherever 2 of 13, 3 of 15, 4 of 20 or 5 of
+#: 25 words differ, at least one mask at one place looks at none of them; longer passages with 80 %
+#: equal words hold a part of 13 to 25 words that has as many.
+SEEDS = ("111111", "11101011", "11001000111", "101000100111")
 #: Words of benchmark items that are searched in one pass over the documents.
 BLOCK = 1 << 18
 #: Bits of the table that most places of a document are turned away by.
