@@ -6,6 +6,7 @@ from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -158,6 +159,23 @@ def test_neighbours(spark, monkeypatch):
     assert hits >= 0.9 * total
 
 
+def test_neighbours_in_many_lists(spark):
+    """Vectors without clusters, over 200 lists, with the default number of probes."""
+    rng = np.random.default_rng(5)
+    table = rng.normal(size=(8400, 32))
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": range(len(table)), "embedding": table.tolist()}))
+    found = neighbours.search(df, F.col("vec_id") % 60 == 0, k=10, per_list=40).collect()
+    got = defaultdict(set)
+    for r in found:
+        got[r["query_id"]].add(r["vec_id"])
+    hits = 0
+    for query in range(0, len(table), 60):
+        distance = ((table - table[query]) ** 2).sum(axis=1)
+        distance[query] = np.inf
+        hits += len(got[query] & set(np.argsort(distance)[:10].tolist()))
+    assert hits >= 0.97 * 10 * len(got) and len(got) == 140
+
+
 def test_few_and_no_vectors(spark):
     made, df = vectors(spark, 30)
     few = df.filter("vec_id < 4")

@@ -13,6 +13,9 @@ from tidemart.llm.tables import narrow, stored
 
 #: Columns looked at before the next test.
 COLUMNS = 16
+#: Queries that the number of probed lists is derived from, and the fewest lists they may give.
+TRIED = 256
+LEAST_PROBES = 24
 #: Vectors of a list that one task scans, and queries that scan them together.
 CHUNK = 4096
 ASKING = 512
@@ -97,18 +100,56 @@ class Lists:
         return np.argsort(distance, axis=1, kind="stable")[:, :count]
 
 
+def enough_probes(members: DataFrame, tried: pd.DataFrame, lists: Lists, k: int, least_recall: float) -> int:
+    """How many nearest lists hold ``least_recall`` of the ``k`` nearest others of the tried queries.
+
+    ``members`` are ``(group, list, turned)``, all of which are measured; ``tried`` are distinct
+    ``(group, vector)``. Each task keeps the ``k`` nearest of its rows for each query.
+    """
+    queries = lists.turned(np.stack(tried["vector"].to_numpy()))
+    order = lists.probes(queries, len(lists.centres))
+    rank = np.empty(order.shape, dtype=np.int16)
+    np.put_along_axis(rank, order, np.arange(order.shape[1], dtype=np.int16)[None, :], axis=1)
+    shared = members.sparkSession.sparkContext.broadcast((tried["group"].to_numpy(), queries, rank))
+
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, mine, rank = shared.value
+        best, where = np.empty((len(mine), 0)), np.empty((len(mine), 0), dtype=np.int16)
+        for batch in batches:
+            if not len(batch):
+                continue
+            far = squares(mine, np.stack(batch["turned"].to_numpy()))
+            far[names[:, None] == batch["group"].to_numpy()[None, :]] = np.inf
+            best = np.concatenate([best, far], axis=1)
+            where = np.concatenate([where, rank[:, batch["list"].to_numpy()]], axis=1)
+            first = np.argsort(best, axis=1, kind="stable")[:, :k]
+            best, where = (np.take_along_axis(c, first, axis=1) for c in (best, where))
+        query, _ = np.nonzero(np.isfinite(best))
+        fine = np.isfinite(best)
+        yield pd.DataFrame({"query": query, "far": best[fine], "place": where[fine].astype(np.int32)})
+
+    found = members.select("group", "list", "turned").mapInPandas(nearest, "query long, far double, place int")
+    order = F.row_number().over(Window.partitionBy("query").orderBy("far", "place"))
+    counts = found.withColumn("nth", order).filter(F.col("nth") <= k).groupBy("place").count().toPandas()
+    if not len(counts):
+        return 1
+    sizes = np.bincount(counts["place"], weights=counts["count"], minlength=len(lists.centres))
+    return int(np.argmax(np.cumsum(sizes) >= least_recall * sizes.sum())) + 1
+
+
 def search(
     vectors: DataFrame,
     asks: Column,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     k: int = 10,
-    probes: int = 24,
+    probes: int | None = None,
     per_list: int = 400,
     most_lists: int = 4096,
     most_sample: int = 20000,
     doubt: float = 2.1,
     seed: int = 42,
+    least_recall: float = 0.99,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each row where ``asks`` holds (over ``vec_id``) the
     ``k`` nearest other rows found, by Euclidean distance in double precision, nearest first and of
@@ -116,7 +157,9 @@ def search(
 
     An index of lists is fitted on at most ``most_sample`` vectors, the first by a hash of their id;
     every vector is then put into its nearest list. A query scans its ``probes`` nearest lists with
-    ``scan``; what is left is measured on the original vectors. Equal vectors are searched for once
+    ``scan``. If their number is not given, TRIED of the queries are measured against all vectors, and
+    it is the number of lists that holds ``least_recall`` of their neighbours, LEAST_PROBES at least:
+    on vectors without clusters that is a large share of the lists, whatever their number. What is left is measured on the original vectors. Equal vectors are searched for once
     and stand in for each other: only the ``k + 1`` smallest ids of each can be in a result. Lists
     go in chunks, and the queries of a chunk in groups, so no task holds a list as a whole.
 
@@ -146,8 +189,6 @@ def search(
     count = groups.count()
     lists = Lists(np.stack([np.array(v) for v in sample if len(v) == dims]), per_list, count, most_lists, seed)
     shared = spark.sparkContext.broadcast(lists)
-    probes = min(probes, len(lists.centres))
-
     def placed(number: int):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -165,6 +206,12 @@ def search(
     members = stored(members.select("group", F.col("list")[0].alias("list"), "turned"), "lists")
     asking = rows.filter(asks).select("vec_id", "vector")
     asked = asking.groupBy("vector").agg(F.min("vec_id").alias("group"))
+    if probes is None:
+        # Taken like the sample, by a hash, but of the queries.
+        first = asked.orderBy(F.xxhash64("group"), "group").limit(TRIED).toPandas()
+        fitting = enough_probes(members, first, lists, k, least_recall) if len(first) else 1
+        probes = max(LEAST_PROBES, fitting)
+    probes = min(probes, len(lists.centres))
     probing = asked.select("group", "vector").mapInPandas(placed(probes), kind)
     sizes = stored(
         members.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")), "sizes"
