@@ -108,6 +108,48 @@ def test_groups(spark, monkeypatch, dense):
     assert found == {i: first[k] for i, k in enumerate(family)}
 
 
+@pytest.mark.parametrize("dense", [similar.DENSE, 16])
+def test_a_family_below_the_similarity(spark, monkeypatch, dense):
+    """Texts at 0.7 to one another stay apart, also those that repeat much; their twins at 0.85 meet
+    them whatever other texts lie in their buckets."""
+    monkeypatch.setattr(similar, "DENSE", dense)
+    rng = random.Random(7)
+    base = rng.choices(WORDS, k=600)
+    texts = []
+    for k in range(60):
+        mine = base[:]
+        mine[10 * k % 450 : 10 * k % 450 + 105] = rng.choices(WORDS, k=105)
+        texts.append(" ".join(mine))
+    texts += [changed(t, 6, rng) for t in texts[:20]]
+    texts += [" ".join(["same"] * 900 + rng.choices(WORDS, k=100)) for _ in range(20)]
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in similar.similar_documents(df).collect()}
+    assert found == dict(enumerate(root)) and 20 < len(set(root)) < 90
+
+
+def test_trees_grow_on_all_bits(spark):
+    """Three texts of a bucket: the second is near the third in all bits, the first is near both in
+    the first 128 only."""
+    rng = random.Random(8)
+    a = int.from_bytes(rng.randbytes(64), "little")
+    # All of the first cut's first block stays as it is.
+    kept = sum(1 << int(8 * (k // 8) + 7 - k % 8) for k in np.random.default_rng(0).permutation(512)[:24])
+    far = ((1 << 512) - 1 >> 128 << 128) & ~kept
+    b = a ^ far
+    c = b ^ 1
+    df = spark.createDataFrame(
+        [(k, bytearray(x.to_bytes(64, "little"))) for k, x in enumerate((a, b, c))], "own long, full binary"
+    )
+    assert {tuple(sorted(r)) for r in similar.bit_links(df, 0.8).collect()} == {(1, 2)}
+
+
 def test_odd_rows_and_empty_tables(spark):
     long_text = "word " * 50_000
     data = [

@@ -4,7 +4,8 @@ Two texts whose shingle sets have similarity ``s`` (Jaccard) are at cosine ``2s
 are about equally long, and each bit of their fingerprints differs with the probability ``angle/pi``:
 0.15 for 0.8. 64 bits can neither tell 0.8 from 0.6 nor leave a block of useful width untouched. So
 a fingerprint here has 512 bits, cut three times, in different orders, into 21 blocks of 24 bits.
-Pairs that share a block are compared, and linked if their whole fingerprints differ in few bits.
+Texts that share a block and differ in few bits are chained into families, which only choose: inside
+a family the shingle sets themselves are compared, and the texts at the similarity or more linked.
 
 A pair at similarity 0.9 shares a block with a probability of 0.99, one at 0.85 with 0.9, one at
 exactly 0.8 with 0.7.
@@ -17,10 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm import simhash
+from tidemart.llm.components import components
 from tidemart.llm.tables import join_split, narrow, stored
 
 #: 64-bit words of a fingerprint.
@@ -30,7 +33,8 @@ BITS = 64 * LONGS
 WIDTH = 24
 #: How often the bits are cut into blocks, each time in another order.
 CUTS = 3
-#: A bucket with more fingerprints than this is compared in parts of about this size.
+#: A family with more texts than this is compared in parts of about this size; a bucket with more is
+#: one family without a look at its bits.
 DENSE = 1024
 #: Shingles whose bits are counted at once.
 ROWS = 1 << 14
@@ -63,32 +67,48 @@ def _spread(hashes: np.ndarray) -> np.ndarray:
 
 
 def long_fingerprint(text: str | None, words: int = 5, seed: int = 42) -> bytes:
-    """64 bytes: a bit is 1 if it is set in over half of the shingles' spread hashes.
+    """64 bytes: a bit is 1 if it is set in over half of the different shingles' spread hashes.
 
-    The first eight are ``simhash.fingerprint`` of the text, low byte first. No words: all zero.
+    The first eight are ``simhash.fingerprint`` of a text without repeated shingles, low byte first.
+    No words: all zero.
     """
-    ones, count = np.zeros(BITS, dtype=np.int64), 0
-    for hashes in simhash.shingle_hashes(text, words, seed):
-        count += len(hashes)
-        for at in range(0, len(hashes), ROWS):
-            spread = _spread(hashes[at : at + ROWS])
-            bits = np.unpackbits(spread.view(np.uint8), axis=1, bitorder="little")
-            ones += bits.sum(axis=0, dtype=np.uint16)
-    return np.packbits((2 * ones > count).astype(np.uint8), bitorder="little").tobytes()
+    return _bits_of(shingle_set(text, words, seed))
+
+
+def shingle_set(text: str | None, words: int = 5, seed: int = 42) -> np.ndarray:
+    """The different hashes of the text's shingles, in order."""
+    made = [np.unique(h) for h in simhash.shingle_hashes(text, words, seed)]
+    return np.unique(np.concatenate(made)) if made else np.zeros(0, dtype="<u8")
+
+
+def _bits_of(hashes: np.ndarray) -> bytes:
+    ones = np.zeros(BITS, dtype=np.int64)
+    for at in range(0, len(hashes), ROWS):
+        spread = _spread(hashes[at : at + ROWS])
+        bits = np.unpackbits(spread.view(np.uint8), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.uint16)
+    return np.packbits((2 * ones > len(hashes)).astype(np.uint8), bitorder="little").tobytes()
 
 
 def long_fingerprints(docs: DataFrame, words: int = 5, seed: int = 42) -> DataFrame:
-    """``(doc_id, text)`` -> ``(doc_id, fp, full)``: the first 64 bits as a long, and all of them."""
+    """``(doc_id, text)`` -> ``(doc_id, fp, full, own, shingles)``: the first 64 bits as a long, all of
+    them, and the shingle set as bytes with a hash of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [long_fingerprint(t.as_py(), words, seed) for t in batch.column("text")]
+            sets = [shingle_set(t.as_py(), words, seed) for t in batch.column("text")]
+            made = [_bits_of(s) for s in sets]
             first = np.array([int.from_bytes(m[:8], "little") for m in made], dtype=np.uint64)
-            columns = [batch.column("doc_id"), pa.array(first.view(np.int64)), pa.array(made, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "full"])
+            raw = [s.tobytes() for s in sets]
+            own = np.array([xxhash.xxh3_64_intdigest(r) for r in raw], dtype=np.uint64)
+            columns = [batch.column("doc_id"), *(pa.array(c.view(np.int64)) for c in (first, own))]
+            columns += [pa.array(made, pa.binary()), pa.array(raw, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "own", "full", "shingles"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long, full binary")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, fp long, own long, full binary, shingles binary"
+    )
 
 
 def blocks(fulls: list[bytes]) -> np.ndarray:
@@ -105,22 +125,17 @@ def blocks(fulls: list[bytes]) -> np.ndarray:
 
 
 def _keyed(distinct: DataFrame) -> DataFrame:
-    """``(fp, full)`` -> ``(bucket, fp, second)`` for each block; ``second`` are the next 64 bits."""
+    """``(own, full)`` -> ``(bucket, own)`` for each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                fulls = part.column("full").to_pylist()
-                keys = blocks(fulls)
-                fp = np.repeat(part.column("fp").to_numpy(), keys.shape[1])
-                second = np.array([int.from_bytes(f[8:16], "little", signed=True) for f in fulls])
-                columns = [keys.ravel(), fp, np.repeat(second.astype(np.int64), keys.shape[1])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in columns], names=["bucket", "fp", "second"]
-                )
+                keys = blocks(part.column("full").to_pylist())
+                own = np.repeat(part.column("own").to_numpy(), keys.shape[1])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(own)], names=["bucket", "own"])
 
-    return distinct.select("fp", "full").mapInArrow(run, "bucket long, fp long, second long")
+    return distinct.select("own", "full").mapInArrow(run, "bucket long, own long")
 
 
 def tree(values: np.ndarray, most: int) -> np.ndarray:
@@ -141,81 +156,171 @@ def tree(values: np.ndarray, most: int) -> np.ndarray:
     return parent
 
 
-def _trees(members: DataFrame, most: int) -> DataFrame:
-    """``(bucket, part, crowded, fp, second)`` -> ``(bucket, fp, second, other)`` for each row that
-    was reached from another one of its group, and, with a null ``other``, for the first rows of
-    crowded buckets. A group is a bucket's part, of bounded size."""
-    names = ["bucket", "part", "crowded", "fp", "second"]
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each group, from rows that are sorted by their whole-number ``keys``."""
+    rest = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        rows = pa.concat_tables([rest, rows]) if rest is not None else rows
+        new = np.zeros(len(rows) - 1, dtype=bool)
+        for key in keys:
+            values = rows.column(key).to_numpy()
+            new |= values[1:] != values[:-1]
+        edges = [0, *(np.flatnonzero(new) + 1).tolist()]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            yield rows.slice(a, b - a)
+        rest = rows.slice(edges[-1])
+    if rest is not None:
+        yield rest
+
+
+def _in_groups(rows: DataFrame, keys: list[str], work, schema: str) -> DataFrame:
+    """``work`` on each group: a table of its rows, by ``own``, -> arrays of the schema's columns."""
+    names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[tuple[np.ndarray, ...]] = []
-
-        def made(last: bool) -> Iterator[pa.RecordBatch]:
-            columns = [np.concatenate(c) for c in zip(*kept, strict=True)]
-            bucket, part, crowded, fp, second = columns
-            cuts = np.flatnonzero((bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])) + 1
-            edges = [0, *cuts.tolist(), len(fp)]
-            end = edges[-1] if last else edges[-2]
-            kept[:] = [] if last else [tuple(c[end:] for c in columns)]
-            words = np.stack([fp, second], axis=1).view(np.uint64)
-            parent = np.full(end, -1, dtype=np.int64)
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                if b <= end:
-                    found = tree(words[a:b], most)
-                    parent[a:b] = np.where(found >= 0, found + a, -1)
-            out = np.flatnonzero((parent >= 0) | crowded[:end])
-            other = pa.array(fp[parent[out]], mask=parent[out] < 0)
-            arrays = [pa.array(c[out]) for c in (bucket, fp, second)]
-            yield pa.RecordBatch.from_arrays([*arrays, other], names=["bucket", "fp", "second", "other"])
-
-        for batch in batches:
-            if batch.num_rows:
-                kept.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in names))
-                yield from made(False)
+        kept, size = [], 0
+        for group in _groups(batches, keys):
+            made = work(group)
+            if len(made[0]):
+                kept.append(made)
+                size += len(made[0])
+            if size > ROWS:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*kept, strict=True)], names=names)
+                kept, size = [], 0
         if kept:
-            yield from made(True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*kept, strict=True)], names=names)
 
-    dealt = members.select(names).repartition("bucket", "part").sortWithinPartitions("bucket", "part", "fp")
-    return dealt.mapInArrow(run, "bucket long, fp long, second long, other long")
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "own").mapInArrow(run, schema)
 
 
 def _parts(n: Column) -> Column:
     return F.ceil(n / F.lit(DENSE)).cast("int")
 
 
-def similar_links(distinct: DataFrame, similarity: float) -> DataFrame:
-    """``(fp, full)``, ``fp`` being unique -> links ``(a, b)`` that connect fingerprints which share
+def bit_links(distinct: DataFrame, similarity: float) -> DataFrame:
+    """``(own, full)`` -> links ``(a, b)`` that connect at least what is connected by pairs which share
     a block and differ in few enough bits.
 
-    A bucket gives a link for each member but one at most, never all its pairs. A crowded bucket is
-    dealt out in parts of about DENSE; each part gives its links and the first member of each of
-    its components, and these are then compared over all pairs of parts. So a crowd of near copies
-    shrinks before parts meet. Two components of different parts of a crowded bucket are joined
-    through their first members; where these are too far apart, other blocks have other parts.
+    A bucket's trees grow on all 512 bits, so none of its pairs is lost to another pair's failure. In
+    a crowded bucket (over DENSE) all members are linked to the smallest one: a link here only puts
+    texts into one family. A bucket gives a link for each member but one at most.
     """
     keyed = _keyed(distinct)
-    sizes = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = join_split(keyed, sizes, ["bucket"])
-    # 128 bits choose, all bits decide.
-    rough = most_bits(similarity, 128, 1.5)
-    part = F.pmod(F.xxhash64("fp"), _parts(F.col("n"))).cast("int")
-    dealt = members.withColumn("part", part).withColumn("crowded", F.col("n") > DENSE)
-    once = stored(_trees(dealt, rough), "trees")
-    firsts = once.filter("other IS NULL")
-    left = firsts.groupBy("bucket").agg(_parts(F.count(F.lit(1))).alias("parts"))
-    apart = join_split(firsts, left, ["bucket"]).withColumn(
-        "mine", F.pmod(F.xxhash64("fp"), "parts").cast("int")
+    sizes = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("own").alias("least"))
+    members = stored(join_split(keyed, sizes.filter("n > 1"), ["bucket"]), "members")
+    most = most_bits(similarity, BITS, 1.0)
+
+    def grown(group: pa.Table) -> list[np.ndarray]:
+        own = group.column("own").to_numpy()
+        words = np.frombuffer(b"".join(group.column("full").to_pylist()), dtype="<u8").reshape(-1, LONGS)
+        parent = tree(words, most)
+        found = np.flatnonzero(parent >= 0)
+        return [own[found], own[parent[found]]]
+
+    few = members.filter(F.col("n") <= DENSE).select("bucket", "own").join(distinct.select("own", "full"), "own")
+    crowd = members.filter((F.col("n") > DENSE) & (F.col("own") != F.col("least")))
+    links = _in_groups(few, ["bucket"], grown, "a long, b long")
+    return links.union(crowd.select(F.col("own").alias("a"), F.col("least").alias("b"))).distinct()
+
+
+class Sets:
+    """The shingle sets of a group, in one array, for the similarity of one with many."""
+
+    def __init__(self, group: pa.Table):
+        raw = group.column("shingles").to_pylist()
+        self.sizes = np.array([len(r) // 8 for r in raw], dtype=np.int64)
+        known, self.codes = np.unique(np.frombuffer(b"".join(raw), dtype="<u8"), return_inverse=True)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.flags = np.zeros(len(known), dtype=bool)
+
+    def similar(self, one: int, others: np.ndarray, similarity: float) -> np.ndarray:
+        """Which of ``others`` are at the similarity or more (Jaccard)."""
+        size = self.sizes[one]
+        small, large = np.minimum(self.sizes[others], size), np.maximum(self.sizes[others], size)
+        out = small >= similarity * large - 1e-9
+        mine = self.codes[self.starts[one] : self.starts[one + 1]]
+        self.flags[mine] = True
+        for k in np.flatnonzero(out).tolist():
+            other = others[k]
+            both = int(np.count_nonzero(self.flags[self.codes[self.starts[other] : self.starts[other + 1]]]))
+            out[k] = both >= similarity * (size + self.sizes[other] - both) - 1e-9
+        self.flags[mine] = False
+        return out
+
+
+def roots_of(sets: Sets, similarity: float) -> np.ndarray:
+    """For each set the first one that is reached from it over pairs at the similarity or more."""
+    root = np.full(len(sets.sizes), -1, dtype=np.int64)
+    rest = np.arange(len(root))
+    while len(rest):
+        first, front, rest = rest[0], [rest[0]], rest[1:]
+        root[first] = first
+        while front and len(rest):
+            near = sets.similar(front.pop(), rest, similarity)
+            root[rest[near]] = first
+            front += rest[near].tolist()
+            rest = rest[~near]
+    return root
+
+
+def set_links(members: DataFrame, similarity: float) -> DataFrame:
+    """``(family, own, shingles)`` -> links ``(a, b)`` that connect exactly what the pairs of a family
+    at the similarity or more connect.
+
+    Up to DENSE texts are compared in one task. A larger family is dealt out in parts; then the first
+    texts of the parts' components meet. Nearly all of a crowd of near copies is one component now.
+    Each text outside the largest component is then compared with all texts of the family. So the
+    rows grow with the square only where a large family does not hang together.
+    """
+    sizes = members.groupBy("family").agg(_parts(F.count(F.lit(1))).alias("parts"))
+    dealt = members.join(sizes, "family").withColumn("part", F.pmod(F.xxhash64("own"), "parts").cast("int"))
+
+    def linked(group: pa.Table) -> list[np.ndarray]:
+        own, root = group.column("own").to_numpy(), roots_of(Sets(group), similarity)
+        return [group.column("family").to_numpy(), own, own[root]]
+
+    once = stored(_in_groups(dealt, ["family", "part"], linked, "family long, own long, root long"), "once")
+    links = once.filter("own <> root").select(F.col("own").alias("a"), F.col("root").alias("b"))
+    crowds = stored(dealt.filter("parts > 1"), "crowds")
+    firsts = crowds.join(once.filter("own = root").select("own"), "own", "left_semi").drop("parts", "part")
+    fewer = firsts.groupBy("family").agg(_parts(F.count(F.lit(1))).alias("parts"))
+    again = firsts.join(fewer, "family").withColumn("part", F.pmod(F.xxhash64("own", F.lit(1)), "parts").cast("int"))
+    second = _in_groups(again, ["family", "part"], linked, "family long, own long, root long")
+    links = stored(
+        links.union(second.filter("own <> root").select(F.col("own").alias("a"), F.col("root").alias("b"))), "sets"
+    )
+    roots = components(links).select(F.col("node").alias("own"), "root")
+    placed = crowds.join(roots, "own", "left").withColumn("root", F.coalesce("root", "own"))
+    placed = stored(placed, "placed")
+    counts = placed.groupBy("family", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = counts.groupBy("family").agg(
+        F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("n").alias("all"), F.max("n").alias("most")
     )
-    met = apart.withColumn("yours", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "bucket", "fp", "second", F.lit(False).alias("crowded"),
-        (F.least("mine", "yours") * F.col("parts") + F.greatest("mine", "yours")).alias("part"),
-    )
-    found = once.unionByName(_trees(met, rough)).filter("other IS NOT NULL")
-    pairs = found.select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b")).distinct()
-    whole = distinct.select("fp", "full")
-    both = pairs.join(whole.select(F.col("fp").alias("a"), F.col("full").alias("x")), "a")
-    both = both.join(whole.select(F.col("fp").alias("b"), F.col("full").alias("y")), "b")
-    return both.filter(_distance("x", "y") <= most_bits(similarity, BITS, 1.0)).select("a", "b")
+    main = main.filter(F.col("all") > F.col("most"))
+    left = placed.join(main.withColumn("lots", _parts(F.col("all") - F.col("most"))), "family")
+    outside = left.filter("root <> main").withColumn("lot", F.pmod(F.xxhash64("own", F.lit(2)), "lots").cast("int"))
+    outside = outside.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    inside = left.withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
+    names = ["family", "part", "lot", "own", "root", "shingles"]
+    met = outside.select(*names, F.lit(True).alias("asks")).union(inside.select(*names, F.lit(False).alias("asks")))
+
+    def crossed(group: pa.Table) -> list[np.ndarray]:
+        own, root = group.column("own").to_numpy(), group.column("root").to_numpy().copy()
+        asks, sets = group.column("asks").to_numpy(), Sets(group)
+        a, b = [], []
+        for one in np.flatnonzero(asks).tolist():
+            others = np.flatnonzero(~asks & (root != root[one]))
+            for other in others[sets.similar(one, others, similarity)].tolist():
+                if root[other] != root[one]:
+                    a.append(own[one])
+                    b.append(own[other])
+                    root[root == root[other]] = root[one]
+        return [np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)]
+
+    return links.union(_in_groups(met, ["family", "part", "lot"], crossed, "a long, b long"))
 
 
 def _distance(x: str, y: str) -> Column:
@@ -240,19 +345,30 @@ def similar_documents(
 ) -> DataFrame:
     """One row for each input row: ``(doc_id, fp, component_id)``, as ``simhash.near_duplicates``.
 
-    Linked are texts whose shingle similarity, as their fingerprints measure it, is ``similarity`` or
-    more: the 512 bits may differ in the expected number and one standard deviation more, so that
-    texts at 0.8 are mostly taken, at 0.7 hardly ever. Texts with equal first 64 bits are one class.
+    Linked are texts whose sets of shingles (by 64-bit hash) have a Jaccard similarity of ``similarity``
+    or more, as far as their fingerprints bring them into one family; see the module for the share.
+    No others are. Texts with equal sets are one class.
     A null text counts as empty; empty texts are copies of each other, and so are short texts of the
     same words. Repeated ids give repeated rows. A null id stays null and is never the smallest one.
     An empty table gives an empty result.
     """
     texts = narrow(docs, doc_id=id_col, text=text_col)
     marked = stored(long_fingerprints(texts, words, seed), "fingerprints")
-    classes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("full").alias("full"))
+    classes = marked.groupBy("own").agg(F.min("doc_id").alias("least"), F.min("full").alias("full"))
     classes = stored(classes, "classes")
-    links = similar_links(classes.select("fp", "full"), similarity)
-    return simhash.named(marked.select("doc_id", "fp"), classes.select("fp", "least"), links)
+    families = components(bit_links(classes.select("own", "full"), similarity))
+    families = families.select(F.col("node").alias("own"), F.col("root").alias("family"))
+    # One row of each class brings its set: copies end before the join.
+    wanted = classes.select(F.col("own").alias("mine"), "least").join(families, F.col("own") == F.col("mine"))
+    one = (F.col("own") == F.col("mine")) & F.col("doc_id").eqNullSafe(F.col("least"))
+    sets = marked.select("doc_id", "own", "shingles").join(wanted.drop("own"), one)
+    sets = stored(sets.select("family", "own", "shingles").dropDuplicates(["own"]), "sets")
+    roots = components(set_links(sets, similarity)).withColumnRenamed("node", "own")
+    placed = classes.select("own", "least").join(roots, "own", "left")
+    placed = placed.select("own", "least", F.coalesce("root", "own").alias("root"))
+    first = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = placed.join(first, "root").select("own", "component_id")
+    return marked.select("doc_id", "fp", "own").join(ids, "own").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
