@@ -221,6 +221,13 @@ def test_units_of_repeated_and_null_ids(spark):
     assert any(r["kept"] == line for r in made if r["doc_id"] == 1)
 
 
+@pytest.mark.parametrize("name", [None, 3])
+def test_units_at_the_same_place_of_rows_that_share_an_id(spark, name):
+    line = "one two three four five"
+    df = spark.createDataFrame([(name, line), (name, line + "\nx"), (name, line + "\ny")], "doc_id long, text string")
+    assert sum(line in r["kept"] for r in units.remove_units(df).collect()) == 1
+
+
 # URLs
 
 

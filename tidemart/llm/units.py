@@ -57,7 +57,7 @@ def remove_units(
     )
     worded = stored(worded, "units")
     rank = F.coalesce("doc_id", F.lit(LAST))
-    # A place's rank is its id, then its unit; both fit in fixed-width aggregates one after another.
+    # A place's rank is its id, then its unit, then its text's hash: rows that share an id differ there.
     least = (
         worded.groupBy("digest")
         .agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("first_id"))
@@ -69,10 +69,11 @@ def remove_units(
     first = (
         copies.filter(rank == F.col("first_id"))
         .groupBy("digest")
-        .agg(F.min("unit").alias("first_unit"))
+        .agg(F.min(F.struct("unit", "th")).alias("place"))
+        .select("digest", F.col("place.unit").alias("first_unit"), F.col("place.th").alias("first_th"))
     )
     gone = copies.join(stored(first, "first"), "digest").filter(
-        (rank != F.col("first_id")) | (F.col("unit") != F.col("first_unit"))
+        (rank != F.col("first_id")) | (F.col("unit") != F.col("first_unit")) | (F.col("th") != F.col("first_th"))
     )
     by_row = (
         gone.groupBy("doc_id", "th")
