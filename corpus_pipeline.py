@@ -28,7 +28,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of texts whose five-word shingles are similar at 0.8 or more.
 
-    Long fingerprints measure the similarity and decide; see the module for their reach.
+    Long fingerprints choose what is compared, the sets of shingles decide; see the module.
     """
     return similar.keep_one(docs, words=5, similarity=0.8)
 
