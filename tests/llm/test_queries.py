@@ -31,7 +31,7 @@ def test_against_sql(spark, duck, sf_dir, name):
 
 def test_all_are_registered():
     assert set(queries.QUERIES) <= set(contract.queries())
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
 def test_pipeline_stages(spark, sf_dir):

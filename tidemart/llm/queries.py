@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemart.llm import (
+    infill,
     langid,
     leaks,
     mixing,
     neighbours,
+    pieces,
     quality,
     repeats,
+    resample,
     simhash,
     toxicity,
     units,
@@ -121,6 +124,30 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+@query("op11_pieces")
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), model)
+    return pieces.decode(encoded, model).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op12_resample", resample.SQL)
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_infill", infill.SQL)
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.with_digests(infill.transform(table(spark, sf_dir, "documents")))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
