@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import leaks, mixing, quality, repeats, similar
+from tidemart.llm import leaks, mixing, quality, repeats, simhash
 from tidemart.llm.tables import stored
 
 
@@ -26,11 +26,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of texts whose five-word shingles are similar at 0.8 or more.
-
-    Long fingerprints choose what is compared, the sets of shingles decide; see the module.
-    """
-    return similar.keep_one(docs, words=5, similarity=0.8)
+    """Keeps one document of each group whose fingerprints of three-word shingles link at 3 bits."""
+    return simhash.keep_one(docs, words=3, max_bits=3)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +52,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", good),
-    ("near-duplicates", distinct),
+    ("simhash near-duplicates", distinct),
     ("repeated strings", unrepeated),
     ("benchmark decontamination", clean),
     ("source mixing", mixed),
