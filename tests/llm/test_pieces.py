@@ -59,14 +59,20 @@ def test_without_end_and_without_rows(spark, plain):
     assert rows(pieces.decode(spark.createDataFrame([(1, None)], "doc_id long, ids array<int>"), MODEL)) == [(1, None, "")]
 
 
-def test_each_chunk_is_segmented_once(spark, monkeypatch):
-    """What goes to the model are the distinct chunks of all texts."""
-    seen = spark.sparkContext.accumulator(0)
+def test_each_chunk_is_segmented_once(plain, monkeypatch):
+    """What goes to the model are the distinct chunks, over all blocks until the table is full."""
+    seen = []
     segment = pieces.segment
-    monkeypatch.setattr(pieces, "segment", lambda model, parts: (seen.add(len(parts)), segment(model, parts))[1])
-    docs = spark.createDataFrame([(i, "one two two three") for i in range(400)], "doc_id long, text string")
-    assert pieces.encode(docs.repartition(8), MODEL).count() == 400
-    assert seen.value in (0, 3)  # 0 where workers have a module of their own
+    monkeypatch.setattr(pieces, "segment", lambda model, parts: seen.extend(parts) or segment(model, parts))
+    table = pieces.ChunkTable(plain)
+    texts = ["one two two three", "", "three one", "four  two"] * 5
+    for text in texts:
+        positions = table.positions(text)
+        table.fill()
+        assert table.join(positions).tolist() == plain.encode(text)
+    assert sorted(seen) == sorted(set(seen)) and len(seen) == 5 and not table.full()
+    monkeypatch.setattr(pieces, "ENTRIES", 4)
+    assert table.full()
 
 
 def test_a_model_with_pieces_over_markers_is_refused(spark, monkeypatch):

@@ -1,8 +1,13 @@
 """Subword ids of whole texts by a table of distinct marked words, and texts from ids.
 
 Where no piece of a model reaches from one word over the space marker into the next one, a text can
-be cut in front of its marker runs and each part be segmented for itself. Corpora repeat their words,
-so each distinct part ("chunk") is segmented once; its ids are joined back by position.
+be cut in front of its marker runs and each part be segmented for itself. Texts repeat their words, so
+each distinct part ("chunk") of a task's texts is segmented once, and its ids are joined back by
+position.
+
+The table is a task's own, not one of the whole collection: sending the chunks of all texts to one
+table and their ids back takes more room than the texts (see the README), while segmenting a chunk
+again in another task costs microseconds.
 """
 
 from __future__ import annotations
@@ -15,17 +20,16 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemart.llm.tables import narrow, stored
+from tidemart.llm.tables import narrow
 
 MARK = "▁"
 #: A run of space markers and what follows it; a text without a leading marker begins with the rest.
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-#: Characters of the texts that share one local table of chunks.
-BLOCK = 1 << 21
-#: Ids in one batch that goes back to Spark.
-BATCH = 1 << 20
+#: Characters of texts whose new chunks are segmented together.
+BLOCK = 1 << 20
+#: Distinct chunks, and ids of theirs, in a task's table before it is begun anew.
+ENTRIES, IDS = 1 << 18, 1 << 21
 
 
 @cache
@@ -58,118 +62,40 @@ def segment(model: sentencepiece.SentencePieceProcessor, parts: list[str]) -> li
     ]
 
 
-def blocks(texts: DataFrame, shared) -> DataFrame:
-    """``(doc_id, text)`` -> ``(block, doc_ids, codes, chunks)``, a row for some BLOCK characters.
-
-    ``codes`` has for each text the places of its chunks in the block's table ``chunks``. ``block``
-    is unique in a table once written: Spark keeps the output of one attempt of each task.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = processor(shared.value)
-        local: dict[str, int] = {}
-        codes: list[np.ndarray] = []
-        ids: list[pa.Array] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal size
-            doc_ids = pa.concat_arrays(ids)
-            lengths = np.array([0, *map(len, codes)], dtype=np.int32).cumsum(dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(codes)))
-            whole = pa.array([0, len(codes)], pa.int32())
-            table = pa.array([0, len(local)], pa.int32())
-            arrays = [
-                pa.ListArray.from_arrays(whole, doc_ids),
-                pa.ListArray.from_arrays(whole, lists),
-                pa.ListArray.from_arrays(table, pa.array(list(local), pa.string())),
-            ]
-            local.clear()
-            codes.clear()
-            ids.clear()
-            size = 0
-            return pa.RecordBatch.from_arrays(arrays, names=["doc_ids", "codes", "chunks"])
-
-        for batch in batches:
-            begin = 0
-            for i, text in enumerate(batch.column("text")):
-                whole = text.as_py() or ""
-                found = chunks(model, whole)
-                row = [local.setdefault(part, len(local)) for part in found]
-                codes.append(np.array(row, dtype=np.int32))
-                size += len(whole)
-                if size >= BLOCK:
-                    ids.append(batch.column("doc_id").slice(begin, i + 1 - begin))
-                    begin = i + 1
-                    yield flush()
-            if begin < batch.num_rows:
-                ids.append(batch.column("doc_id").slice(begin))
-        if codes:
-            yield flush()
-
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    made = texts.select("doc_id", "text").mapInArrow(
-        run, f"doc_ids array<{kind}>, codes array<array<int>>, chunks array<string>"
-    )
-    return made.select(F.monotonically_increasing_id().alias("block"), "*")
+class ChunkTable:
+    """Distinct chunks in the order in which they came, with their ids end to end."""
 
+    def __init__(self, model: sentencepiece.SentencePieceProcessor):
+        self.model = model
+        self.places: dict[str, int] = {}
+        self.starts = np.zeros(1, dtype=np.int64)  # where each chunk's ids begin, and the end
+        self.ids = np.zeros(0, dtype=np.int32)
 
-def segmented(parts: DataFrame, shared) -> DataFrame:
-    """Distinct ``(chunk)`` -> ``(chunk, ids)``."""
+    def positions(self, text: str) -> np.ndarray:
+        """The places of a text's chunks; a new chunk gets the next place, its ids come with ``fill``."""
+        places = self.places
+        found = [places.setdefault(part, len(places)) for part in chunks(self.model, text)]
+        return np.array(found, dtype=np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = processor(shared.value)
-        for batch in batches:
-            ids = segment(model, batch.column("chunk").to_pylist())
-            arrays = [batch.column("chunk"), pa.array(ids, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "ids"])
+    def fill(self) -> None:
+        """Segments the chunks that came since the last time."""
+        fresh = list(self.places)[len(self.starts) - 1 :]
+        if not fresh:
+            return
+        made = segment(self.model, fresh)
+        lengths = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + lengths.cumsum()])
+        self.ids = np.concatenate([self.ids, np.fromiter((i for ids in made for i in ids), dtype=np.int32)])
 
-    return parts.mapInArrow(run, "chunk string, ids array<int>")
+    def join(self, positions: np.ndarray) -> np.ndarray:
+        """The ids of the chunks at ``positions``, end to end."""
+        starts = self.starts[positions]
+        lengths = self.starts[positions + 1] - starts
+        ends = lengths.cumsum()
+        return self.ids[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
 
-
-def _laid_out(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarray:
-    """The ids of the chunks ``codes``, end to end."""
-    each = lengths[codes]
-    ends = each.cumsum()
-    shift = starts[codes] - (ends - each)
-    return flat[np.repeat(shift, each) + np.arange(ends[-1] if len(ends) else 0)]
-
-
-def _joined_back(pairs: DataFrame, kind: str, end: int | None) -> DataFrame:
-    """``(doc_ids, codes, entries)`` -> ``(doc_id, ids)``, a row for each text of the block."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = [] if end is None else [end]
-        for batch in batches:
-            for i in range(batch.num_rows):
-                doc_ids = batch.column("doc_ids")[i].values
-                codes = batch.column("codes")[i].values
-                entries = batch.column("entries")[i].values
-                # A block of empty texts has no table.
-                place, ids = entries.flatten() if entries is not None else (None, None)
-                count = len(entries) if entries is not None else 0
-                starts, lengths = np.zeros(count, np.int64), np.zeros(count, np.int64)
-                flat = np.zeros(0, dtype=np.int32)
-                if count:
-                    flat = ids.values.to_numpy()
-                    offsets = ids.offsets.to_numpy()
-                    order = place.to_numpy()
-                    starts[order], lengths[order] = offsets[:-1], np.diff(offsets)
-                rows: list[np.ndarray] = []
-                begin = size = 0
-                for k in range(len(codes)):
-                    made = _laid_out(codes[k].values.to_numpy(), starts, lengths, flat)
-                    rows.append(np.append(made, last).astype(np.int32))
-                    size += len(rows[-1])
-                    if size > BATCH or k + 1 == len(codes):
-                        edges = np.array([0, *map(len, rows)], dtype=np.int32).cumsum(dtype=np.int32)
-                        lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(rows)))
-                        yield pa.RecordBatch.from_arrays(
-                            [doc_ids.slice(begin, len(rows)), lists], names=["doc_id", "ids"]
-                        )
-                        begin, size, rows = k + 1, 0, []
-
-    return pairs.mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    def full(self) -> bool:
+        return len(self.places) > ENTRIES or len(self.ids) > IDS
 
 
 def encode(
@@ -181,32 +107,48 @@ def encode(
 ) -> DataFrame:
     """``(doc_id, ids)`` for each row: the ids that the model gives the whole text, then its end id.
 
-    The model file is read once, by the driver, and sent to the tasks (half a megabyte). Texts are
-    cut into chunks; some BLOCK characters of texts share a local table of chunks, so a frequent word
-    costs a row for each block and not for each place. The distinct chunks of all blocks are
-    segmented once, joined to the blocks' tables and laid out by position. The join on chunks meets
-    stored tables, so AQE can split the rows of a chunk that is in every block.
+    The model file is read once, by the driver, and sent to the tasks (half a megabyte). Some BLOCK
+    characters of texts are cut into chunks at a time; their new chunks go to the task's table in one
+    call, then the texts' ids are laid out by position. Rows stay where they are: nothing is shuffled
+    or stored, and a lost task needs only its own texts again. A task holds one block, a table of some
+    ENTRIES chunks and the longest text with its ids.
 
     A null text counts as empty: only the end id. Texts without a space are one chunk of any length.
-    Rows are told apart by place, so repeated and null ids keep their rows. An empty table gives an
-    empty result; other columns are left out. A model with a piece over a marker is refused.
+    Repeated and null ids keep their rows. An empty table gives an empty result; other columns are left
+    out. A model with a piece over a marker is refused.
     """
     with open(model_path, "rb") as file:
         proto = file.read()
     if not stays_in_words(proto):
         raise ValueError("a piece of this model reaches over a space marker")
     shared = docs.sparkSession.sparkContext.broadcast(proto)
-    kind = docs.schema[id_col].dataType.simpleString()
-    cut = stored(blocks(narrow(docs, doc_id=id_col, text=text_col), shared), "blocks")
-    places = cut.select("block", F.posexplode("chunks").alias("place", "chunk"))
-    table = stored(segmented(places.select("chunk").distinct(), shared), "chunks")
-    entries = (
-        places.join(table, "chunk")
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("place", "ids")).alias("entries"))
-    )
-    pairs = cut.select("block", "doc_ids", "codes").join(entries, "block", "left")
-    return _joined_back(pairs, kind, processor(proto).eos_id() if add_end else None)
+    last = [processor(proto).eos_id()] if add_end else []
+    texts = narrow(docs, doc_id=id_col, text=text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = processor(shared.value)
+        table = ChunkTable(model)
+        for batch in batches:
+            begin = size = 0
+            held: list[np.ndarray] = []
+            for i, text in enumerate(batch.column("text")):
+                whole = text.as_py() or ""
+                held.append(table.positions(whole))
+                size += len(whole)
+                if size < BLOCK and i + 1 < batch.num_rows:
+                    continue
+                table.fill()
+                rows = [np.append(table.join(positions), last).astype(np.int32) for positions in held]
+                edges = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(rows)))
+                doc_ids = batch.column("doc_id").slice(begin, len(rows))
+                yield pa.RecordBatch.from_arrays([doc_ids, ids], names=["doc_id", "ids"])
+                begin, size, held = i + 1, 0, []
+                if table.full():
+                    table = ChunkTable(model)
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return texts.mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
