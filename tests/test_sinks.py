@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from tidemart.operators import config
 from tidemart.plans import dim
 from tidemart.session import scratch_dir
-from tidemart.sinks import writers
+from tidemart.sinks import files, writers
+from tidemart.sinks.keyed import KeyedTable
 from tidemart.sources import tables as sources
 from tidemart.streaming.runner import run_batches, start, stream_of, with_lookups
 
@@ -48,8 +49,8 @@ def test_full_join_to_upsert_stream(spark):
         frame(spark, part).coalesce(1).write.mode("append").parquet(source)
     stream = stream_of(spark, source, "id string, v string, n long", files_per_trigger=1)
     run_batches(stream, writers.write_upsert(path, ["id"], ["n"]), state)
-    assert spark.read.parquet(path).select("batch_id").distinct().count() > 1
-    assert rows(writers.read_upsert(spark, path, ["id"], ["n"]).select("id")) == [("a",), ("b",)]
+    assert KeyedTable(spark, path, ["id"]).current().batch > 0
+    assert rows(writers.read_upsert(spark, path, ["id"]).select("id")) == [("a",), ("b",)]
 
 
 def test_running_query(spark):
@@ -145,7 +146,41 @@ def test_rules_need_their_key_among_the_columns(spark):
     dim.write_dims(root, lambda: records)(sources.read_change_feed(spark.createDataFrame(lines, "value string")), 0)
     shop = {"sink_table": "dim_shop", "sink_columns": "id,x", "sink_pk": "id"}
     assert writers.read_dim(spark, root, shop).count() == 5
-    assert spark.read.parquet(root).select("sink_table").distinct().count() == 1
+    assert [n for n in files.names(spark, root) if not n.startswith("_")] == ["dim_shop"]
+
+
+def test_stored_columns_are_the_rules(spark):
+    """An added column is null in old rows and filled in new ones; the files have these columns."""
+    root = scratch_dir(spark, "dim")
+    narrow = {"sink_table": "dim_shop", "sink_columns": "id,a", "sink_pk": None}
+    wide = {"sink_table": "dim_shop", "sink_columns": "id,a,b", "sink_pk": None}
+    assert writers.ensure_dim_table(spark, root, narrow).names == ["id", "a"]
+    routed = "sink_table string, sink_key string, data map<string,string>, ts long"
+    write = writers.write_dim_routed(root)
+    write(spark.createDataFrame([("dim_shop", "1", {"id": "1", "a": "x"}, 1)], routed), 0)
+    assert writers.ensure_dim_table(spark, root, wide).names == ["id", "a", "b"]
+    assert rows(writers.read_dim(spark, root, wide)) == [("1", "x", None)]
+    write(spark.createDataFrame([("dim_shop", "1", {"id": "1", "b": "y"}, 2), ("dim_shop", "2", {"id": "2"}, 2)], routed), 1)
+    assert rows(writers.read_dim(spark, root, wide)) == [("1", "x", "y"), ("2", None, None)]
+    parts = [n for n in files.names(spark, f"{root}/dim_shop") if n.startswith("part-")]
+    stored = {tuple(c for c in spark.read.parquet(f"{root}/dim_shop/{n}").columns if c[0] != "_") for n in parts}
+    assert stored == {("id", "a"), ("id", "a", "b")}
+
+
+def test_changes_of_one_second_keep_their_order(spark):
+    """The position in the source decides, in facts and in dimensions."""
+    root, path = scratch_dir(spark, "dim"), scratch_dir(spark, "up")
+    order = [("9", 2), ("7", 0), ("8", 1)]
+    routed = [("t", "k", {"id": "k", "v": v}, 5, {"offset": at}) for v, at in order]
+    frame5 = spark.createDataFrame(
+        routed, "sink_table string, sink_key string, data map<string,string>, ts long, position struct<offset:long>"
+    )
+    writers.write_dim_routed(root)(frame5, 0)
+    table = {"sink_table": "t", "sink_columns": "id,v", "sink_pk": "id"}
+    assert rows(writers.read_dim(spark, root, table)) == [("k", "9")]
+    facts = frame5.selectExpr("sink_key AS id", "data['v'] AS v", "ts AS version", "position")
+    writers.write_upsert(path, ["id"], ["version"])(facts, 0)
+    assert rows(writers.read_upsert(spark, path, ["id"]).select("v")) == [("9",)]
 
 
 def test_lookups_see_a_growing_dictionary(spark):

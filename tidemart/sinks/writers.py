@@ -1,8 +1,9 @@
 """Sinks for tables and, as ``foreachBatch`` functions, for streams.
 
-Every file sink writes a micro-batch to its own ``batch_id=<n>`` folder and replaces that folder
-when the batch runs again after a failure, so no row is written twice. Work per batch grows with
-the batch, never with what was written before.
+Appending file sinks write a micro-batch to its own ``batch_id=<n>`` folder and replace that folder
+when the batch runs again after a failure, so no row is written twice; their work grows with the
+batch, never with what was written before. Upserts and dimensions are tables that fold by themselves
+(``sinks.keyed``).
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import types as T
 
 from tidemart.functions.times import now_ms
 from tidemart.operators.changes import latest_by_key
-from tidemart.schemas import STRING_MAP
+from tidemart.sinks import files
+from tidemart.sinks.keyed import REMOVED, KeyedTable
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -66,28 +68,31 @@ def write_exactly_once(path: str) -> BatchWriter:
 
 
 def write_upsert(path: str, keys: Sequence[str], order: Sequence[str]) -> BatchWriter:
-    """The last row per key of each batch, appended. ``read_upsert`` merges the batches."""
+    """The last row per key of each batch into a table that folds by itself.
+
+    A row with ``_removed`` true takes its key out. Rows of one batch with the same ``order`` values
+    are told apart by their ``position`` in the source, where they have one.
+    """
 
     def write(df: DataFrame, batch_id: int) -> None:
-        latest_by_key(df, keys, order).write.mode("overwrite").parquet(_batch_path(path, batch_id))
+        KeyedTable(df.sparkSession, path, keys, in_source(df, order)).write(df, batch_id)
 
     return write
 
 
-def read_upsert(
-    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = ()
-) -> DataFrame:
-    """The current row per key: the newest batch that has the key wins, then ``order``."""
-    rows = spark.read.parquet(path)
-    return latest_by_key(rows, keys, ["batch_id", *order]).drop("batch_id")
+def in_source(df: DataFrame, order: Sequence[str]) -> list[str]:
+    """The order columns, then the position in the source, if the rows carry it."""
+    return [*order, *(["position"] if "position" in df.columns and "position" not in order else [])]
+
+
+def read_upsert(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The current row per key: the newest batch that has the key wins."""
+    return KeyedTable(spark, path, keys).read()
 
 
-def compact_upsert(
-    spark: SparkSession, path: str, target: str, keys: Sequence[str], order: Sequence[str] = ()
-) -> None:
-    """Write the merged rows as batch 0 of another folder, to go on from there."""
-    merged = read_upsert(spark, path, keys, order)
-    merged.write.mode("overwrite").parquet(_batch_path(target, 0))
+def compact_upsert(spark: SparkSession, path: str, target: str, keys: Sequence[str]) -> None:
+    """The current rows as the first batch of another folder, to go on from there."""
+    KeyedTable(spark, target, keys).write(read_upsert(spark, path, keys), 0)
 
 
 def drop_transient(df: DataFrame, transient: Sequence[str]) -> DataFrame:
@@ -132,15 +137,6 @@ def write_routed(path: str, by: str = "kind") -> BatchWriter:
     return write
 
 
-DIM_ROW = T.StructType(
-    [
-        T.StructField("pk", T.StringType()),
-        T.StructField("data", STRING_MAP),
-        T.StructField("version", T.LongType()),
-    ]
-)
-
-
 def dim_schema(rule: Mapping[str, str]) -> T.StructType:
     """Columns of a dimension table: all text, the key (default ``id``) not null."""
     pk = rule.get("sink_pk") or "id"
@@ -153,71 +149,111 @@ def dim_schema(rule: Mapping[str, str]) -> T.StructType:
 
 
 def dim_rows(routed: DataFrame, version: str) -> DataFrame:
-    """Routed change records as keyed dimension rows."""
-    return routed.select(
-        "sink_table",
-        F.col("sink_key").alias("pk"),
-        "data",
-        F.col(version).cast("bigint").alias("version"),
-    )
+    """Routed change records as keyed dimension rows. Changes of one second keep the order of their
+    ``position`` in the source, if they carry it."""
+    order = [F.col(version).cast("bigint").alias("version")]
+    if "position" in routed.columns:
+        order.append(F.col("position"))
+    return routed.select("sink_table", F.col("sink_key").alias("pk"), "data", F.struct(*order).alias("version"))
 
 
-def merged_dim_rows(rows: DataFrame) -> DataFrame:
+def merged_dim_rows(rows: DataFrame, keys: Sequence[str] = ("sink_table", "pk")) -> DataFrame:
     """One row per table and key, each column with the value that came last.
 
     A change sets only the columns it has; a column it does not have keeps its value.
     """
-    cells = rows.select("sink_table", "pk", "version", F.explode("data").alias("name", "value"))
-    last = latest_by_key(cells, ["sink_table", "pk", "name"], ["version"])
+    cells = rows.select(*keys, "version", F.explode("data").alias("name", "value"))
+    last = latest_by_key(cells, [*keys, "name"], ["version"])
     entry = F.struct("name", "value")
-    return last.groupBy("sink_table", "pk").agg(
-        F.map_from_entries(F.collect_list(entry)).alias("data"), F.max("version").alias("version")
+    return last.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("data"))
+
+
+def _typed(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(pk, data)`` as stored rows: a text column for each name, and which of them are set."""
+    return rows.select(
+        F.col("pk").alias("_pk"),
+        *(F.col("data")[c].alias(c) for c in columns),
+        F.map_keys("data").alias("_set"),
+        F.lit(False).alias(REMOVED),
     )
 
 
+def dim_table(spark: SparkSession, root: str, sink_table: str) -> KeyedTable:
+    """A dimension table whose stored columns are its own; each column has its newest set value."""
+
+    def merge(rows: DataFrame) -> DataFrame:
+        columns = [c for c in rows.columns if not c.startswith("_")]
+        values = F.create_map(*(x for c in columns for x in (F.lit(c), F.col(c))))
+        data = F.map_filter(values, lambda k, v: F.array_contains("_set", k))
+        open_rows = rows.select(F.col("_pk").alias("pk"), F.col("_part").alias("version"), data.alias("data"))
+        merged = _typed(merged_dim_rows(open_rows, ["pk"]), columns)
+        return merged.withColumns({"_part": F.lit(0)})
+
+    return KeyedTable(spark, f"{root}/{sink_table}", ["_pk"], merge=merge)
+
+
+_INNER = (
+    T.StructField("_pk", T.StringType()),
+    T.StructField("_set", T.ArrayType(T.StringType())),
+)
+
+
 def ensure_dim_table(spark: SparkSession, root: str, rule: Mapping[str, str]) -> T.StructType:
-    """Make an empty table for a rule if there is none; gives the table's columns."""
-    path = f"{root}/batch_id=-1/sink_table={rule['sink_table']}"
-    spark.createDataFrame([], DIM_ROW).write.mode("ignore").parquet(path)
-    return dim_schema(rule)
+    """Make a table with the rule's columns, or add the columns that it does not have yet.
+
+    Gives the columns as they are stored. Old rows have nulls in an added column.
+    """
+    return _with_columns(spark, root, rule["sink_table"], dim_schema(rule).names).schema()
+
+
+def _with_columns(spark: SparkSession, root: str, sink_table: str, columns: Sequence[str]) -> KeyedTable:
+    table = dim_table(spark, root, sink_table)
+    fields = [T.StructField(name, T.StringType()) for name in columns]
+    table.create(T.StructType([_INNER[0], *fields, _INNER[1]]))
+    return table
 
 
 def write_dim_routed(root: str, version: str = "ts") -> BatchWriter:
-    """Upsert each routed record into the table it names: one write for all tables.
+    """Upsert each routed record into the table it names.
 
-    The last value per (table, key, column) of the batch is kept, cut on the map side first.
-    Records without a key go to the folder ``_keyless``, which table reads pass over.
+    The last value per (table, key, column) of the batch is kept, cut on the map side first, and
+    written once for all tables; from there each table that the batch touches takes its rows, under
+    its own columns. Columns that a table does not have yet are added. Records without a key go to the
+    folder ``_keyless``, which table reads pass over.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
         rows = dim_rows(df, version)
-        keyed = merged_dim_rows(rows.where("pk IS NOT NULL"))
-        write_routed(root, "sink_table")(keyed, batch_id)
+        staged = f"{root}/_staged"
+        merged = merged_dim_rows(rows.where("pk IS NOT NULL"))
+        write_routed(staged, "sink_table")(merged, batch_id)
         keyless = rows.where("pk IS NULL")
         keyless.write.mode("overwrite").parquet(_batch_path(f"{root}/_keyless", batch_id))
+        here = _batch_path(staged, batch_id)
+        touched = [n.partition("=")[2] for n in files.names(spark, here) if n.startswith("sink_table=")]
+        if touched:
+            # What a batch sets is few names for each table.
+            found = spark.read.parquet(here).select("sink_table", F.explode(F.map_keys("data"))).distinct()
+            columns: dict[str, list[str]] = {}
+            for sink_table, name in found.collect():
+                columns.setdefault(sink_table, []).append(name)
+            for sink_table, names in sorted(columns.items()):
+                table = _with_columns(spark, root, sink_table, sorted(names))
+                part = spark.read.parquet(here).where(F.col("sink_table") == sink_table)
+                shown = [f.name for f in table.schema().fields]
+                table.write(_typed(part, shown), batch_id, unique=True)
+        files.remove(spark, here)
 
     return write
 
 
 def read_dim(spark: SparkSession, root: str, rule: Mapping[str, str]) -> DataFrame:
-    """The current rows of one dimension table. Only that table's folders are read.
+    """The current rows of one dimension table, with the columns of the rule.
 
-    Each column has the value of the newest change that set it.
+    A column that the table does not have is null.
     """
-    schema = T.StructType(
-        [
-            *DIM_ROW.fields,
-            T.StructField("batch_id", T.LongType()),
-            T.StructField("sink_table", T.StringType()),
-        ]
+    rows = dim_table(spark, root, rule["sink_table"]).read()
+    return rows.select(
+        *(F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in dim_schema(rule).names)
     )
-    rows = spark.read.schema(schema).parquet(root).where(F.col("sink_table") == rule["sink_table"])
-    names = dim_schema(rule).names
-    order = F.struct("batch_id", "version")
-
-    def last(name: str):
-        is_set = F.map_contains_key("data", name)
-        newest = F.max_by(F.when(is_set, F.struct(F.col("data")[name].alias("v"))), F.when(is_set, order))
-        return newest["v"].alias(name)
-
-    return rows.groupBy("pk").agg(*[last(n) for n in names]).select(*names)

@@ -176,3 +176,77 @@ class JumpDetector(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class OuterJoin(StatefulProcessor):
+    """State: the rows of both sides of one join key that can still meet others, by side and id.
+
+    A row that a preserved side has no partner for is given at once, with the other side empty. When
+    a partner comes, that row is taken back and the pair is given. Within a micro-batch only the
+    outcome is given, so an output row is named once at most. In memory are the rows of one join key.
+    """
+
+    def __init__(self, keep_left: bool, keep_right: bool, within_ms: int | None):
+        self._keep = {True: keep_left, False: keep_right}
+        self._within = within_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._rows = handle.getMapState(
+            "rows", "is_left boolean, id string", "ts long, payload string, met boolean"
+        )
+
+    def _near(self, a: int, b: int) -> bool:
+        return self._within is None or abs(a - b) <= self._within
+
+    def handleInputRows(self, key, rows, timerValues):
+        held = {tuple(k): list(v) for k, v in self._rows.iterator()}
+        fresh = {}
+        for chunk in rows:
+            columns = (chunk[c] for c in ("is_left", "id", "ts", "payload"))
+            for is_left, row_id, ts, payload in zip(*columns):
+                fresh[bool(is_left), row_id] = [int(ts), payload, False]
+        known = {True: {}, False: {}}
+        for (is_left, row_id), row in {**held, **fresh}.items():
+            known[is_left][row_id] = row
+        pairs, met = [], set()
+        for is_left, row_id in fresh:
+            row = known[is_left][row_id]
+            for other_id, other in known[not is_left].items():
+                # A pair of two fresh rows is found from its left one.
+                if (is_left or (True, other_id) not in fresh) and self._near(row[0], other[0]):
+                    pairs.append((row[1], other[1]) if is_left else (other[1], row[1]))
+                    met |= {(is_left, row_id), (not is_left, other_id)}
+        alone, back = [], []
+        for name, row in {**held, **fresh}.items():
+            before = held[name][2] if name in held else None
+            if name in met and before is False and self._keep[name[0]]:
+                back.append((name[0], row[1]))
+            if name not in met and name in fresh and not before and self._keep[name[0]]:
+                alone.append((name[0], row[1]))
+            now = name in met or bool(before)
+            if name in fresh or now != before:
+                self._rows.updateValue(name, (row[0], row[1], now))
+            if name in fresh and self._within is not None:
+                self._handle.registerTimer(row[0] + self._within + 1)
+        out = [(left, right, False) for left, right in pairs]
+        out += [(p if is_left else None, None if is_left else p, False) for is_left, p in alone]
+        out += [(p if is_left else None, None if is_left else p, True) for is_left, p in back]
+        for at in range(0, len(out), CHUNK):
+            left, right, gone = zip(*out[at : at + CHUNK])
+            yield pd.DataFrame({"left": left, "right": right, "removed": gone}).astype(
+                {"left": object, "right": object}
+            )
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        """No row that can still come is near enough to these."""
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        gone = [tuple(k) for k, v in self._rows.iterator() if v[0] + self._within < now]
+        for name in gone:
+            self._rows.removeKey(name)
+        yield pd.DataFrame({"left": [], "right": [], "removed": []}).astype(
+            {"left": object, "right": object, "removed": bool}
+        )
+
+    def close(self) -> None:
+        pass

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemart.operators import changes, config, summaries, visits
 from tidemart.plans import dim
 from tidemart.session import scratch_dir
-from tidemart.sinks import writers
+from tidemart.sinks import files, keyed, writers
 from tidemart.sources import tables as sources
 from workload import adapters as a
 from workload import oracle as o
@@ -70,7 +70,7 @@ def write_upsert(spark, d):
     write(states.where("order_status = '1001'"), 0)
     for _ in range(2):
         write(states.where("order_status <> '1001'"), 1)
-    return writers.read_upsert(spark, path, ["id"], ["version"])
+    return writers.read_upsert(spark, path, ["id"])
 
 
 @query("latest_by_key", LATEST_ORDER)
@@ -118,30 +118,42 @@ def dim_tables(spark, root, rules):
 
 @query(
     "ensure_dim_table",
-    "SELECT c_mktsegment AS segment, 'k' || max(c_nationkey) AS pk, 0::BIGINT AS n_rows"
-    " FROM customer GROUP BY 1",
+    "SELECT c_mktsegment AS segment, unnest(['k' || max(c_nationkey), 'name', 'added']) AS name,"
+    " unnest([0, 1, 2]) AS place FROM customer GROUP BY 1",
 )
 def ensure_dim_table(spark, d):
-    """One empty table per segment, with columns named after the customers' nations."""
+    """The stored columns of one table per segment, named after the customers' nations, as the files
+    have them; each rule gains a column after its table was made."""
     root = scratch_dir(spark, "ensure")
-    rules = (
-        a.table(spark, d, "customer")
-        .groupBy(F.col("c_mktsegment").alias("sink_table"))
-        .agg(F.max("c_nationkey").alias("k"))
-        .withColumn("sink_columns", F.concat(F.lit("k"), "k", F.lit(",name")))
-        .withColumn("sink_pk", F.concat(F.lit("k"), "k"))
-    )
-    dim.make_dim_tables(spark, root, rules)
-    parts = []
-    for rule in rules.toLocalIterator():
-        empty = writers.read_dim(spark, root, rule.asDict())
-        name = F.lit(rule["sink_table"]).alias("segment")
-        parts.append(
-            empty.agg(F.count("*").alias("n_rows")).select(
-                name, F.lit(empty.columns[0]).alias("pk"), "n_rows"
-            )
-        )
-    return changes.union_streams(*parts)
+    first = F.concat(F.lit("k"), F.max("c_nationkey"))
+    rules = a.table(spark, d, "customer").groupBy(F.col("c_mktsegment").alias("sink_table")).agg(first.alias("sink_pk"))
+    for more in (",name", ",name,added"):
+        dim.make_dim_tables(spark, root, rules.withColumn("sink_columns", F.concat("sink_pk", F.lit(more))))
+    rows = []
+    for segment in (n for n in files.names(spark, root) if not n.startswith("_")):
+        held = writers.dim_table(spark, root, segment).current()
+        stored = spark.read.parquet(f"{root}/{segment}/{held.names[-1]}").columns
+        rows += [(segment, name, i) for i, name in enumerate(c for c in stored if not c.startswith("_"))]
+    return spark.createDataFrame(rows, "segment string, name string, place int")
+
+
+@query(
+    "write_upsert_folded",
+    LATEST_ORDER.replace("max(version) AS version", "max(version) AS version, true AS few_files"),
+)
+def write_upsert_folded(spark, d):
+    """Forty batches, inserts and then updates; ``few_files`` says that a read meets no more parts
+    than a few batches would leave."""
+    path = scratch_dir(spark, "folded")
+    states = _order_states(spark, d).withColumn("part", F.pmod(F.col("id").cast("bigint"), F.lit(20)))
+    write = writers.write_upsert(path, ["id"], ["version"])
+    most = 0
+    table = keyed.KeyedTable(spark, path, ["id"], ["version"])
+    for batch_id in range(40):
+        kind = "order_status = '1001'" if batch_id < 20 else "order_status <> '1001'"
+        write(states.where(f"part = {batch_id % 20} AND {kind}").drop("part"), batch_id)
+        most = max(most, len(table.current().parts))
+    return table.read().withColumn("few_files", F.lit(most <= (keyed.LEVELS - 1) * (keyed.FAN - 1) + 1))
 
 
 @query(

@@ -17,6 +17,7 @@ from tidemart.schemas import CHANGE_RECORD
 from tidemart.session import scratch_dir
 from tidemart.sinks import writers
 from tidemart.sources import tables as sources
+from tidemart.streaming.outer import upsert_join
 from tidemart.streaming.runner import run_available, run_batches, stream_of, with_lookups
 from workload import adapters as a
 from workload import job_queries as jobs
@@ -244,6 +245,112 @@ def left_left_join_stream(spark, d):
     return out.where(~F.col("id").startswith("flush-"))
 
 
+# Two sides made of the orders, in two runs; the second run has partners for rows of the first.
+SIDES = {
+    1: ("o_orderkey % 3 <> 0", "o_orderkey % 4 = 0"),
+    2: ("o_orderkey % 15 = 0", "o_orderkey % 4 = 2"),
+}
+
+
+def upsert_join_sql(how: str) -> str:
+    parts = []
+    for run in SIDES:
+        buyers, prices = (" OR ".join(f"({SIDES[r][i]})" for r in SIDES if r <= run) for i in (0, 1))
+        parts.append(f"""SELECT {run} AS run, l_id, r_id, buyer, price FROM
+          (SELECT o_orderkey AS l_id, o_custkey AS buyer FROM orders WHERE {buyers}) {how} JOIN
+          (SELECT o_orderkey AS r_id, o_totalprice AS price FROM orders WHERE {prices}) ON l_id = r_id""")
+    return " UNION ALL ".join(parts)
+
+
+def _upsert_join(spark, d, how: str):
+    """The keyed table after each of two runs; the second one replaces rows that were null-padded."""
+    orders = a.table(spark, d, "orders")
+    time = F.timestamp_seconds(a.at("o_orderkey"))
+    buyers = orders.select(F.col("o_orderkey").alias("l_id"), F.col("o_custkey").alias("buyer"), time.alias("l_et"))
+    prices = orders.select(F.col("o_orderkey").alias("r_id"), F.col("o_totalprice").alias("price"), time.alias("r_et"))
+    left, right = scratch_dir(spark, "buyers"), scratch_dir(spark, "prices")
+    path, checkpoint = scratch_dir(spark, "joined"), scratch_dir(spark, "state-joined")
+    results = []
+    for run, (of_left, of_right) in SIDES.items():
+        buyers.where(of_left.replace("o_orderkey", "l_id")).write.mode("append").parquet(left)
+        prices.where(of_right.replace("o_orderkey", "r_id")).write.mode("append").parquet(right)
+        joined = upsert_join(
+            listen(spark, left),
+            listen(spark, right),
+            [("l_id", "r_id")],
+            (["l_id"], ["r_id"]),
+            ("l_et", "r_et"),
+            how,
+            within_ms=60_000,
+            delay="60 days",
+        )
+        run_batches(joined, writers.write_upsert(path, ["l_id", "r_id"], []), checkpoint)
+        now = writers.read_upsert(spark, path, ["l_id", "r_id"])
+        # What the table says now: the next run changes it.
+        kept = topic(spark, f"run-{run}", now.select(F.lit(run).alias("run"), "l_id", "r_id", "buyer", "price"))
+        results.append(spark.read.parquet(kept))
+    return changes.union_streams(*results)
+
+
+@query("full_stream_join_upsert_stream", upsert_join_sql("FULL"))
+def full_stream_join_upsert_stream(spark, d):
+    return _upsert_join(spark, d, "full")
+
+
+@query("left_stream_join_upsert_stream", upsert_join_sql("LEFT"))
+def left_stream_join_upsert_stream(spark, d):
+    return _upsert_join(spark, d, "left")
+
+
+def _outer_stream(spark, d, join):
+    """Activities and coupons of the same line, each with or without the other, by the watermark."""
+    tables = ("order_detail_activity", "order_detail_coupon")
+    path = feed_topic(spark, d, *tables)
+
+    def build():
+        feed = feed_of(spark, path)
+        sides = []
+        for table, key, value in zip(tables, ("oa", "oc"), ("activity_id", "coupon_id")):
+            link, time = field("order_detail_id").alias(f"{key}_id"), F.col("et").alias(f"{key}_et")
+            sides.append(changes.cdc_filter(feed, table, [link, value, time]))
+        joined = join(*sides, [("oa_id", "oc_id")], times=("oa_et", "oc_et"), within="5 SECONDS")
+        return joined.select("oa_id", "oc_id", "activity_id", "coupon_id")
+
+    def flush():
+        """Later changes of both tables: lines with an id of their own, to be left out again."""
+        steps = []
+        for second in LATER_SECONDS:
+            rows = [
+                (a.DATABASE, t, "insert", str(second), {"order_detail_id": f"flush-{t}-{second}"}, None)
+                for t in tables
+            ]
+            feed = spark.createDataFrame(rows, CHANGE_RECORD)
+            steps.append(lambda feed=feed: a.feed_messages(feed).write.mode("append").parquet(path))
+        return steps
+
+    out = spark.read.parquet(drain(spark, "outer", build, flush()))
+    return out.where(~F.coalesce("oa_id", "oc_id").startswith("flush-"))
+
+
+def outer_sql(how: str) -> str:
+    return with_ctes(
+        "SELECT x.order_detail_id AS oa_id, y.order_detail_id AS oc_id, activity_id, coupon_id"
+        f" FROM activity x {how} JOIN coupon y ON x.order_detail_id = y.order_detail_id",
+        "activity",
+        "coupon",
+    )
+
+
+@query("right_stream_join_stream", outer_sql("RIGHT"))
+def right_stream_join_stream(spark, d):
+    return _outer_stream(spark, d, joins.right_stream_join)
+
+
+@query("full_stream_join_stream", outer_sql("FULL"))
+def full_stream_join_stream(spark, d):
+    return _outer_stream(spark, d, joins.full_stream_join)
+
+
 WITHIN = "30 MINUTES"
 
 
@@ -338,7 +445,7 @@ def write_upsert_stream(spark, d):
         feed_of(spark, feed_path), "order_info", ["id", "order_status", version], types=None
     )
     run_batches(states, writers.write_upsert(path, ["id"], ["version"]), checkpoint)
-    return writers.read_upsert(spark, path, ["id"], ["version"])
+    return writers.read_upsert(spark, path, ["id"])
 
 
 @query(
@@ -355,6 +462,101 @@ def dim_app_stream(spark, d):
     return sink_jobs.dim_tables(spark, root, config.latest_config(sources.read_config_cdc(rules)))
 
 
+# The time at which rules change, in seconds, and what comes with them.
+CHANGED = a.BASE_SECONDS + 3600
+
+
+def _rules(spark, rows) -> DataFrame:
+    """``(op, source, sink, columns, key, ms)`` as rule texts."""
+    fields = "source_table:string,sink_table:string,sink_columns:string,sink_pk:string"
+    made = []
+    for op, *rule, ms in rows:
+        made.append((tuple(rule), None, op, ms) if op == "d" else (None, tuple(rule), op, ms))
+    frame = spark.createDataFrame(made, f"before struct<{fields}>, after struct<{fields}>, op string, ts_ms long")
+    return frame.select(F.to_json(F.struct(*frame.columns)).alias("value"))
+
+
+@query(
+    "dim_app_live_rules",
+    """SELECT 'customer' AS source, CAST(c_custkey AS VARCHAR) AS id, c_name AS name,
+      CASE WHEN c_acctbal < 0 THEN lower(c_mktsegment) END AS detail FROM customer
+    UNION ALL SELECT 'supplier', CAST(s_suppkey AS VARCHAR),
+      CASE WHEN s_acctbal < 0 THEN 'late ' ELSE '' END || s_name, CAST(s_nationkey AS VARCHAR) FROM supplier
+    UNION ALL SELECT 'nation', CAST(n_nationkey AS VARCHAR), n_name, NULL FROM nation
+    UNION ALL SELECT 'lacking dim_region', CAST(b AS VARCHAR), CAST(count(*) AS VARCHAR), NULL
+      FROM region, range(2) r(b) GROUP BY b""",
+)
+def dim_app_live_rules(spark, d):
+    """Rules and changes as two streams, in two runs. Between them the customer rule gains a column,
+    the supplier rule is removed and a nation rule comes; the region rule lacks its key all along.
+
+    Suppliers of the second run come too late for their rule, but for those whose change is from before.
+    """
+    feed_path, rule_path = scratch_dir(spark, "feed"), scratch_dir(spark, "rules")
+    root, checkpoint = scratch_dir(spark, "live"), scratch_dir(spark, "state-live")
+    first = a.change_feed(spark, d, *jobs.DIM_TABLES)
+
+    def renamed(table: str, word: str, second: int, where: str = "true") -> DataFrame:
+        name = F.map_from_arrays(F.array(F.lit("name")), F.array(F.concat(F.lit(word), F.col("data")["name"])))
+        rest = F.map_filter("data", lambda k, v: k != "name")
+        rows = first.where((F.col("table") == table) & F.expr(where))
+        return rows.withColumns({"data": F.map_concat(rest, name), "ts": F.lit(str(second))})
+
+    late = first.withColumn("ts", F.lit(str(CHANGED)))
+    runs = [
+        (
+            [
+                ("r", "customer", "dim_customer", "id,name", "id", 1),
+                ("r", "supplier", "dim_supplier", "id,name,nation", None, 1),
+                ("r", "region", "dim_region", "name", "id", 1),
+            ],
+            first,
+        ),
+        (
+            [
+                ("u", "customer", "dim_customer", "id,name,segment", "id", CHANGED * 1000),
+                ("d", "supplier", "dim_supplier", "id,name,nation", None, CHANGED * 1000),
+                ("c", "nation", "dim_nation", "n_id,n_name", "n_id", CHANGED * 1000),
+            ],
+            late.where("table = 'customer' AND type = 'update'")
+            .unionByName(late.where("table IN ('nation', 'region', 'part')"))
+            .unionByName(renamed("supplier", "late ", CHANGED - 1, "try_cast(data['acctbal'] AS decimal(18,2)) < 0"))
+            .unionByName(renamed("supplier", "gone ", CHANGED)),
+        ),
+    ]
+    for rules, rows in runs:
+        _rules(spark, rules).write.mode("append").parquet(rule_path)
+        a.feed_messages(rows).write.mode("append").parquet(feed_path)
+        texts = sources.read_stream_raw(spark, "parquet", schema="value string", path=feed_path)
+        rule_texts = sources.read_stream_raw(spark, "parquet", schema="value string", path=rule_path)
+        both = dim.with_rules(sources.read_change_feed(texts), sources.read_config_cdc(rule_texts))
+        run_batches(both, dim.write_dims_live(root), checkpoint)
+    parts = []
+    for source, columns, key in (
+        ("customer", "id,name,segment", "id"),
+        ("supplier", "id,name,nation", "id"),
+        ("nation", "n_id,n_name", "n_id"),
+    ):
+        rule = {"sink_table": f"dim_{source}", "sink_columns": columns, "sink_pk": key}
+        table = writers.read_dim(spark, root, rule)
+        extra = F.col(table.columns[2]) if len(table.columns) > 2 else F.lit(None).cast("string")
+        parts.append(
+            table.select(
+                F.lit(source).alias("source"),
+                F.col(table.columns[0]).alias("id"),
+                F.col(table.columns[1]).alias("name"),
+                extra.alias("detail"),
+            )
+        )
+    lacking = dim.read_lacking(spark, root).select(
+        F.concat(F.lit("lacking "), "sink_table").alias("source"),
+        F.col("batch_id").cast("string").alias("id"),
+        F.col("n").cast("string").alias("name"),
+        F.lit(None).cast("string").alias("detail"),
+    )
+    return changes.union_streams(*parts, lacking)
+
+
 @query("cart_add_new_code_stream", ORACLES["cart_add"])
 def cart_add_new_code_stream(spark, d):
     """Carts in two runs; the dictionary gets the code of the second run's carts between them."""
