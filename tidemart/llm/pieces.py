@@ -29,7 +29,7 @@ CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Characters of texts whose new chunks are segmented together.
 BLOCK = 1 << 20
 #: Distinct chunks, and ids of theirs, in a task's table before it is begun anew.
-ENTRIES, IDS = 1 << 18, 1 << 21
+ENTRIES, IDS = 1 << 19, 1 << 22
 
 
 @cache
@@ -163,7 +163,8 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = processor(shared.value)
         for batch in batches:
-            texts = [model.decode(ids.as_py() or []) for ids in batch.column("ids")]
+            lists = (ids.values for ids in batch.column("ids"))
+            texts = [model.decode([] if ids is None else ids.to_numpy().tolist()) for ids in lists]
             arrays = [*batch.columns, pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids", "text"])
 
