@@ -62,17 +62,22 @@ def favor_add(feed: DataFrame) -> DataFrame:
     return _dated(rows, "create_time", "id user_id sku_id date_id create_time ts")
 
 
-def comment(feed: DataFrame, dictionary: DataFrame) -> DataFrame:
+COMMENT_COLUMNS = "id user_id sku_id order_id date_id create_time appraise_code appraise_name ts".split()
+COMMENT_NAMES = {"appraise_code": "appraise_name"}
+
+
+def comment(feed: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
+    """Inserted comments. Without a dictionary there is no ``appraise_name``: streams add it per
+    micro-batch with ``runner.with_lookups`` and COMMENT_NAMES."""
     fields = ["id", "user_id", "sku_id", "order_id", "create_time"]
     rows = cdc_filter(
         feed, "comment_info", [*fields, field("appraise").alias("appraise_code")], keep=["ts"]
     )
+    if dictionary is None:
+        coded = [c for c in COMMENT_COLUMNS if c not in COMMENT_NAMES.values()]
+        return _dated(rows, "create_time", " ".join(coded))
     named = lookup_join(rows, lookup_entries(dictionary), "appraise_code", "appraise_name")
-    return _dated(
-        named,
-        "create_time",
-        "id user_id sku_id order_id date_id create_time appraise_code appraise_name ts",
-    )
+    return _dated(named, "create_time", " ".join(COMMENT_COLUMNS))
 
 
 def user_register(feed: DataFrame) -> DataFrame:

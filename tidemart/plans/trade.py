@@ -88,19 +88,45 @@ def _time(name: str):
     return F.col("et").alias(name)
 
 
+def _named(facts: DataFrame, dictionary: DataFrame | None, names: dict[str, str]) -> DataFrame:
+    """Facts with dictionary names (``{code column: name column}``), or as they are without a dictionary."""
+    if dictionary is None:
+        return facts
+    entries = lookup_entries(dictionary)
+    for code, name in names.items():
+        facts = lookup_join(facts, entries, code, name)
+    return facts
+
+
+def _shown(columns: list[str], dictionary: DataFrame | None, names: dict[str, str]) -> list[str]:
+    return [c for c in columns if dictionary is not None or c not in names.values()]
+
+
+# Which names a job takes from the dictionary. A stream runs the job without a dictionary and gives
+# these to ``runner.with_lookups``, so that a code which came after its start is found.
+PRE_NAMES = {"source_type_id": "source_type_name"}
+PAY_NAMES = {"payment_type_code": "payment_type_name"}
+REFUND_NAMES = {
+    "refund_type_code": "refund_type_name",
+    "refund_reason_type_code": "refund_reason_type_name",
+}
+
+
 def order_pre_process(
     feed: DataFrame,
-    dictionary: DataFrame,
+    dictionary: DataFrame | None = None,
     database: str | None = None,
     within: str | None = None,
 ) -> DataFrame:
     """Order lines with their order, activity, coupon and source name, one row per order change.
 
+    Without a dictionary there is no ``source_type_name``: streams add it per micro-batch.
     ``et`` (time of the line's change) and ``version`` (of the order's change, in seconds) are
     added to the columns, for later joins and for upserts by ``id``.
     """
     details = cdc_filter(feed, "order_detail", DETAIL_FIELDS, database=database, keep=["et"])
-    details = lookup_join(details, lookup_entries(dictionary), "source_type", "source_type_name")
+    details = details.withColumnRenamed("source_type", "source_type_id")
+    details = _named(details, dictionary, PRE_NAMES)
     version = F.col("ts").try_cast("bigint").alias("version")
     orders = cdc_filter(
         feed,
@@ -136,9 +162,7 @@ def order_pre_process(
     joined = inner_stream_join(
         joined, orders, [("order_id", "oi_id")], times=("et", "oi_et"), within=within
     ).drop("oi_et")
-    return joined.withColumnRenamed("source_type", "source_type_id").select(
-        *PRE_PROCESS_COLUMNS, "version", "et"
-    )
+    return joined.select(*_shown(PRE_PROCESS_COLUMNS, dictionary, PRE_NAMES), "version", "et")
 
 
 def order_detail(pre: DataFrame) -> DataFrame:
@@ -155,9 +179,12 @@ def cancel_detail(pre: DataFrame) -> DataFrame:
 
 
 def pay_detail_suc(
-    feed: DataFrame, details: DataFrame, dictionary: DataFrame, within: str | None = None
+    feed: DataFrame, details: DataFrame, dictionary: DataFrame | None = None, within: str | None = None
 ) -> DataFrame:
-    """Order lines that were paid. ``details`` is the result of ``order_detail``."""
+    """Order lines that were paid. ``details`` is the result of ``order_detail``.
+
+    Without a dictionary there is no ``payment_type_name``.
+    """
     payments = cdc_filter(
         feed,
         "payment_info",
@@ -166,14 +193,14 @@ def pay_detail_suc(
         types=("update",),
         where=field("payment_status") == PAID,
     )
-    payments = lookup_join(payments, lookup_entries(dictionary), "payment_type_code", "payment_type_name")
+    payments = _named(payments, dictionary, PAY_NAMES)
     joined = inner_stream_join(
         payments, details, [("pi_order_id", "order_id")], times=("pi_et", "et"), within=within
     )
     return (
         joined.withColumnRenamed("id", "order_detail_id")
         .withColumnRenamed("split_total_amount", "split_payment_amount")
-        .select(*PAY_COLUMNS)
+        .select(*_shown(PAY_COLUMNS, dictionary, PAY_NAMES))
     )
 
 
@@ -192,14 +219,14 @@ def cart_add(
         database=database,
         where=is_increase("sku_num"),
     )
-    if dictionary is None:
-        coded = carts.withColumnRenamed("source_type", "source_type_id")
-        return coded.select(*[c for c in CART_COLUMNS if c != "source_type_name"])
-    named = lookup_join(carts, lookup_entries(dictionary), "source_type", "source_type_name")
-    return named.withColumnRenamed("source_type", "source_type_id").select(*CART_COLUMNS)
+    named = _named(carts.withColumnRenamed("source_type", "source_type_id"), dictionary, PRE_NAMES)
+    return named.select(*_shown(CART_COLUMNS, dictionary, PRE_NAMES))
 
 
-def order_refund(feed: DataFrame, dictionary: DataFrame, within: str | None = None) -> DataFrame:
+def order_refund(
+    feed: DataFrame, dictionary: DataFrame | None = None, within: str | None = None
+) -> DataFrame:
+    """Refunded lines of orders that moved to the refund state. Without a dictionary no names."""
     refunds = cdc_filter(
         feed,
         "order_refund_info",
@@ -208,9 +235,7 @@ def order_refund(feed: DataFrame, dictionary: DataFrame, within: str | None = No
         + [_as("refund_reason_type", "refund_reason_type_code")],
         keep=["ts", "et"],
     )
-    names = lookup_entries(dictionary)
-    refunds = lookup_join(refunds, names, "refund_type_code", "refund_type_name")
-    refunds = lookup_join(refunds, names, "refund_reason_type_code", "refund_reason_type_name")
+    refunds = _named(refunds, dictionary, REFUND_NAMES)
     orders = cdc_filter(
         feed,
         "order_info",
@@ -224,17 +249,20 @@ def order_refund(feed: DataFrame, dictionary: DataFrame, within: str | None = No
     return (
         joined.withColumn("date_id", date_id("create_time"))
         .withColumn("row_op_ts", F.current_timestamp())
-        .select(*REFUND_COLUMNS)
+        .select(*_shown(REFUND_COLUMNS, dictionary, REFUND_NAMES))
     )
 
 
 def refund_pay_suc(
     feed: DataFrame,
-    dictionary: DataFrame,
+    dictionary: DataFrame | None = None,
     within: str | None = None,
     strict: bool = False,
 ) -> DataFrame:
-    """Paid-back refunds. ``strict`` also asks for the refund states 0702 and 0705."""
+    """Paid-back refunds. ``strict`` also asks for the refund states 0702 and 0705.
+
+    Without a dictionary there is no ``payment_type_name``.
+    """
     payments = cdc_filter(
         feed,
         "refund_payment",
@@ -244,7 +272,7 @@ def refund_pay_suc(
         where=status_transition("refund_status", "0702") if strict else None,
         keep=["ts", "et"],
     )
-    payments = lookup_join(payments, lookup_entries(dictionary), "payment_type_code", "payment_type_name")
+    payments = _named(payments, dictionary, PAY_NAMES)
     orders = cdc_filter(
         feed,
         "order_info",
@@ -272,5 +300,5 @@ def refund_pay_suc(
     return (
         joined.withColumn("date_id", date_id("callback_time"))
         .withColumn("row_op_ts", F.current_timestamp())
-        .select(*REFUND_PAY_COLUMNS)
+        .select(*_shown(REFUND_PAY_COLUMNS, dictionary, PAY_NAMES))
     )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import time
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemart.operators.joins import lookup_entries, lookup_join
 
@@ -45,24 +47,67 @@ def run_batches(
     query.awaitTermination()
 
 
+class Lookup:
+    """A dictionary with a life time, as a running stream uses it.
+
+    A snapshot serves micro-batches for ``max_age`` seconds. It is read anew when it is older, and at
+    once when a micro-batch has a code that it lacks: a new code is found whatever the age, a changed
+    name after ``max_age`` at the latest. With an age of 0 each micro-batch reads.
+    """
+
+    def __init__(
+        self,
+        read: Callable[[], DataFrame],
+        max_age: float = 0.0,
+        clock: Callable[[], float] = time.monotonic,
+    ):
+        self.read, self.max_age, self.clock = read, max_age, clock
+        self.held: DataFrame | None = None
+        self.since = 0.0
+
+    def _renewed(self) -> DataFrame:
+        if self.held is not None:
+            self.held.unpersist()
+        self.since = self.clock()
+        self.held = lookup_entries(self.read())
+        if self.max_age:
+            self.held = self.held.persist()
+        return self.held
+
+    def entries(self, facts: DataFrame, codes: Collection[str]) -> DataFrame:
+        """The dictionary for a micro-batch with codes in the given columns."""
+        if self.held is None or self.clock() - self.since >= self.max_age:
+            return self._renewed()
+        used = facts.select(F.explode(F.array(*codes)).alias("dic_code")).where("dic_code IS NOT NULL")
+        unknown = used.join(self.held, "dic_code", "left_anti")
+        return self.held if unknown.isEmpty() else self._renewed()
+
+
 def with_lookups(
     write: Callable[[DataFrame, int], None],
     read: Callable[[], DataFrame],
     names: Mapping[str, str],
     how: str = "inner",
+    max_age: float = 0.0,
 ) -> Callable[[DataFrame, int], None]:
     """Batch writer that adds dictionary names (``{code column: name column}``) before ``write``.
 
-    ``read`` gives the dictionary as it is now. It is called for each micro-batch, so codes that
-    came after the stream was started are found, and the join is planned by today's size. Stateful
-    joins go before, on the codes.
+    ``read`` gives the dictionary as it is now; it is called when the snapshot is ``max_age`` seconds
+    old or lacks a code of the micro-batch (see ``Lookup``), so codes that came after the stream was
+    started are found, and the join is planned by today's size. Stateful joins go before, on the codes.
     """
+    lookup = Lookup(read, max_age)
 
     def run(df: DataFrame, batch_id: int) -> None:
-        entries = lookup_entries(read())
+        # With a life time the rows are looked at twice: for codes that are new, and to be written.
+        df = df.persist() if max_age else df
+        entries = lookup.entries(df, names)
+        named = df
         for code, name in names.items():
-            df = lookup_join(df, entries, code, name, how)
-        write(df, batch_id)
+            named = lookup_join(named, entries, code, name, how)
+        write(named, batch_id)
+        if max_age:
+            df.unpersist()
 
     return run
 

@@ -557,33 +557,99 @@ def dim_app_live_rules(spark, d):
     return changes.union_streams(*parts, lacking)
 
 
-@query("cart_add_new_code_stream", ORACLES["cart_add"])
-def cart_add_new_code_stream(spark, d):
-    """Carts in two runs; the dictionary gets the code of the second run's carts between them."""
+def two_runs(spark, d, tables, code: str, late, build, names, flush=()):
+    """A job on codes in two runs, names added by its writer. The dictionary gets ``code`` between the
+    runs, and the changes for which ``late`` holds come with the second one."""
     dictionary = a.dictionary(spark, d)
-    carts = a.change_feed(spark, d, "cart_info")
-    late = F.col("data")["source_type"] == "R"
-    feed_path, names = scratch_dir(spark, "carts"), scratch_dir(spark, "names")
-    out, checkpoint = scratch_dir(spark, "cart-out"), scratch_dir(spark, "cart-state")
-    columns = CHANGE_RECORD.names
+    feed = a.change_feed(spark, d, *tables)
+    is_late = F.coalesce(late, F.lit(False))
+    feed_path, entries = scratch_dir(spark, "changes"), scratch_dir(spark, "names")
+    out, checkpoint = scratch_dir(spark, "coded-out"), scratch_dir(spark, "coded-state")
 
     def run() -> None:
-        feed = sources.with_times(stream_of(spark, feed_path, CHANGE_RECORD))
-        coded = trade.cart_add(feed, database=a.DATABASE)
         write = with_lookups(
             lambda rows, n: rows.write.mode("overwrite").parquet(f"{out}/batch_id={n}"),
-            lambda: sources.read_lookup(spark, names),
-            {"source_type_id": "source_type_name"},
+            lambda: sources.read_lookup(spark, entries),
+            names,
+            max_age=3600,
         )
-        run_batches(coded, write, checkpoint)
+        # Rows of the second run are older than many of the first: a long delay keeps them.
+        run_batches(build(feed_of(spark, feed_path, "60 days")), write, checkpoint)
 
-    carts.where(~late).select(*columns).write.parquet(feed_path)
-    dictionary.where("dic_code <> 'R'").write.parquet(names)
+    a.feed_messages(feed.where(~is_late)).write.parquet(feed_path)
+    dictionary.where(F.col("dic_code") != code).write.parquet(entries)
     run()
-    dictionary.where("dic_code = 'R'").write.mode("append").parquet(names)
-    carts.where(late).select(*columns).write.mode("append").parquet(feed_path)
+    dictionary.where(F.col("dic_code") == code).write.mode("append").parquet(entries)
+    a.feed_messages(feed.where(is_late)).write.mode("append").parquet(feed_path)
     run()
-    return spark.read.parquet(out).select(*trade.CART_COLUMNS)
+    for step in flush_feed(spark, feed_path, flush):
+        step()
+        run()
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@query("cart_add_new_code_stream", ORACLES["cart_add"])
+def cart_add_new_code_stream(spark, d):
+    late = field("source_type") == "R"
+    found = two_runs(spark, d, ["cart_info"], "R", late, trade.cart_add, trade.PRE_NAMES)
+    return found.select(*trade.CART_COLUMNS)
+
+
+@query("order_pre_process_new_code_stream", ORACLES["order_pre_process"])
+def order_pre_process_new_code_stream(spark, d):
+    late = field("source_type") == "R"
+
+    def build(feed):
+        return trade.order_pre_process(feed, within=WITHIN)
+
+    found = two_runs(spark, d, jobs.ORDER_TABLES, "R", late, build, trade.PRE_NAMES, jobs.ORDER_TABLES)
+    old = field("order_status", "old").alias("old_status")
+    return found.select(*jobs.PRE_VISIBLE, old, "version")
+
+
+@query("pay_detail_suc_new_code_stream", ORACLES["pay_detail_suc"])
+def pay_detail_suc_new_code_stream(spark, d):
+    """Order lines come from the topic of the job before; payments of one type come later."""
+    _, lines = pre_process_topic(spark, d)
+
+    def build(feed):
+        details = trade.order_detail(listen(spark, lines)).withWatermark("et", "60 days")
+        return trade.pay_detail_suc(feed, details, within="905 SECONDS")
+
+    late = field("payment_type") == "1-URGENT"
+    found = two_runs(spark, d, ["payment_info"], "1-URGENT", late, build, trade.PAY_NAMES)
+    return found.select(*trade.PAY_COLUMNS)
+
+
+@query("order_refund_new_code_stream", ORACLES["order_refund"])
+def order_refund_new_code_stream(spark, d):
+    late = field("refund_type") == "O"
+
+    def build(feed):
+        return trade.order_refund(feed, within=WITHIN)
+
+    tables = ["order_refund_info", "order_info"]
+    found = two_runs(spark, d, tables, "O", late, build, trade.REFUND_NAMES)
+    return found.select(*[c for c in trade.REFUND_COLUMNS if c != "row_op_ts"])
+
+
+@query("refund_pay_suc_new_code_stream", ORACLES["refund_pay_suc"])
+def refund_pay_suc_new_code_stream(spark, d):
+    late = field("payment_type") == "O"
+
+    def build(feed):
+        return trade.refund_pay_suc(feed, within=WITHIN)
+
+    tables = ["order_refund_info", "refund_payment", "order_info"]
+    found = two_runs(spark, d, tables, "O", late, build, trade.PAY_NAMES)
+    return found.select(*[c for c in trade.REFUND_PAY_COLUMNS if c != "row_op_ts"])
+
+
+@query("comment_new_code_stream", ORACLES["comment"])
+def comment_new_code_stream(spark, d):
+    late = field("appraise") == "assistant"
+    found = two_runs(spark, d, ["comment_info"], "assistant", late, members.comment, members.COMMENT_NAMES)
+    return found.select(*members.COMMENT_COLUMNS)
 
 
 @query(
