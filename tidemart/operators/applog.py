@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.operators.changes import json_object
+
 KINDS = ("error", "start", "display", "action", "page")
+#: The kind of lines that are no records, beside the five.
+DIRTY = "dirty"
 
 
 def _common_json() -> Column:
@@ -46,35 +50,48 @@ def _as_map(value: Column) -> Column:
     return F.try_variant_get(value, "$", "map<string,variant>")
 
 
-def open_records(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Log records with all fields they have, and the lines that are no records.
+def opened_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Each line with its JSON object as variant ``record`` and what the visitor logic reads.
 
-    A record is a JSON object that has a visitor id and a time and repeats no key. It becomes
-    ``record``, a map of its fields; ``common`` (visitor id, mark) and ``ts`` are read out for the
-    visitor logic. Other columns of ``lines`` pass through.
+    A log record is an object that has a visitor id and a time and repeats no key. For other lines
+    ``record``, ``common`` and ``ts`` are null.
     """
     rest = [c for c in lines.columns if c != column]
     # A generator is evaluated once per row, so a text is parsed once.
-    once = F.explode(F.array(F.try_parse_json(F.col(column)))).alias("_v")
+    once = F.explode(F.array(json_object(F.col(column)))).alias("_v")
     parsed = lines.select(*rest, F.col(column), once)
 
     def get(path: str, kind: str) -> Column:
         return F.try_variant_get("_v", path, kind)
 
     mid, ts = get("$.common.mid", "string"), get("$.ts", "bigint")
-    good = _as_map(F.col("_v")).isNotNull() & mid.isNotNull() & ts.isNotNull()
     common = F.struct(mid.alias("mid"), get("$.common.is_new", "string").alias("is_new"))
-    record = _as_map(F.col("_v")).alias("record")
-    valid = parsed.where(good).select(*rest, common.alias("common"), ts.alias("ts"), record)
-    dirty = parsed.where(~good).select(*rest, F.col(column))
-    return valid, dirty
+    good = mid.isNotNull() & ts.isNotNull()
+    read = F.struct(common.alias("common"), ts.alias("ts"), F.col("_v").alias("record"))
+    taken = parsed.select(*rest, F.col(column), F.explode(F.array(F.when(good, read))).alias("_r"))
+    return taken.select(*rest, F.col(column), "_r.common", "_r.ts", "_r.record")
+
+
+def open_records(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Log records with all fields they have, and the lines that are no records.
+
+    A record becomes the variant ``record``; ``common`` (visitor id, mark) and ``ts`` are read out for
+    the visitor logic. Other columns of ``lines`` pass through.
+    """
+    rest = [c for c in lines.columns if c != column]
+    opened = opened_lines(lines, column)
+    good = F.col("ts").isNotNull()
+    return opened.where(good).select(*rest, "common", "ts", "record"), opened.where(~good).select(*rest, F.col(column))
 
 
-def route_open(logs: DataFrame) -> DataFrame:
+def route_open(logs: DataFrame, dirty: str | None = None) -> DataFrame:
     """The five kinds of ``route_log`` from open records; every field keeps its value and type.
 
-    ``common.is_new`` of the row replaces that of the record.
+    ``common.is_new`` of the row replaces that of the record. With ``dirty``, a row without a record
+    gives the text in that column as a sixth kind.
     """
+    text = F.col(dirty) if dirty else F.lit(None).cast("string")
+    logs = logs.select("common", "record", text.alias("_text"))
 
     def but(fields: Column, *names: str) -> Column:
         return F.map_filter(fields, lambda k, v: ~k.isin(*names))
@@ -83,11 +100,13 @@ def route_open(logs: DataFrame) -> DataFrame:
         value = F.col("_r")[name]
         return value.isNotNull() & ~F.is_variant_null(value)
 
+    # Further generators: the record is opened once, not for each of its kinds.
+    logs = logs.select("common", F.explode(F.array(_as_map(F.col("record")))).alias("record"), "_text")
     common, mark = _as_map(F.col("record")["common"]), F.col("common.is_new")
     marked = F.map_concat(but(common, "is_new"), F.create_map(F.lit("is_new"), mark.cast("variant")))
     common = F.to_variant_object(F.when(mark.isNull(), common).otherwise(marked))
     record = F.map_concat(but(F.col("record"), "common"), F.create_map(F.lit("common"), common))
-    logs = logs.select(F.explode(F.array(record)).alias("_r"))
+    logs = logs.select(F.explode(F.array(record)).alias("_r"), "_text")
 
     is_start = there("start")
     page_id = F.try_variant_get(F.col("_r")["page"], "$.page_id", "variant")
@@ -117,6 +136,9 @@ def route_open(logs: DataFrame) -> DataFrame:
         record_of("page", but(F.col("_r"), "err", "displays", "actions", "start"), ~is_start),
     ]
     routed = F.flatten(F.array_compact(F.array(*parts)))
+    if dirty:
+        line = F.array(F.struct(F.lit(DIRTY).alias("kind"), F.col("_text").alias("value")))
+        routed = F.when(F.col("_r").isNull(), line).otherwise(routed)
     return logs.select(F.explode(routed).alias("r")).select("r.kind", "r.value")
 
 

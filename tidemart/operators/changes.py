@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.functions.values import as_int, field
+from tidemart.functions.variants import as_type
 
 # Change types that carry a new row state.
 UPSERT_TYPES = ("insert", "update", "bootstrap-insert")
 
-_CORRUPT = "_corrupt"
-
 
 def split_valid_json(
     lines: DataFrame,
@@ -24,27 +23,29 @@ def split_valid_json(
 ) -> tuple[DataFrame, DataFrame]:
     """Parsed records, and the lines that are no JSON object or miss a required field.
 
-    Both results come from one narrow expression over the same scan. Columns of ``lines``
-    other than the text pass through.
+    A value of another type than the layout's is taken as far as it can be (``variants.as_type``) and
+    does not make a record dirty. An object that repeats a key is dirty. Both results come from one
+    narrow expression over the same scan. Columns of ``lines`` other than the text pass through.
     """
     rest = [c for c in lines.columns if c != column]
-    wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    record = F.from_json(
-        F.col(column), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    )
-    is_object = F.coalesce(F.ltrim(F.col(column)).startswith("{"), F.lit(False))
-    # A generator is evaluated once per row. A projection would be copied into the filters and
-    # the text parsed anew for each field they look at.
-    once = F.explode(F.array(F.when(is_object, record))).alias("_r")
-    parsed = lines.select(*rest, F.col(column), once)
-    good = F.col("_r").isNotNull() & F.col(f"_r.{_CORRUPT}").isNull()
+    # Generators are evaluated once per row. A projection would be copied into the filters and the
+    # text parsed anew for each field they look at.
+    parsed = lines.select(*rest, F.col(column), F.explode(F.array(json_object(F.col(column)))).alias("_v"))
+    once = F.explode(F.array(as_type(F.col("_v"), schema))).alias("_r")
+    taken = parsed.select(*rest, F.col(column), once)
+    good = F.col("_r").isNotNull()
     for name in required:
         good = good & F.col(f"_r.{name}").isNotNull()
-    valid = parsed.where(good).select(*rest, *[F.col(f"_r.{f.name}") for f in schema.fields])
-    dirty = parsed.where(~good).select(*rest, F.col(column))
+    valid = taken.where(good).select(*rest, *[F.col(f"_r.{f.name}") for f in schema.fields])
+    dirty = taken.where(~good).select(*rest, F.col(column))
     return valid, dirty
 
 
+def json_object(text: Column) -> Column:
+    """The JSON object in a text as a variant; NULL for all other texts."""
+    return F.when(F.ltrim(text).startswith("{"), F.try_parse_json(text))
+
+
 def cdc_filter(
     feed: DataFrame,
     table: str,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.operators.changes import config_column_filter
+from tidemart.operators.changes import config_column_filter, latest_by_key
 from tidemart.schemas import CONFIG_FIELDS
 
 DEFAULT_PK = "id"
@@ -14,11 +14,8 @@ DEFAULT_PK = "id"
 def latest_config(records: DataFrame, order: str = "ts_ms") -> DataFrame:
     """One rule per source table, the last one written. A deleted rule (no ``after``) is gone."""
     source = F.coalesce(F.col("after.source_table"), F.col("before.source_table"))
-    newest = records.groupBy(source.alias("_source")).agg(
-        F.max_by(F.struct(F.col("after")), F.col(order)).alias("_last")
-    )
-    kept = newest.where(F.col("_last.after").isNotNull())
-    rules = kept.select(*[F.col(f"_last.after.{name}").alias(name) for name in CONFIG_FIELDS])
+    newest = latest_by_key(records.select(source.alias("_source"), "after", order), ["_source"], [order])
+    rules = newest.where("after IS NOT NULL").select(*[F.col(f"after.{name}").alias(name) for name in CONFIG_FIELDS])
     pk = F.when(F.coalesce(F.col("sink_pk"), F.lit("")) == "", DEFAULT_PK).otherwise(
         F.col("sink_pk")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.times import DAY_MS, to_date_str
-from tidemart.functions.values import slice_start
+from tidemart.functions.values import packed_first, slice_start, unpacked_first
 
 MID = "common.mid"
 IS_NEW = "common.is_new"
@@ -28,27 +28,37 @@ def first_visit_day(is_new: Column, ts: Column, tz: str) -> Column:
     return F.when(marked, to_date_str(ts, tz)).otherwise(to_date_str(ts - F.lit(DAY_MS), tz))
 
 
+#: Parts that rows which cannot change are dealt to, by day, in the join with the first visits.
+SPREAD = 4096
+
+
+def first_visits(logs: DataFrame, tz: str = "UTC") -> DataFrame:
+    """``(_mid, _day)``: the date of each visitor's first visit, as a hash aggregate with map-side
+    combine; a record travels as one number."""
+    flag = F.when(F.col(IS_NEW) == "1", 1).otherwise(0)
+    packed = packed_first(F.col("ts"), F.col("seq"), flag)
+    firsts = logs.groupBy(F.col(MID).alias("_mid")).agg(F.min(packed).alias("_f"))
+    ts, _, is_new = unpacked_first("_f")
+    day = first_visit_day(F.col("flag").cast("string"), F.col("ts"), tz)
+    return firsts.select("_mid", ts, is_new).select("_mid", day.alias("_day"))
+
+
 def repair_is_new(logs: DataFrame, tz: str = "UTC") -> DataFrame:
     """Set ``common.is_new`` from '1' to '0' where the visitor was first seen on another day.
 
-    The first record per visitor is an aggregate with map-side combine. It meets the rows again
-    on (visitor, day): that splits a busy visitor by day, both join inputs are plain exchanges,
-    so AQE can split what is still skewed.
+    The input is read twice: for the first visits, from four of its fields, and for the rows. Both
+    meet on (visitor, day) in a left join: that splits a busy visitor by day, both join inputs are
+    plain exchanges, so AQE can split what is still skewed. Rows that are not marked new have no day
+    that a visit could have; they are spread over the tasks.
     """
-    firsts = (
-        logs.groupBy(F.col(MID).alias("_mid"))
-        .agg(F.min(F.struct("ts", "seq", F.col(IS_NEW).alias("is_new"))).alias("_f"))
-        .select("_mid", first_visit_day(F.col("_f.is_new"), F.col("_f.ts"), tz).alias("_day"))
-    )
-    # Only rows marked new can change; the others carry no key and stay where they are.
-    marked = F.col(IS_NEW) == "1"
-    fresh = logs.where(marked).withColumn("_d", to_date_str("ts", tz))
+    firsts = first_visits(logs, tz)
+    marked = F.coalesce(F.col(IS_NEW) == "1", F.lit(False))
+    nowhere = F.pmod(F.xxhash64("ts", "seq"), F.lit(SPREAD)).cast("string")
+    dated = logs.withColumn("_d", F.when(marked, to_date_str("ts", tz)).otherwise(nowhere))
     on_first_day = (F.col(MID) == F.col("_mid")) & (F.col("_d") == F.col("_day"))
-    joined = fresh.join(firsts, on_first_day, "left")
-    is_new = F.when(F.col("_mid").isNull(), "0").otherwise("1")
-    repaired = joined.withColumn("common", F.col("common").withField("is_new", is_new))
-    unmarked = logs.where(F.coalesce(~marked, F.lit(True)))
-    return unmarked.unionByName(repaired.select(*logs.columns))
+    joined = dated.join(firsts, on_first_day, "left")
+    is_new = F.when(~marked, F.col(IS_NEW)).when(F.col("_mid").isNull(), "0").otherwise("1")
+    return joined.withColumn("common", F.col("common").withField("is_new", is_new)).select(*logs.columns)
 
 
 def unique_visitor(pages: DataFrame, tz: str = "UTC") -> DataFrame:
@@ -86,11 +96,13 @@ def user_jump(
         is_start.alias("_start"),
         F.when(is_start, F.struct(*pages.columns)).alias("_row"),
     )
+    packed = packed_first(F.col("_ts"), F.col("_seq"), F.col("_start").cast("int"))
     heads = (
         keyed.where(F.col("_ts") - F.col("_slice") < timeout_ms)
         .groupBy("_mid", "_slice")
-        .agg(F.min(F.struct("_ts", "_seq", "_start")).alias("_h"))
-        .select("_mid", (F.col("_slice") - F.lit(width)).alias("_slice"), "_h.*")
+        .agg(F.min(packed).alias("_h"))
+        .select("_mid", (F.col("_slice") - F.lit(width)).alias("_slice"), *unpacked_first("_h"))
+        .selectExpr("_mid", "_slice", "ts AS _ts", "seq AS _seq", "flag = 1 AS _start")
     )
     rows = keyed.unionByName(heads, allowMissingColumns=True)
     in_order = Window.partitionBy("_mid", "_slice").orderBy("_ts", "_seq")
@@ -105,3 +117,9 @@ def user_jump(
         .where(F.col("reason").isNotNull())
         .select("_row.*", "reason")
     )
+
+
+def split_jumps(jumps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Jumps that were followed by another session start, and those that timed out, as two outputs."""
+    matched, timed_out = (jumps.where(F.col("reason") == r).drop("reason") for r in ("match", "timeout"))
+    return matched, timed_out

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.operators import visits
-from tidemart.operators.applog import open_records, route_open
+from tidemart.operators.applog import DIRTY, open_records, opened_lines, route_open
 from tidemart.operators.changes import split_valid_json
 from tidemart.schemas import APP_LOG
 from tidemart.sinks.writers import BatchWriter, write_routed
@@ -45,8 +45,21 @@ def base_log(lines: DataFrame, tz: str = "UTC", column: str = "value") -> tuple[
     return route_open(repair_is_new(logs, tz)), dirty
 
 
+def log_kinds(lines: DataFrame, tz: str = "UTC", column: str = "value") -> DataFrame:
+    """All log lines as ``(kind, value)``: the five kinds of records, and dirty lines as a sixth.
+
+    One frame for one writer: a table is read twice, once for the first visits and once for
+    everything else, and each line is opened once there.
+    """
+    if lines.isStreaming:
+        routed, dirty = base_log(lines, tz, column)
+        return routed.unionByName(dirty.select(F.lit(DIRTY).alias("kind"), F.col(column).alias("value")))
+    opened = opened_lines(lines, column)
+    return route_open(visits.repair_is_new(opened, tz), dirty=column)
+
+
 def write_base_log(path: str) -> BatchWriter:
-    """The five record kinds of a batch to five folders in one job."""
+    """The record kinds of a batch, and its dirty lines, to a folder each in one job."""
     return write_routed(path, "kind")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.functions.times import now_ms
+from tidemart.functions.times import now_ms, now_seconds_ms
 from tidemart.operators.changes import latest_by_key
 from tidemart.sinks import files
 from tidemart.sinks.keyed import REMOVED, KeyedTable
@@ -58,6 +58,29 @@ def write_append(path: str) -> BatchWriter:
     return write
 
 
+def write_messages(
+    topic: str | None = None,
+    key: Sequence[str] = (),
+    fmt: str = "kafka",
+    options: Mapping[str, str] | None = None,
+    path: str | None = None,
+) -> BatchWriter:
+    """Rows as JSON messages to a topic; with ``key`` a key's messages stay in one partition.
+
+    To a queue by its options, at least once, as its writer is; or, with ``path``, to files of another
+    format, a folder for each batch.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        out = as_messages(df, key, topic).write.format(fmt).options(**(options or {}))
+        if path is None:
+            out.mode("append").save()
+        else:
+            out.mode("overwrite").save(_batch_path(path, batch_id))
+
+    return write
+
+
 def write_exactly_once(path: str) -> BatchWriter:
     """Message texts; a missing text becomes an empty one."""
 
@@ -111,14 +134,16 @@ def write_summary(
     jdbc: Mapping[str, str] | None = None,
     path: str | None = None,
     transient: Sequence[str] = (),
+    whole_seconds: bool = False,
 ) -> BatchWriter:
     """Summary rows with the write time ``ts``, columns in the given order.
 
-    To a database by JDBC (each task one connection, rows in batches) or to parquet files.
+    ``ts`` is in milliseconds, as the traffic summary has it, or in milliseconds of whole seconds, as
+    the keyword summary has it. To a database by JDBC (each task one connection, rows in batches) or to parquet files.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
-        stamped = df.withColumn("ts", now_ms()).select(*columns)
+        stamped = df.withColumn("ts", now_seconds_ms() if whole_seconds else now_ms()).select(*columns)
         rows = drop_transient(stamped, transient)
         if jdbc is not None:
             rows.write.format("jdbc").options(**jdbc).mode("append").save()

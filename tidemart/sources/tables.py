@@ -35,21 +35,37 @@ def read_stream_raw(
     options: Mapping[str, str] | None = None,
     schema: T.StructType | str | None = None,
     path: str | None = None,
+    positions: bool = False,
 ) -> DataFrame:
-    """A stream of message texts in column ``value``; a message without a body is NULL."""
+    """A stream of message texts in column ``value``; a message without a body is NULL.
+
+    ``positions`` adds the place of a message in its source as ``position``: partition and offset of a
+    queue, or time, file and row of a Parquet file. It orders changes of the same second.
+    """
     reader = spark.readStream.format(fmt).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
     stream = reader.load(path) if path else reader.load()
-    return stream.select(F.col("value").cast("string").alias("value"))
+    text = F.col("value").cast("string").alias("value")
+    if not positions:
+        return stream.select(text)
+    files = ("_metadata.file_modification_time", "_metadata.file_path", "_metadata.row_index")
+    place = ("partition", "offset") if fmt == "kafka" else files
+    return stream.select(text, F.struct(*place).alias("position"))
 
 
 def read_json_table(messages: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
-    """Messages as typed rows; texts that are no JSON objects are left out."""
+    """Messages as typed rows; texts that are no JSON objects are left out (see ``dirty_messages``)."""
     valid, _ = split_valid_json(messages, schema, column)
     return valid
 
 
+def dirty_messages(messages: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
+    """The texts that ``read_json_table`` leaves out, for an output of their own."""
+    _, dirty = split_valid_json(messages, schema, column)
+    return dirty
+
+
 def read_change_feed(messages: DataFrame, column: str = "value") -> DataFrame:
     """Change records with ``pt`` (time of reading) and ``et`` (time of the change)."""
     return with_times(read_json_table(messages, CHANGE_RECORD, column))

@@ -14,54 +14,80 @@ import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 CHUNK = 5000
+#: Stands for no part: no row of the visitor needs its first-visit date.
+NO_PART = -1
 #: Seconds that are looked up one by one for the next row.
 NEAR = 64
 
 
-class FirstVisitRepair(StatefulProcessor):
+class FirstVisitDay(StatefulProcessor):
     """State: the first-visit date of a visitor, set once.
 
-    Until the first micro-batch with this visitor has been read whole, the first row is not
-    known; rows marked new wait in list state so long. The rest pass at once.
+    Rows are one for each chunk of input and part of the visitor's rows in it, with the chunk's first
+    record. Each part gets the date, once per micro-batch.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._first = handle.getValueState("first_visit", "day string")
-        self._waiting = handle.getListState("waiting", "day string, payload string")
 
     def handleInputRows(self, key, rows, timerValues):
-        known = self._first.get()
-        if known is not None:
-            for chunk in rows:
-                late = (chunk["is_new"] == "1") & (chunk["day"] != known[0])
-                chunk.loc[late, "is_new"] = "0"
-                yield chunk[["is_new", "payload"]]
-            return
-        first = None
+        known, first, parts = self._first.get(), None, set()
         for chunk in rows:
+            parts |= set(chunk["part"].tolist())
             head = chunk.sort_values(["ts", "seq"]).iloc[0]
             if first is None or (head["ts"], head["seq"]) < first[:2]:
                 first = (head["ts"], head["seq"], head["first_day"])
-            marked = chunk["is_new"] == "1"
-            if marked.any():
-                fresh = chunk.loc[marked, ["day", "payload"]]
+        day = known[0] if known is not None else first[2]
+        if known is None:
+            self._first.update((day,))
+        parts.discard(NO_PART)
+        yield pd.DataFrame({"mid": key[0], "part": sorted(parts), "first_day": day}).astype({"part": "int32"})
+
+    def close(self) -> None:
+        pass
+
+
+class FirstVisitMark(StatefulProcessor):
+    """Marks the rows of one part of a visitor; state: the first-visit date, as told for the part.
+
+    The row that tells it comes in the same micro-batch as the part's first rows, in no order; rows
+    before it wait in list state so long.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._first = handle.getValueState("first_visit", "day string")
+        self._waiting = handle.getListState("waiting", "day string, payload string")
+
+    @staticmethod
+    def _marked(days, payloads, first):
+        return pd.DataFrame({"is_new": ["1" if d == first else "0" for d in days], "payload": payloads})
+
+    def handleInputRows(self, key, rows, timerValues):
+        state = self._first.get()
+        first = state[0] if state is not None else None
+        for chunk in rows:
+            told = chunk.loc[chunk["payload"].isna(), "first_day"]
+            if first is None and len(told):
+                first = told.iloc[0]
+                self._first.update((first,))
+            fresh = chunk.loc[chunk["payload"].notna(), ["day", "payload"]]
+            if first is None and len(fresh):
                 self._waiting.appendList(list(fresh.itertuples(index=False, name=None)))
-            yield chunk.loc[~marked, ["is_new", "payload"]]
-        self._first.update((first[2],))
+            elif len(fresh):
+                yield self._marked(fresh["day"], fresh["payload"], first)
         if self._waiting.exists():
             waiting = self._waiting.get()
             while part := list(islice(waiting, CHUNK)):
-                days, payloads = zip(*part)
-                is_new = ["1" if day == first[2] else "0" for day in days]
-                yield pd.DataFrame({"is_new": is_new, "payload": payloads})
+                yield self._marked(*zip(*part), first)
             self._waiting.clear()
+        yield pd.DataFrame({"is_new": [], "payload": []}, dtype=object)
 
     def close(self) -> None:
         pass
 
 
 class DailyFirst(StatefulProcessor):
-    """State: the last date a visitor was seen, dropped a day (of event time) after that visit.
+    """State: the last date a visitor was seen, dropped ``ttl_ms`` of event time after it was set.
 
     Gives a row when its date differs from the state. Per chunk only the first row of a date is
     kept, so memory grows with the number of dates in a micro-batch, not with its rows.
@@ -87,9 +113,10 @@ class DailyFirst(StatefulProcessor):
             last = day
         given = firsts[keep]
         if len(given):
-            expires = int(given["ts"].iloc[-1]) + self._ttl_ms
-            self._last.update((last, expires))
-            self._handle.registerTimer(expires)
+            # A late row's date is kept as long as any other.
+            now = max(int(given["ts"].iloc[-1]), timerValues.getCurrentWatermarkInMs())
+            self._last.update((last, now + self._ttl_ms))
+            self._handle.registerTimer(now + self._ttl_ms)
         yield given[["payload"]]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):

@@ -27,6 +27,8 @@ from tidemart.streaming import processors
 cloudpickle.register_pickle_by_value(processors)
 
 DAY_TTL_MS = 24 * 60 * 60 * 1000
+#: Parts that the rows of one visitor are dealt to.
+PARTS = 16
 
 
 def _payload(df: DataFrame):
@@ -41,42 +43,67 @@ def _unpacked(df: DataFrame, schema: T.StructType, *more: str) -> DataFrame:
     return df.select(F.from_json("payload", schema).alias("_r"), *more).select("_r.*", *more)
 
 
-def repair_is_new_stream(logs: DataFrame, tz: str = "UTC") -> DataFrame:
+def repair_is_new_stream(logs: DataFrame, tz: str = "UTC", parts: int = PARTS) -> DataFrame:
+    """``operators.visits.repair_is_new`` in two levels, so that a busy visitor is no single task.
+
+    By visitor only the first-visit date is kept: it is found from one row for each chunk of input and
+    part. Rows marked new are dealt by (visitor, part), where each part is told the date and keeps it;
+    all other rows cannot change and go neither through the state nor through Python.
+    """
     schema = _record_schema(logs)
-    keyed = logs.select(
+    marked = F.col(IS_NEW) == "1"
+    part = F.pmod(F.xxhash64("ts", "seq"), F.lit(parts)).cast("int")
+    thin = logs.select(
         F.col(MID).alias("mid"),
+        F.when(marked, part).otherwise(F.lit(processors.NO_PART)).alias("part"),
         "ts",
         "seq",
-        F.col(IS_NEW).alias("is_new"),
-        to_date_str("ts", tz).alias("day"),
         first_visit_day(F.col(IS_NEW), F.col("ts"), tz).alias("first_day"),
-        _payload(logs).alias("payload"),
     )
-    fixed = keyed.groupBy("mid").transformWithStateInPandas(
-        statefulProcessor=processors.FirstVisitRepair(),
+
+    def heads(chunks):
+        """One row for each visitor and part of a chunk, with the visitor's first record there."""
+        for chunk in chunks:
+            first = chunk.sort_values(["ts", "seq"]).drop_duplicates("mid").drop(columns="part")
+            yield chunk[["mid", "part"]].drop_duplicates().merge(first, on="mid")[list(chunk.columns)]
+
+    days = (
+        thin.mapInPandas(heads, thin.schema)
+        .groupBy("mid")
+        .transformWithStateInPandas(
+            statefulProcessor=processors.FirstVisitDay(),
+            outputStructType="mid string, part int, first_day string",
+            outputMode="Append",
+            timeMode="None",
+        )
+    )
+    fresh = logs.where(marked).select(
+        F.col(MID).alias("mid"), part.alias("part"), to_date_str("ts", tz).alias("day"), _payload(logs).alias("payload")
+    )
+    both = fresh.unionByName(days, allowMissingColumns=True)
+    fixed = both.groupBy("mid", "part").transformWithStateInPandas(
+        statefulProcessor=processors.FirstVisitMark(),
         outputStructType="is_new string, payload string",
         outputMode="Append",
         timeMode="None",
     )
     rows = _unpacked(fixed, schema, "is_new")
-    common = F.col("common").withField("is_new", F.col("is_new"))
-    return rows.withColumn("common", common).drop("is_new")
+    repaired = rows.withColumn("common", F.col("common").withField("is_new", F.col("is_new"))).drop("is_new")
+    others = logs.where(F.coalesce(~marked, F.lit(True))).select(*repaired.columns)
+    return others.unionByName(repaired)
 
 
-def unique_visitor_stream(
-    pages: DataFrame, tz: str = "UTC", ttl_ms: int = DAY_TTL_MS, delay: str = "1 day"
-) -> DataFrame:
-    """The first session start of a visitor on a day, given as it comes.
+def unique_visitor_stream(pages: DataFrame, tz: str = "UTC", ttl_ms: int = DAY_TTL_MS) -> DataFrame:
+    """The first session start of a visitor on a day, given as it comes; no row is too late.
 
-    Repeats within a chunk of input are dropped before the shuffle. ``delay`` is how late a page
-    may come and still count; state is kept ``ttl_ms`` of event time after a visit.
+    Repeats within a chunk of input are dropped before the shuffle, so a busy visitor sends one row
+    for each chunk and day. The state is kept ``ttl_ms`` of event time after a visit was given. The
+    watermark moves that clock only: the state operator gets no event-time column to drop rows by.
     """
     schema = _record_schema(pages)
-    starts = session_start_filter(pages.withWatermark("et", delay))
-    keyed = starts.select(
+    keyed = session_start_filter(pages.withWatermark("et", "0 seconds")).select(
         F.col(MID).alias("mid"),
         to_date_str("ts", tz).alias("day"),
-        "et",
         "ts",
         "seq",
         _payload(pages).alias("payload"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.values import field
 from tidemart.operators import changes, config, joins
 from tidemart.plans import dim, members, trade
-from tidemart.schemas import CONFIG_RECORD, SENSOR_READING
+from tidemart.schemas import CHANGE_RECORD, CONFIG_RECORD, SENSOR_READING
 from tidemart.sources import tables as sources
 from workload import adapters as a
 from workload.oracle import BASE, DETAIL_ID, money, stamp, txt, with_ctes
@@ -46,14 +46,16 @@ def cdc_filter(spark, d):
 
 @query(
     "cdc_upserts_only",
-    "SELECT 'customer' AS \"table\", 'bootstrap-insert' AS type, count(*) AS n FROM customer"
-    " UNION ALL SELECT 'customer', 'update', count(*) FROM customer WHERE c_acctbal < 0"
-    " HAVING count(*) > 0"
-    " UNION ALL SELECT 'part', 'insert', count(*) FROM part",
+    f"""SELECT 'customer' AS "table", 'bootstrap-insert' AS type, {txt('c_custkey')} AS id, c_mktsegment AS detail
+      FROM customer
+    UNION ALL SELECT 'customer', 'update', {txt('c_custkey')}, lower(c_mktsegment) FROM customer WHERE c_acctbal < 0
+    UNION ALL SELECT 'part', 'insert', {txt('p_partkey')}, p_brand FROM part""",
 )
 def cdc_upserts_only(spark, d):
+    """Every row that stays, with a value of its own; deleted customers are among the input."""
     feed = a.change_feed(spark, d, "customer", "part").where(F.col("table").isin("customer", "part"))
-    return changes.cdc_upserts_only(feed).groupBy("table", "type").agg(F.count("*").alias("n"))
+    detail = F.coalesce(field("segment"), field("brand")).alias("detail")
+    return changes.cdc_upserts_only(feed).select("table", "type", field("id").alias("id"), detail)
 
 
 @query(
@@ -133,6 +135,35 @@ def read_change_feed(spark, d):
     return read.where(F.col("pt").isNotNull()).select("type", field("id").alias("id"), "ts", second, old)
 
 
+@query(
+    "read_change_feed_open",
+    f"""SELECT {txt('o_orderkey')} AS id, {txt('o_orderkey')} || '.5' AS amount, '{{"a":[1]}}' AS nested,
+      CAST(o_orderkey AS BIGINT) AS second, NULL::VARCHAR AS dirty FROM orders
+    UNION ALL SELECT NULL, NULL, NULL, NULL, md5(text) FROM documents""",
+)
+def read_change_feed_open(spark, d):
+    """Numbers where texts are expected and the other way round, and nested values, come through; what
+    is no change record is an output of its own."""
+    key = F.col("o_orderkey")
+    nested = F.struct(F.array(F.lit(1)).alias("a"))
+    data = F.struct(key.alias("id"), (key + 0.5).alias("amount"), nested.alias("nested"))
+    # Odd orders have a fraction of a second, even ones a text.
+    ts = F.when(key % 2 == 0, F.concat(F.lit('"'), a.text_of(key), F.lit('"'))).otherwise(a.text_of(key))
+    text = F.concat(F.lit('{"table":"t","type":"insert","ts":'), ts, F.lit(',"data":'), F.to_json(data), F.lit("}"))
+    good = a.table(spark, d, "orders").select(text.alias("value"))
+    bad = a.table(spark, d, "documents").select(F.col("text").alias("value"))
+    texts = good.unionByName(bad)
+    read = sources.read_change_feed(texts).select(
+        field("id").alias("id"),
+        field("amount").alias("amount"),
+        field("nested").alias("nested"),
+        F.unix_seconds("et").alias("second"),
+        F.lit(None).cast("string").alias("dirty"),
+    )
+    dirty = sources.dirty_messages(texts, CHANGE_RECORD).select(F.md5("value").alias("dirty"))
+    return read.unionByName(dirty, allowMissingColumns=True)
+
+
 @query(
     "read_json_table",
     with_ctes("SELECT mid, page_id, ts FROM page", "page"),

@@ -127,6 +127,29 @@ def base_log(spark, d):
     return _json_fields(routed)
 
 
+@query(
+    "log_kinds",
+    with_ctes(
+        f"SELECT kind, count(*) AS n, md5(string_agg(row, ' ' ORDER BY row)) AS rows_md5 FROM ("
+        f"SELECT kind, concat_ws('|', kind, mid, is_new, page_id, ts, detail) AS row FROM ({_routed_sql('repaired')})"
+        " UNION ALL SELECT 'dirty', 'dirty|' || md5(text) FROM documents) GROUP BY kind",
+        "repaired",
+    ),
+)
+def log_kinds(spark, d):
+    """Six kinds from one frame: the routed records, and the dirty lines as they came."""
+    return _kind_digests(traffic.log_kinds(a.log_lines(spark, d)))
+
+
+def _kind_digests(kinds):
+    records = _json_fields(kinds.where("kind <> 'dirty'"))
+    label = F.concat_ws("|", "kind", "mid", "is_new", "page_id", "ts", "detail").alias("row")
+    dirty = kinds.where("kind = 'dirty'").select("kind", F.concat(F.lit("dirty|"), F.md5("value")).alias("row"))
+    rows = records.select("kind", label).unionByName(dirty)
+    joined = F.md5(F.array_join(F.array_sort(F.collect_list("row")), " "))
+    return rows.groupBy("kind").agg(F.count("*").alias("n"), joined.alias("rows_md5"))
+
+
 _OPEN = "'s' || seq AS sid, 'promo' AS source_type, CAST(seq + 0.5 AS DOUBLE) AS during_time"
 
 
@@ -215,11 +238,35 @@ def user_jump_hours(spark, d):
 
 @query(
     "match_timeout_split",
-    with_ctes("SELECT reason, count(*) AS n, sum(ts)::BIGINT AS ts_sum FROM jump_hours GROUP BY 1", "jump_hours"),
+    with_ctes(
+        "SELECT 'matched' AS output, mid, ts, seq FROM dense_jump WHERE reason = 'match'"
+        " UNION ALL SELECT 'timed out', mid, ts, seq FROM dense_jump WHERE reason = 'timeout'",
+        "dense_jump",
+    ),
 )
 def match_timeout_split(spark, d):
-    jumps = visits.user_jump(a.page_log(spark, d), timeout_ms=4 * 3_600_000)
-    return jumps.groupBy("reason").agg(F.count("*").alias("n"), F.sum("ts").alias("ts_sum"))
+    matched, timed_out = visits.split_jumps(visits.user_jump(a.dense_pages(spark, d)))
+    rows = [
+        part.select(F.lit(name).alias("output"), "common.mid", "ts", "seq")
+        for name, part in (("matched", matched), ("timed out", timed_out))
+    ]
+    return changes.union_streams(*rows)
+
+
+@query(
+    "user_jump_dense",
+    with_ctes(f"SELECT {columns(VISIT_COLUMNS)}, reason FROM dense_jump", "dense_jump"),
+)
+def user_jump_dense(spark, d):
+    """At 10 seconds, with many records that follow in time."""
+    return flat(visits.user_jump(a.dense_pages(spark, d)), "reason").select(*VISIT_COLUMNS, "reason")
+
+
+@query("traffic_page_view_window_dense", with_ctes(o.traffic(10, "dense_"), "dense_page", "dense_visitor", "dense_jump"))
+def traffic_page_view_window_dense(spark, d):
+    """Windows of 10 seconds that sum many rows."""
+    pages = a.dense_pages(spark, d)
+    return summary.traffic_page_view_window(pages, visits.unique_visitor(pages), visits.user_jump(pages))
 
 
 def _page_texts(spark, d):

@@ -115,6 +115,12 @@ CTES = {
            WHEN event_type = 'click' THEN 'search' ELSE 'home' END AS last_page_id,
       CAST(round(value * 100) AS BIGINT) AS during_time, epoch_us(ts) // 1000 AS ts, event_id AS seq
     FROM events""",
+    "dense_page": f"""
+    SELECT * REPLACE ({BASE * 1000} + (ts - {BASE * 1000}) // 600 AS ts) FROM page""",
+    "dense_visitor": """
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY mid,
+      strftime(make_timestamp(ts * 1000), '%Y-%m-%d') ORDER BY ts, seq) AS rn
+      FROM dense_page WHERE last_page_id IS NULL) WHERE rn = 1""",
     "dated": """
     SELECT *, strftime(make_timestamp(ts * 1000), '%Y-%m-%d') AS day FROM page""",
     "first_seen": """
@@ -149,18 +155,18 @@ CTES = {
 }
 
 
-def jumps(timeout_ms: int) -> str:
+def jumps(timeout_ms: int, pages: str = "page") -> str:
     return f"""
     SELECT mid, ar, ch, vc, is_new, page_id, ts, seq,
       CASE WHEN next_ts IS NULL OR next_ts - ts >= {timeout_ms} THEN 'timeout'
            ELSE 'match' END AS reason
     FROM (
       SELECT *, lead(ts) OVER w AS next_ts, lead(last_page_id IS NULL) OVER w AS next_start
-      FROM page WINDOW w AS (PARTITION BY mid ORDER BY ts, seq))
+      FROM {pages} WINDOW w AS (PARTITION BY mid ORDER BY ts, seq))
     WHERE last_page_id IS NULL AND (next_ts IS NULL OR next_ts - ts >= {timeout_ms} OR next_start)"""
 
 
-def traffic(size_s: int) -> str:
+def traffic(size_s: int, prefix: str = "") -> str:
     ms = size_s * 1000
     zero = "0::BIGINT"
     return f"""
@@ -169,14 +175,15 @@ def traffic(size_s: int) -> str:
       CAST(sum(pv) AS BIGINT) AS pv_ct, CAST(sum(dur) AS BIGINT) AS dur_sum,
       CAST(sum(uj) AS BIGINT) AS uj_ct
     FROM (
-      SELECT ts, vc, ch, ar, is_new, 1 AS uv, 0 AS sv, 0 AS pv, {zero} AS dur, 0 AS uj FROM visitor
-      UNION ALL SELECT ts, vc, ch, ar, is_new, 0, 0, 0, {zero}, 1 FROM jump
+      SELECT ts, vc, ch, ar, is_new, 1 AS uv, 0 AS sv, 0 AS pv, {zero} AS dur, 0 AS uj FROM {prefix}visitor
+      UNION ALL SELECT ts, vc, ch, ar, is_new, 0, 0, 0, {zero}, 1 FROM {prefix}jump
       UNION ALL SELECT ts, vc, ch, ar, is_new, 0, CASE WHEN last_page_id IS NULL THEN 1 ELSE 0 END,
-        1, during_time, 0 FROM page)
+        1, during_time, 0 FROM {prefix}page)
     GROUP BY ALL"""
 
 
 CTES["jump"] = jumps(10_000)
+CTES["dense_jump"] = jumps(10_000, "dense_page")
 CTES["jump_hours"] = jumps(4 * 3_600_000)
 
 NEEDS = {
@@ -187,6 +194,9 @@ NEEDS = {
     "visitor": ["dated"],
     "jump": ["page"],
     "jump_hours": ["page"],
+    "dense_page": ["page"],
+    "dense_visitor": ["dense_page"],
+    "dense_jump": ["dense_page"],
     "search": ["page"],
     "keyword": ["search"],
 }

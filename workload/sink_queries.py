@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemart.operators import changes, config, summaries, visits
-from tidemart.plans import dim
+from tidemart.plans import dim, summary
 from tidemart.session import scratch_dir
 from tidemart.sinks import files, keyed, writers
 from tidemart.sources import tables as sources
@@ -233,6 +233,39 @@ def write_summary(spark, d):
     return back.where(F.col("ts") > BASE).drop("ts", "batch_id")
 
 
+@query(
+    "write_keyword_summary",
+    with_ctes(
+        f"SELECT {o.bounds('second // 10 * 10', 10)}, 'search' AS source, word AS keyword,"
+        " count(*) AS keyword_count, true AS whole_second FROM keyword GROUP BY ALL",
+        "keyword",
+    ),
+)
+def write_keyword_summary(spark, d):
+    """The keyword summary as its job writes it: stamped with the whole second of the writing."""
+    path = scratch_dir(spark, "keywords")
+    columns = ["stt", "edt", "source", "keyword", "keyword_count", "ts"]
+    write = writers.write_summary(columns, path=path, whole_seconds=True)
+    write(summary.keyword_page_view_window(a.search_pages(spark, d)), 0)
+    back = spark.read.parquet(f"{path}/batch_id=0")
+    return back.withColumn("whole_second", (F.col("ts") % 1000 == 0) & (F.col("ts") > BASE * 1000)).drop("ts")
+
+
+@query(
+    "write_messages",
+    f"SELECT 'orders' AS topic, '{{\"id\":\"' || o_orderkey || '\"}}' AS key, {txt('o_orderkey')} AS id,"
+    f" {txt('o_custkey')} AS user_id FROM orders",
+)
+def write_messages(spark, d):
+    """Keyed JSON messages for a topic, through files."""
+    path = scratch_dir(spark, "messages")
+    feed = a.change_feed(spark, d, "order_info")
+    rows = changes.cdc_filter(feed, "order_info", ["id", "user_id"])
+    writers.write_messages("orders", ["id"], fmt="parquet", path=path)(rows, 0)
+    record = F.from_json("value", "id string, user_id string").alias("r")
+    return spark.read.parquet(path).select("topic", "key", record).select("topic", "key", "r.*")
+
+
 @query(
     "drop_transient",
     f"SELECT {txt('o_orderkey')} AS id, {txt('o_custkey')} AS user_id FROM orders",

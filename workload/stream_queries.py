@@ -17,13 +17,14 @@ from tidemart.schemas import CHANGE_RECORD
 from tidemart.session import scratch_dir
 from tidemart.sinks import writers
 from tidemart.sources import tables as sources
+from tidemart.streaming.late import late_aside
 from tidemart.streaming.outer import upsert_join
 from tidemart.streaming.runner import run_available, run_batches, stream_of, with_lookups
 from workload import adapters as a
 from workload import job_queries as jobs
 from workload import log_queries as logs
 from workload import sink_queries as sink_jobs
-from workload.oracle import with_ctes
+from workload.oracle import bounds, with_ctes
 from workload.registry import ORACLES, query
 
 LATER_SECONDS = (4_000_000_000, 4_100_000_000)
@@ -137,14 +138,54 @@ def keyword_page_view_window_stream(spark, d):
     return spark.read.parquet(out)
 
 
-@query("base_log_stream", ORACLES["base_log"])
+@query("base_log_stream", ORACLES["log_kinds"])
 def base_log_stream(spark, d):
-    """Lines to five folders, in micro-batches, by one writer."""
+    """Lines to six folders, dirty lines among them, in micro-batches, by one writer."""
     lines = topic(spark, "log", a.log_lines(spark, d))
     path, checkpoint = scratch_dir(spark, "base-log"), scratch_dir(spark, "state-base-log")
-    routed, _ = traffic.base_log(listen(spark, lines))
-    run_batches(routed, traffic.write_base_log(path), checkpoint)
-    return logs._json_fields(spark.read.parquet(path))
+    run_batches(traffic.log_kinds(listen(spark, lines)), traffic.write_base_log(path), checkpoint)
+    return logs._kind_digests(spark.read.parquet(path))
+
+
+LATE_SQL = f"""
+SELECT kind, {bounds('ts // 10000 * 10', 10)}, vc, ch, ar, is_new, CAST(count(*) AS BIGINT) AS pv_ct,
+  CAST(sum(during_time) AS BIGINT) AS dur_sum
+FROM (SELECT *, CASE WHEN seq % 20 = 0 AND (ts // 10000 + 1) * 10000 <=
+    (SELECT max(ts) FROM dense_page WHERE seq % 20 <> 0) - 2000 THEN 'late' ELSE 'window' END AS kind FROM dense_page)
+GROUP BY ALL"""
+
+
+@query("late_data_stream", with_ctes(LATE_SQL, "dense_page"))
+def late_data_stream(spark, d):
+    """Every twentieth page comes after all others: what is behind the watermark by then is in no
+    window and in the side output; the rest is counted in its window."""
+    pages = a.dense_pages(spark, d).withColumn("et", F.timestamp_millis("ts"))
+    source, on_time, late = (scratch_dir(spark, n) for n in ("pages", "on-time", "late"))
+    marks, checkpoint = scratch_dir(spark, "marks"), scratch_dir(spark, "state-late")
+
+    def store(rows, batch_id):
+        rows.write.mode("append").parquet(on_time)
+
+    for part in ("seq % 20 <> 0", "seq % 20 = 0"):
+        pages.where(part).write.mode("append").parquet(source)
+        run_batches(listen(spark, source), late_aside(store, late, marks), checkpoint)
+
+    def build():
+        timed = listen(spark, on_time).drop("et")
+        nothing = timed.where("false")
+        return summary.traffic_page_view_window(timed, nothing, nothing, delay=summary.KEYWORD_DELAY)
+
+    def flush():
+        row = a.dense_pages(spark, d).limit(1).withColumn("ts", F.lit(LATER_SECONDS[0] * 1000))
+        row.withColumn("et", F.timestamp_millis("ts")).write.mode("append").parquet(on_time)
+
+    sums = spark.read.parquet(drain(spark, "late-sums", build, [flush]))
+    left = spark.read.parquet(late).drop("batch_id", "watermark", "et")
+    lost = summary.traffic_page_view_window(left, left.where("false"), left.where("false"))
+    columns = ["stt", "edt", "vc", "ch", "ar", "is_new", "pv_ct", "dur_sum"]
+    return sums.select(F.lit("window").alias("kind"), *columns).unionByName(
+        lost.select(F.lit("late").alias("kind"), *columns)
+    )
 
 
 # Joins
