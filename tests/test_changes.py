@@ -2,12 +2,16 @@ import json
 
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.functions.values import field
 from tidemart.operators import changes
 from tidemart.plans import members, trade
 from tidemart.schemas import APP_LOG, CHANGE_RECORD, DICTIONARY
-from tidemart.sources.tables import read_change_feed, with_times
+from tidemart.session import scratch_dir
+from tidemart.sinks.writers import read_upsert, write_upsert
+from tidemart.sources.tables import read_change_feed, read_stream_raw, with_times
+from tidemart.streaming.runner import run_batches
 
 # Made-up records around the documented change types.
 RECORDS = [
@@ -47,6 +51,33 @@ def test_split_valid_json(spark):
     assert sorted(map(str, (r[0] for r in dirty.collect()))) == sorted(map(str, DIRTY))
 
 
+def test_values_of_other_types_are_kept(spark):
+    schema = T.StructType.fromDDL(
+        "n bigint, t string, f double, m map<string,string>, s struct<a:int,b:string>, l array<int>")
+    texts = [
+        '{"n": 1.5, "t": 7, "f": "2.5", "m": {"x": 1, "y": {"z": [1]}, "w": null}, "s": {"a": "3", "b": true}, "l": [1, "2", "x"]}',
+        '{"n": "12", "t": {"a": 1}, "f": 1, "m": "no map", "s": 5, "l": {}}',
+        '{"n": "x"}', "{}", '{"n": 1, "n": 2}', "[]", '{"n": 1']
+    valid, dirty = changes.split_valid_json(lines(spark, texts), schema)
+    assert [r.asDict(True) for r in valid.collect()] == [
+        {"n": 1, "t": "7", "f": 2.5, "m": {"x": "1", "y": '{"z":[1]}', "w": None}, "s": {"a": 3, "b": "true"},
+         "l": [1, 2, None]},
+        {"n": 12, "t": '{"a":1}', "f": 1.0, "m": None, "s": None, "l": None},
+        *[dict.fromkeys(schema.names)] * 2]
+    assert [r[0] for r in dirty.collect()] == texts[4:]
+
+
+def test_messages_keep_their_position(spark):
+    """Two changes of one second: the later row of the file wins, whatever its value."""
+    source, path, state = (scratch_dir(spark, n) for n in ("in", "out", "state"))
+    texts = [json.dumps(change("t", "update", {"id": "1", "v": v})) for v in "cab"]
+    lines(spark, texts).coalesce(1).write.parquet(source)
+    read = read_stream_raw(spark, "parquet", schema="value string", path=source, positions=True)
+    facts = changes.cdc_filter(read_change_feed(read), "t", ["id", "v"], types=None, keep=["ts", "position"])
+    run_batches(facts, write_upsert(path, ["id"], ["ts"]), state)
+    assert rows(read_upsert(spark, path, ["id"]).select("id", "v")) == [("1", "b")]
+
+
 def test_log_without_common_is_dirty(spark):
     texts = ['{"common": {"mid": "a"}, "ts": 1}', '{"ts": 1}', '{"common": {}, "ts": 1}']
     valid, dirty = changes.split_valid_json(

@@ -7,6 +7,8 @@ from tidemart.functions import times
 from tidemart.functions.text import explode_keywords
 from tidemart.operators import applog, summaries
 from tidemart.plans import summary, traffic
+from tidemart.session import scratch_dir
+from tidemart.streaming.late import late_aside
 
 COMMON = {"ar": "1", "ch": "c", "is_new": "1", "mid": "m", "vc": "v"}
 START = {"common": COMMON, "start": {"entry": "widget", "loading_time": 5}, "ts": 1_700_000_000_000}
@@ -137,3 +139,36 @@ def test_traffic_window(spark):
     key = ("v", "c", "1", "1")
     assert rows(picked) == sorted(
         [("1970-01-01 00:00:00", *key, 1, 1, 2, 12, 0), ("1970-01-01 00:00:10", *key, 0, 1, 1, 7, 1)], key=repr)
+
+
+def test_six_kinds_in_one_frame(spark):
+    texts = [json.dumps(START), json.dumps(PAGE), "x", None, '{"ts":1}', '{"common":{"mid":"m"}}']
+    lines = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "value string, seq long")
+    found = traffic.log_kinds(lines)
+    split, dirty = traffic.base_log(lines)
+    kept = split.unionByName(dirty.select(F.lit("dirty").alias("kind"), "value"))
+    assert rows(found) == rows(kept) and found.where("kind = 'dirty'").count() == 4
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("try_parse_json") <= 2
+
+
+def test_late_rows_are_taken_aside(spark):
+    """Behind the watermark of the batches before, by the end of the window; a batch that runs again
+    finds the same watermark."""
+    late, state, kept = scratch_dir(spark, "late"), scratch_dir(spark, "marks"), []
+    write = late_aside(lambda df, n: kept.append((n, rows(df.selectExpr("v")))), late, state, "et", "10 seconds", 2000)
+
+    def batch(n, *seconds):
+        made = spark.createDataFrame([(v, s) for v, s in enumerate(seconds)], "v int, s double")
+        write(made.selectExpr("v", "cast(s as timestamp) AS et"), n)
+
+    batch(0, 5.0, 21.9, None)
+    assert kept[-1] == (0, [(0,), (1,), (2,)])
+    batch(1, 5.0, 10.0, 12.0, 9.999, None)
+    assert kept[-1] == (1, [(1,), (2,), (4,)])
+    batch(2, 31.9)
+    batch(2, 19.0, 12.0, 32.0)  # again, with the mark of batch 1
+    assert kept[-1] == (2, [(0,), (1,), (2,)])
+    batch(3, 19.0, 20.0, 30.5)
+    assert kept[-1] == (3, [(2,)])
+    assert rows(spark.read.parquet(late).select("batch_id", "v")) == [(1, 0), (1, 3), (3, 0), (3, 1)]

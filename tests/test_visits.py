@@ -8,10 +8,12 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemart.operators import visits
+from tidemart.functions.values import packed_first, unpacked_first
+from tidemart.operators import config, visits
 from tidemart.plans import traffic
 from tidemart.schemas import COMMON, PAGE
 from tidemart.session import scratch_dir
+from tidemart.streaming import visits as streaming
 from tidemart.streaming.runner import run_available, stream_of
 
 SCHEMA = "mid string, is_new string, last string, ts long, seq long"
@@ -189,3 +191,55 @@ def test_streams_are_the_state_machines(spark):
     assert rows(visitors.select("seq")) == sorted(plain_visitors(DATA), key=repr)
     jumps = stream_rows(spark, DATA, traffic.user_jump_detail, 3)
     assert rows(jumps.select("seq", "reason")) == sorted(plain_jumps(DATA), key=repr)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_records_are_hash_aggregates(spark):
+    """First visits, heads of slices and newest rules: no sort before the combine."""
+    df = pages(spark, [("a", "1", None, 0)])
+    rules = spark.createDataFrame(
+        [], "before struct<source_table:string>, after struct<source_table:string,sink_table:string,sink_columns:string,"
+        "sink_pk:string,sink_extend:string>, op string, ts_ms long")
+    for plan in map(plan_of, (visits.repair_is_new(df), visits.user_jump(df), config.latest_config(rules))):
+        assert "SortAggregate" not in plan
+    assert "HashAggregate" in plan_of(visits.first_visits(df))
+
+
+def test_packed_first_records(spark):
+    """The smallest number is the first record; all parts come back."""
+    data = [(ts, seq, flag) for ts in (-5, 0, 1_704_067_200_000, 10**14) for seq in (-(10**18), -1, 0, 7, 4 * 10**18)
+            for flag in (0, 1)]
+    df = spark.createDataFrame(data, "ts long, seq long, flag int")
+    packed = df.select("*", packed_first(F.col("ts"), F.col("seq"), F.col("flag")).alias("p"))
+    back = packed.select("p", *unpacked_first("p")).orderBy("p").select("ts", "seq", "flag")
+    assert [tuple(r) for r in back.collect()] == sorted(data)
+
+
+def test_a_busy_visitor_of_a_stream(spark):
+    """With nine tenths of the rows; marked rows are dealt to parts, and late rows count."""
+    rng = random.Random(8)
+    data = [
+        ("busy" if rng.random() < 0.9 else f"m{rng.randrange(9)}", rng.choice(["0", "1", None]),
+         rng.choice([None, "home"]), rng.randrange(3 * 86_400_000))
+        for _ in range(600)
+    ]
+    repaired = stream_rows(spark, data, traffic.repair_is_new, 3, flush=False)
+    assert rows(repaired.select("seq", "common.is_new")) == sorted(plain_repair(data), key=repr)
+    df = pages(spark, data).withColumn("part", F.pmod(F.xxhash64("ts", "seq"), F.lit(streaming.PARTS)))
+    marked = df.where("common.is_new = '1' AND common.mid = 'busy'")
+    largest = max(n for _, n in marked.groupBy("part").count().collect())
+    assert largest < marked.count() / 8
+
+
+def test_a_late_visit_is_given(spark):
+    """Days after the newest row: nothing is too late, and its date is kept like any other."""
+    data = [("a", "1", None, 5 * 86_400_000), ("b", "1", None, 0), ("a", "1", None, 9 * 86_400_000)]
+    topic, out, checkpoint = (scratch_dir(spark, n) for n in "toc")
+    for part in ([0], [1], [2]):
+        pages(spark, data).where(F.col("seq").isin(part)).coalesce(1).write.mode("append").parquet(topic)
+        stream = stream_of(spark, topic, spark.read.parquet(topic).schema)
+        run_available(traffic.unique_visitor_detail(stream.withColumn("et", F.timestamp_millis("ts"))), out, checkpoint)
+    assert rows(spark.read.parquet(out).select("seq")) == [(0,), (1,), (2,)]

@@ -13,8 +13,8 @@ def part(value: Column, name: str) -> Column:
 
 
 def as_text(value: Column) -> Column:
-    """Texts and numbers as they are, lists and objects as JSON."""
-    return F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value))
+    """Texts and numbers as they are, lists and objects as JSON; a JSON null is NULL."""
+    return F.when(~F.is_variant_null(value), F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value)))
 
 
 def as_type(value: Column, kind: T.DataType) -> Column:

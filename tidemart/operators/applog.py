@@ -101,11 +101,13 @@ def route_open(logs: DataFrame, dirty: str | None = None) -> DataFrame:
         return value.isNotNull() & ~F.is_variant_null(value)
 
     # Further generators: the record is opened once, not for each of its kinds.
-    logs = logs.select("common", F.explode(F.array(_as_map(F.col("record")))).alias("record"), "_text")
-    common, mark = _as_map(F.col("record")["common"]), F.col("common.is_new")
+    logs = logs.select("common", "record", F.explode(F.array(_as_map(F.col("record")))).alias("_m"), "_text")
+    common, mark = _as_map(F.col("_m")["common"]), F.col("common.is_new")
+    # Few marks were changed; all other records stay as they are.
+    same = mark.isNull() | mark.eqNullSafe(F.try_variant_get("record", "$.common.is_new", "string"))
     marked = F.map_concat(but(common, "is_new"), F.create_map(F.lit("is_new"), mark.cast("variant")))
-    common = F.to_variant_object(F.when(mark.isNull(), common).otherwise(marked))
-    record = F.map_concat(but(F.col("record"), "common"), F.create_map(F.lit("common"), common))
+    changed = F.create_map(F.lit("common"), F.to_variant_object(marked))
+    record = F.when(same, F.col("_m")).otherwise(F.map_concat(but(F.col("_m"), "common"), changed))
     logs = logs.select(F.explode(F.array(record)).alias("_r"), "_text")
 
     is_start = there("start")
