@@ -54,10 +54,11 @@ def centres(sample: np.ndarray, count: int, seed: int, rounds: int = 12) -> np.n
     return found
 
 
-def scan(query: np.ndarray, rows: np.ndarray, k: int, doubt: float) -> np.ndarray:
+def scan(query: np.ndarray, rows: np.ndarray, k: int, doubt: float, bound: float = np.inf) -> np.ndarray:
     """Indexes of rows that may be among the ``k`` nearest to ``query``; both are rotated.
 
-    The first rows are measured in full and set the k-th best distance. Of the others one block of
+    ``bound`` is a squared distance that ``k`` rows elsewhere are known to keep to. The first rows are
+    measured in full and set the k-th best distance, if it is below. Of the others one block of
     columns after another is added up. After d of D columns a row's distance is estimated as its
     partial square times D / d; the hypothesis that it is within the k-th best is given up once the
     estimate is above it by the factor (1 + doubt / sqrt(d)) ** 2.
@@ -66,8 +67,8 @@ def scan(query: np.ndarray, rows: np.ndarray, k: int, doubt: float) -> np.ndarra
     first = min(len(rows), max(4 * k, 64))
     full = ((rows[:first] - query) ** 2).sum(1)
     if first == len(rows):
-        return np.arange(first)
-    limit = np.partition(full, k - 1)[k - 1]
+        return np.flatnonzero(full <= bound * (1 + 1e-9))
+    limit = min(bound, np.partition(full, k - 1)[k - 1])
     alive = np.arange(first, len(rows))
     partial = np.zeros(len(alive))
     for d in range(0, dims, COLUMNS):
@@ -79,7 +80,7 @@ def scan(query: np.ndarray, rows: np.ndarray, k: int, doubt: float) -> np.ndarra
         alive, partial = alive[keep], partial[keep]
         if not len(alive):
             break
-    return np.concatenate([np.arange(first), alive])
+    return np.concatenate([np.flatnonzero(full <= limit * (1 + 1e-9)), alive])
 
 
 class Lists:
@@ -157,13 +158,15 @@ def search(
 
     An index of lists is fitted on at most ``most_sample`` vectors, the first by a hash of their id;
     every vector is then put into its nearest list. A query scans its ``probes`` nearest lists with
-    ``scan``. If their number is not given, TRIED of the queries are measured against all vectors, and
+    ``scan``: first the LEAST_PROBES nearest, whose k-th best distance then bounds what the others can
+    add. If their number is not given, TRIED of the queries are measured against all vectors, and
     it is the number of lists that holds ``least_recall`` of their neighbours, LEAST_PROBES at least:
     on vectors without clusters that is a large share of the lists, whatever their number. What is left is measured on the original vectors. Equal vectors are searched for once
     and stand in for each other: only the ``k + 1`` smallest ids of each can be in a result. Lists
     go in chunks, and the queries of a chunk in groups, so no task holds a list as a whole.
 
-    Vectors that are null, zero, of another length than the first sampled one, or hold a null, NaN
+    Vectors that are null, zero, of another length than the commonest one (of equally common ones the
+    shorter), or hold a null, NaN
     or infinite component take no part, neither as query nor as candidate. Rows with a null id take no
     part either. Of rows that repeat an id the one with the smallest vector counts. Fewer other vectors than ``k`` give fewer rows; an empty table gives
     an empty result; other columns are left out.
@@ -176,18 +179,18 @@ def search(
     rows = rows.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))
     rows = rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
     schema = "query_id long, rank int, vec_id long, score double"
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(most_sample).select("vector").toPandas()["vector"]
-    if not len(sample):
+    commonest = rows.groupBy(F.size("vector").alias("dims")).count().orderBy(F.desc("count"), "dims").first()
+    if commonest is None:
         return spark.createDataFrame([], schema)
-    dims = len(sample[0])
-    rows = rows.filter(F.size("vector") == dims)
+    rows = rows.filter(F.size("vector") == commonest["dims"])
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(most_sample).select("vector").toPandas()["vector"]
     # Of equal vectors the smallest ids; the cut happens before the shuffle.
     place = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     few = rows.withColumn("place", place).filter(F.col("place") <= k + 1)
     groups = few.groupBy("vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
     groups = stored(groups.withColumn("group", F.col("ids")[0]), "vectors")
     count = groups.count()
-    lists = Lists(np.stack([np.array(v) for v in sample if len(v) == dims]), per_list, count, most_lists, seed)
+    lists = Lists(np.stack([np.array(v) for v in sample]), per_list, count, most_lists, seed)
     shared = spark.sparkContext.broadcast(lists)
     def placed(number: int):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -219,7 +222,8 @@ def search(
     members = members.join(sizes, "list").withColumn(
         "chunk", F.pmod(F.xxhash64("group"), F.col("chunks")).cast("int")
     ).drop("chunks")
-    probing = stored(probing.select("group", F.explode("list").alias("list"), "turned"), "probes")
+    placed_in = F.posexplode("list").alias("near", "list")
+    probing = stored(probing.select("group", placed_in, "turned"), "probes")
     wanted = stored(
         probing.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / ASKING).cast("int").alias("parts")), "asking"
     )
@@ -227,32 +231,44 @@ def search(
     probing = probing.withColumn("part", F.pmod(F.xxhash64("group"), F.col("parts")).cast("int"))
     probing = probing.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     members = members.join(wanted, "list").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-
     # Under names of their own: both sides come from the same tables.
-    probing, members = (
-        side.select(*(F.col(c).alias(c) for c in ("list", "chunk", "part", "group", "turned")))
-        for side in (probing, members)
-    )
+    members = members.select(*(F.col(c).alias(c) for c in ("list", "chunk", "part", "group", "turned")))
 
     def compare(queries: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        out: dict[str, list] = {"query": [], "found": []}
+        out: dict[str, list] = {"query": [], "found": [], "far": []}
         if len(queries) and len(others):
             table = np.stack(others["turned"].to_numpy())
             names = others["group"].to_numpy()
-            for name, query in zip(queries["group"], queries["turned"], strict=True):
-                near = scan(query, table, k + 1, doubt)
+            for name, query, bound in zip(queries["group"], queries["turned"], queries["bound"], strict=True):
+                near = scan(query, table, k + 1, doubt, bound)
                 distance = ((table[near] - query) ** 2).sum(1)
-                best = near[np.argsort(distance, kind="stable")[: 2 * (k + 1)]]
-                out["query"] += [name] * len(best)
-                out["found"] += names[best].tolist()
-        return pd.DataFrame(out).astype("int64")
+                first = np.argsort(distance, kind="stable")[: 2 * (k + 1)]
+                out["query"] += [name] * len(first)
+                out["found"] += names[near[first]].tolist()
+                out["far"] += distance[first].tolist()
+        return pd.DataFrame(out).astype({"query": "int64", "found": "int64", "far": "float64"})
 
     key = ["list", "chunk", "part"]
-    found = (
-        probing.groupBy(*key)
-        .cogroup(members.groupBy(*key))
-        .applyInPandas(compare, "query long, found long")
-    )
+
+    def scanned(queries: DataFrame, name: str) -> DataFrame:
+        """What the lists of these rows hold for the queries, twice as many as can be needed: rotated
+        distances may be off in their last digits. The cut happens before the shuffle and after."""
+        named = queries.select(*(F.col(c).alias(c) for c in (*key, "group", "turned", "bound")))
+        found = named.groupBy(*key).cogroup(members.groupBy(*key)).applyInPandas(
+            compare, "query long, found long, far double"
+        )
+        place = F.rank().over(Window.partitionBy("query").orderBy(F.col("far").cast("float")))
+        return stored(found.withColumn("place", place).filter(F.col("place") <= 2 * (k + 1)).drop("place"), name)
+
+    unbound = F.lit(float("inf"))
+    first = scanned(probing.filter(F.col("near") < LEAST_PROBES).withColumn("bound", unbound), "first")
+    # The k-th best of the nearest lists, the query itself being one more.
+    bounds = first.groupBy("query").agg(F.array_sort(F.collect_list("far")).alias("far"))
+    bounds = bounds.select("query", F.get("far", F.lit(k)).alias("best"))
+    others = probing.filter(F.col("near") >= LEAST_PROBES).join(bounds, F.col("group") == F.col("query"), "left")
+    found = first.union(scanned(others.withColumn("bound", F.coalesce("best", unbound)), "others"))
+    place = F.rank().over(Window.partitionBy("query").orderBy(F.col("far").cast("float")))
+    found = found.withColumn("place", place).filter(F.col("place") <= 2 * (k + 1)).drop("place", "far")
     # Exact distances on the original vectors, for the few that are left.
     asked = asked.select("group", F.col("vector").alias("mine"))
     pairs = found.join(asked, F.col("query") == F.col("group")).drop("group")
