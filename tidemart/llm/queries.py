@@ -101,7 +101,7 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_units", units.SQL)
 def op7_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = units.remove_units(table(spark, sf_dir, "documents"), separator="\n", least_words=5)
+    cut = units.remove_units(table(spark, sf_dir, "documents"), separator="\n")
     removed = F.aggregate(
         "spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"]
     )

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.tables import narrow, stored
 
-#: The rank of a row without an id.
-LAST = (1 << 63) - 1
 SPACE = "[\\x20\\x09-\\x0D]+"
 
 
@@ -27,14 +25,14 @@ def remove_units(
     id_col: str = "doc_id",
     text_col: str = "text",
     separator: str = "\n",
-    least_words: int = 5,
+    least_words: int = 1,
 ) -> DataFrame:
     """``(doc_id, n_units, spans, kept)`` for each row.
 
     Texts are cut at ``separator`` (a newline for lines, two for paragraphs). Units with the same
     normalised words are copies; the one in the row with the smallest id, and there the first one,
-    stays, the others go. Units of fewer than ``least_words`` words stay: a heading or a lone word
-    that recurs is no copy. ``spans`` are ``(unit, start, end, first_id)`` of what was removed:
+    stays, the others go. Units without words stay, and so do those of fewer than ``least_words``.
+    ``spans`` are ``(unit, start, end, first_id)`` of what was removed:
     place among the units, code points counted from 0 in the original text, and the id that keeps
     it. ``kept`` is the rest, joined by the separator.
 
@@ -52,28 +50,29 @@ def remove_units(
     plain = normalised(F.col("line"))
     worded = (
         units.withColumn("plain", plain)
-        .filter(F.size(F.split("plain", " ")) >= least_words)
+        .filter((F.col("plain") != "") & (F.size(F.split("plain", " ")) >= least_words))
         .select("doc_id", "th", "unit", F.unhex(F.md5("plain")).alias("digest"))
     )
     worded = stored(worded, "units")
-    rank = F.coalesce("doc_id", F.lit(LAST))
     # A place's rank is its id, then its unit, then its text's hash: rows that share an id differ there.
+    # The least id is null only where all ids are.
     least = (
         worded.groupBy("digest")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("first_id"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"))
         .filter("n > 1")
         .select("digest", "first_id")
     )
     # A table of its own is dealt out anew for the join, where AQE can split a hot digest.
     copies = stored(worded.join(stored(least, "least"), "digest"), "copies")
+    is_first = F.col("doc_id").eqNullSafe(F.col("first_id"))
     first = (
-        copies.filter(rank == F.col("first_id"))
+        copies.filter(is_first)
         .groupBy("digest")
         .agg(F.min(F.struct("unit", "th")).alias("place"))
         .select("digest", F.col("place.unit").alias("first_unit"), F.col("place.th").alias("first_th"))
     )
     gone = copies.join(stored(first, "first"), "digest").filter(
-        (rank != F.col("first_id")) | (F.col("unit") != F.col("first_unit")) | (F.col("th") != F.col("first_th"))
+        ~is_first | (F.col("unit") != F.col("first_unit")) | (F.col("th") != F.col("first_th"))
     )
     by_row = (
         gone.groupBy("doc_id", "th")
@@ -84,8 +83,9 @@ def remove_units(
     joined = rows.join(by_row, same, "left").select("doc_id", "text", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("unit", "start", "end", "first_id")]))
         for batch in batches:
+            place = [(n, pa.int64()) for n in ("unit", "start", "end")]
+            kind = pa.list_(pa.struct([*place, ("first_id", batch.column("doc_id").type)]))
             counts, spans, kept = [], [], []
             for text, gone in zip(batch.column("text"), batch.column("gone"), strict=True):
                 lines = text.as_py().split(separator)
@@ -98,7 +98,7 @@ def remove_units(
                             "unit": i,
                             "start": starts[i],
                             "end": starts[i] + len(lines[i]),
-                            "first_id": None if first[i] == LAST else first[i],
+                            "first_id": first[i],
                         }
                         for i in sorted(first)
                     ]
@@ -109,7 +109,7 @@ def remove_units(
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_units", "spans", "kept"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    spans = "array<struct<unit:long,start:long,end:long,first_id:long>>"
+    spans = f"array<struct<unit:long,start:long,end:long,first_id:{kind}>>"
     return joined.mapInArrow(run, f"doc_id {kind}, n_units long, spans {spans}, kept string")
 
 
@@ -118,7 +118,7 @@ WITH u AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l
     generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS unit FROM documents),
 p AS (SELECT *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\x20\x09-\x0D]+', ' ', 'g')) AS plain FROM u),
-r AS (SELECT doc_id, unit, line, len(string_split(plain, ' ')) >= 5
+r AS (SELECT doc_id, unit, line, plain <> ''
     AND row_number() OVER (PARTITION BY plain ORDER BY doc_id NULLS LAST, unit) > 1 AS gone FROM p)
 SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
   coalesce(sum(length(line)) FILTER (gone), 0)::BIGINT AS removed_chars,
