@@ -48,9 +48,10 @@ def leak_tables(spark):
     )
 
 
-@pytest.mark.parametrize("block", [leaks.BLOCK, 50])
-def test_leaks(spark, monkeypatch, block):
-    monkeypatch.setattr(leaks, "BLOCK", block)
+@pytest.mark.parametrize("sieve", [leaks.SIEVE, 8])
+def test_leaks(spark, monkeypatch, sieve):
+    """Also with a sieve that lets nearly everything pass."""
+    monkeypatch.setattr(leaks, "SIEVE", sieve)
     docs, items, planted = leak_tables(spark)
     found = leaks.find_leaks(docs, items).collect()
     assert {(r["doc_id"], r["item_id"]) for r in found} == planted
@@ -70,6 +71,54 @@ def test_leaks_of_empty_tables(spark):
     assert leaks.without_leaks(docs, items.limit(0)).count() == docs.count()
 
 
+def plain_leaks(docs, items):
+    """Over all pairs and all diagonals; an overlap has 13 words, four fifths of them equal, or is the item."""
+    out = set()
+    for d, text in docs:
+        words = (text or "").lower().split()
+        for i, other in items:
+            item = (other or "").lower().split()
+            for diagonal in range(-len(item) + 1, len(words)):
+                same = [0 <= k + diagonal < len(words) and words[k + diagonal] == item[k] for k in range(len(item))]
+                total = [0, *np.cumsum(same).tolist()]
+                inside = range(max(0, -diagonal), min(len(item), len(words) - diagonal) + 1)
+                if all(same) or any(
+                    b - a >= 13 and 5 * (total[b] - total[a]) >= 4 * (b - a) for a in inside for b in inside
+                ):
+                    out.add((d, i))
+                    break
+    return out
+
+
+def test_items_of_any_length_against_all_pairs(spark):
+    """Items of 1 to 30 words, whole, cut or with words replaced, ids of both kinds, a very long text."""
+    rng = random.Random(12)
+    vocabulary = [f"v{i}" for i in range(60)]
+    items = [(f"i{n}-{k}", " ".join(rng.choices(vocabulary, k=n))) for n in range(1, 31) for k in range(2)]
+    docs = []
+    for d in range(90):
+        words = rng.choices(vocabulary, k=rng.randint(0, 40))
+        passage = items[rng.randrange(len(items))][1].split()
+        kind = d % 3
+        if kind == 1:
+            passage = [f"new{k}" if rng.random() < 0.2 else w for k, w in enumerate(passage)]
+        if kind == 2:
+            passage = passage[rng.randint(0, 3) :]
+        at = rng.randint(0, len(words))
+        docs.append((f"d{d}", " ".join(words[:at] + passage + words[at:])))
+    found = leaks.find_leaks(
+        spark.createDataFrame([(*d, 1) for d in docs], "id string, body string, item int").repartition(3),
+        spark.createDataFrame([(*i, 2) for i in items], "name string, words string, hash int"),
+        "id", "body", "name", "words",
+    )
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == plain_leaks(docs, items)
+    long = " ".join(f"x{i}" for i in range(60_000)) + " " + items[-1][1]
+    one = spark.createDataFrame([(1, long)], "doc_id long, text string")
+    named = spark.createDataFrame(items, "item_id string, text string")
+    [row] = leaks.find_leaks(one, named.filter("item_id = 'i30-1'")).collect()
+    assert (row["first_word"], row["end_word"], row["matches"]) == (60_000, 60_030, 30)
+
+
 def test_best_run_is_brute_force():
     rng = random.Random(2)
     for _ in range(200):
@@ -97,8 +146,9 @@ def test_overlaps_with_a_short_best_stretch(equal):
     before, new, after = equal
     item = [f"w{i}" for i in range(before + new + after)]
     text = ["x"] * 5 + item[:before] + ["new"] * new + item[before + new :] + ["y"] * 5
-    index = leaks.Index([7], [" ".join(item)])
-    [(_, first, end, matches)] = leaks.overlaps(leaks.WordHashes()(" ".join(text)), index, 13, 0.8)
+    hashes = leaks.WordHashes()
+    words, other = hashes(" ".join(text)), hashes(" ".join(item))
+    first, end, matches = leaks.overlap(words, other, [-3, 5, 9], 13, 0.8)
     assert end - first >= 13 and 5 * matches >= 4 * (end - first)
 
 
@@ -185,10 +235,30 @@ def test_few_and_no_vectors(spark):
     assert neighbours.search(df.filter("vec_id >= 2000"), F.lit(True)).count() == 0
 
 
+def test_odd_lengths_do_not_take_the_table_over(spark):
+    """Vectors of another length than most take no part, whichever comes first by hash."""
+    made, df = vectors(spark, 60)
+    odd = [(3000 + i, [float(i + 1)] * (1 + i % 3), 1) for i in range(40)]
+    both = df.union(spark.createDataFrame(odd, df.schema))
+    want = rows(neighbours.search(df, F.col("vec_id") % 20 == 0, k=5))
+    assert rows(neighbours.search(both, F.col("vec_id") % 20 == 0, k=5)) == want and len(want) == 5 * 6
+
+
+def test_scan_keeps_to_a_bound():
+    rng = np.random.default_rng(9)
+    table, query = rng.normal(size=(500, 16)), rng.normal(size=16)
+    far = ((table - query) ** 2).sum(1)
+    bound = np.sort(far)[6]
+    found = neighbours.scan(query, table, 10, 50.0, bound)
+    assert sorted(found.tolist()) == sorted(np.flatnonzero(far <= bound).tolist())
+    assert neighbours.scan(query, table[:20], 10, 2.1, 0.0).tolist() == []
+
+
 # Units
 
 
-def test_units_against_a_walk(spark):
+@pytest.mark.parametrize("least", [1, 5])
+def test_units_against_a_walk(spark, least):
     rng = random.Random(6)
     lines = [" ".join(rng.choices("aa bb cc dd ee".split(), k=rng.randint(1, 9))) for _ in range(40)]
     data = [(i, "\n".join(rng.choice([rng.choice(lines), rng.choice(lines).upper() + "  "]) for _ in range(rng.randint(0, 12)))) for i in range(60)]
@@ -200,7 +270,7 @@ def test_units_against_a_walk(spark):
         parts = (text or "").split("\n")
         for k, line in enumerate(parts):
             key = " ".join(line.lower().split())
-            gone = len(key.split()) >= 5 and key in seen
+            gone = key and len(key.split()) >= least and key in seen
             if gone:
                 spans.append((k, at, at + len(line), seen[key]))
             else:
@@ -208,11 +278,19 @@ def test_units_against_a_walk(spark):
                 seen.setdefault(key, i)
             at += len(line) + 1
         expected.append((i, len(parts), spans, "\n".join(kept)))
-    made = [(r["doc_id"], r["n_units"], [tuple(s) for s in r["spans"]], r["kept"]) for r in units.remove_units(df).collect()]
+    made = [(r["doc_id"], r["n_units"], [tuple(s) for s in r["spans"]], r["kept"]) for r in units.remove_units(df, least_words=least).collect()]
     assert sorted(made) == sorted(expected)
     assert units.remove_units(df.limit(0)).count() == 0
 
 
+def test_units_of_text_ids_and_a_long_text(spark):
+    """Ids of any type rank as they sort, a null one last; a text of many lines is one row."""
+    long = "\n".join(f"line {i}" for i in range(30_000))
+    df = spark.createDataFrame([("b", "x y"), ("a", "x y"), (None, "x y\nline 7"), ("c", long)], "doc_id string, text string")
+    made = {r["doc_id"]: ([(s["unit"], s["first_id"]) for s in r["spans"]], r["kept"]) for r in units.remove_units(df).collect()}
+    assert made == {"a": ([], "x y"), "b": ([(0, "a")], ""), None: ([(0, "a"), (1, "c")], ""), "c": ([], long)}
+
+
 def test_units_of_repeated_and_null_ids(spark):
     line = "one two three four five"
     df = spark.createDataFrame([(2, line), (None, line), (1, line + "\n" + line), (1, "other\n" + line)], "doc_id long, text string")
