@@ -80,6 +80,79 @@ def test_positive_unlabelled_risk_finds_hidden_positives():
     assert weights[0] + bias > 0 > weights[1] + bias
 
 
+def plain_adam(size, rate):
+    mean, square, time = [0.0] * size, [0.0] * size, [0]
+
+    def step(weights, gradient):
+        time[0] += 1
+        for k, g in enumerate(gradient):
+            mean[k] = 0.9 * mean[k] + 0.1 * g
+            square[k] = 0.999 * square[k] + 0.001 * g * g
+            first, second = mean[k] / (1 - 0.9 ** time[0]), square[k] / (1 - 0.999 ** time[0])
+            weights[k] -= rate * first / (math.sqrt(second) + 1e-8)
+
+    return step
+
+
+def loss(margin):
+    return math.log1p(math.exp(-margin))
+
+
+def test_non_negative_risk_is_brute_force():
+    """Risk, clipping and gradient by plain loops and by differences, over the same draws."""
+    rng = np.random.default_rng(8)
+    size, prior, batch, steps, decay = 6, 0.4, 12, 60, 1e-4
+
+    def drawn(count, heavy):
+        ids = [rng.choice(size, size=3, replace=False, p=heavy) for _ in range(count)]
+        return SparseRows(ids, [rng.random(3) + 0.5 for _ in ids])
+
+    positive = drawn(9, [0.4, 0.3, 0.1, 0.1, 0.05, 0.05])
+    unlabelled = drawn(30, [0.2, 0.2, 0.15, 0.15, 0.15, 0.15])
+    weights, bias = toxicity.fit(positive, unlabelled, prior, size, steps=steps, batch=batch, decay=decay)
+
+    random_, plain = np.random.default_rng(42), [0.0] * size + [math.log(prior / (1 - prior))]
+    step, branches = plain_adam(size + 1, 0.05), set()
+
+    def row(rows, i):
+        a, b = rows.starts[i], rows.starts[i + 1]
+        return list(zip(rows.ids[a:b].tolist(), rows.values[a:b].tolist(), strict=True)) + [(size, 1.0)]
+
+    def risks(w, p, u):
+        margin = lambda r: sum(w[k] * v for k, v in r)
+        as_one = sum(loss(margin(r)) for r in p) / len(p)
+        as_zero = sum(loss(-margin(r)) for r in p) / len(p)
+        rest = sum(loss(-margin(r)) for r in u) / len(u)
+        return prior * as_one, rest - prior * as_zero
+
+    for n in range(steps):
+        p = [row(positive, i) for i in random_.integers(len(positive), size=batch)]
+        u = [row(unlabelled, i) for i in random_.integers(len(unlabelled), size=batch)]
+        gain, bracket = risks(plain, p, u)
+        branches.add(bracket >= 0)
+        objective = (lambda w, p=p, u=u: sum(risks(w, p, u))) if bracket >= 0 else (lambda w, p=p, u=u: -risks(w, p, u)[1])
+        gradient = []
+        for k in range(size + 1):
+            up, down = list(plain), list(plain)
+            up[k] += 1e-5
+            down[k] -= 1e-5
+            gradient.append((objective(up) - objective(down)) / 2e-5 + (decay * plain[k] if k < size else 0))
+        step(plain, gradient)
+    assert branches == {True, False}
+    assert np.allclose([*weights, bias], plain, atol=2e-4)
+
+
+def test_a_very_long_text_is_scored_as_a_whole(spark, tables):
+    """What counts is the share of words in all of the text, its end included."""
+    _, docs, labels = tables
+    calm = "kalomi lokaru miruka " * 40_000
+    more = spark.createDataFrame([(1, calm), (2, calm + "vilething badthing " * 40_000)], "doc_id long, text string")
+    both = docs.select("doc_id", "text").unionByName(more.selectExpr("doc_id + 70000 AS doc_id", "text"))
+    apart = F.col("doc_id") > 70_000
+    made = toxicity.score(both, labels, learn=~apart).filter(apart).collect()
+    assert {r["doc_id"] - 70_000: r["predicted"] for r in made} == {1: 0, 2: 1}
+
+
 def test_quality(spark, tables):
     data, docs, labels = tables
     ratings = quality.grades_of(labels)
@@ -110,6 +183,63 @@ def test_ordinal_regression_recovers_thresholds():
     assert (np.diff(found) > 0).all()
 
 
+def test_grades_are_brute_force(spark, tables):
+    """Tails and expected grades by the plain formula from the fitted weights and thresholds, and the
+    fit's likelihood is at a maximum in every threshold."""
+    _, docs, labels = tables
+    ratings = quality.grades_of(labels)
+    weights, thresholds = quality.train(docs.select("doc_id", "text"), ratings)
+    for least in (1, 2):
+        made = quality.rate(docs, ratings, least_grade=least).collect()
+        texts_of = {}
+        for r in docs.select("doc_id", "text").collect():
+            texts_of.setdefault(r["doc_id"], []).append(r["text"])
+        for r in made:
+            wanted = []
+            for text in texts_of[r["doc_id"]]:
+                ids, values = quality.features(text)
+                margin = sum(float(weights[i]) * float(v) for i, v in zip(ids, values, strict=True))
+                tails = [1 / (1 + math.exp(t - margin)) for t in thresholds]
+                shares = [a - b for a, b in zip([1.0, *tails], [*tails, 0.0], strict=True)]
+                wanted.append((sum(g * p for g, p in enumerate(shares)), sum(shares[least:])))
+            assert any(
+                math.isclose(r["expected_grade"], e, abs_tol=1e-9) and math.isclose(r["tail"], t, abs_tol=1e-9)
+                for e, t in wanted
+            )
+
+
+def test_ordinal_gradient_is_brute_force():
+    """One step of the fit goes where differences of the plain likelihood point."""
+    rng = np.random.default_rng(6)
+    x, grades = rng.normal(size=40), rng.integers(0, 4, size=40)
+    rows = SparseRows([np.array([7])] * 40, [np.array([v]) for v in x])
+    rate, shares = 0.02, [np.clip((grades >= k).mean(), 0.01, 0.99) for k in (1, 2, 3)]
+    start = [math.log((1 - s) / s) for s in shares]
+    start = [v + 0.01 * k for k, v in enumerate(start)]
+    free = [0.0, start[0], *(math.log(max(b - a, 0.01)) for a, b in zip(start, start[1:], strict=False))]
+
+    def cost(free):
+        edges = [free[1]]
+        for gap in free[2:]:
+            edges.append(edges[-1] + math.exp(gap))
+        out = 0.0
+        for v, y in zip(rows.values.tolist(), grades, strict=True):
+            tails = [1.0, *(1 / (1 + math.exp(e - free[0] * v)) for e in edges), 0.0]
+            out -= math.log(tails[y] - tails[y + 1])
+        return out / len(grades)
+
+    slope = []
+    for k in range(len(free)):
+        up, down = list(free), list(free)
+        up[k] += 1e-6
+        down[k] -= 1e-6
+        slope.append((cost(up) - cost(down)) / 2e-6)
+    plain_adam(len(free), rate)(free, slope)
+    edges = np.cumsum([free[1], *map(math.exp, free[2:])])
+    weights, found = quality.fit(rows, grades, 4, epochs=1, batch=40, rate=rate, decay=0.0)
+    assert math.isclose(weights[7], free[0], abs_tol=1e-5) and np.allclose(found, edges, atol=1e-5)
+
+
 def test_language(spark, tables):
     data, docs, _ = tables
     apart = held_out("doc_id", 4, 2)
