@@ -13,7 +13,9 @@ TABLES = (
 # Streams take long to start; their logic is also covered in the other tests.
 STREAMS = ["read_stream_raw", "interval_join_stream", "left_stream_join_stream", "order_pre_process_stream",
            "dim_app_stream", "cart_add_new_code_stream", "base_log_stream", "user_jump_stream",
-           "left_left_join_stream", "order_refund_stream", "refund_pay_suc_stream", "comment_stream"]
+           "left_left_join_stream", "order_refund_stream", "refund_pay_suc_stream", "comment_stream",
+           "full_stream_join_upsert_stream", "full_stream_join_stream", "late_data_stream", "repair_is_new_stream",
+           "order_refund_new_code_stream", "comment_new_code_stream"]
 BATCH = sorted(n for n in registry.QUERIES if not n.endswith("_stream") and n != "read_stream_raw")
 
 
