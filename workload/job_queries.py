@@ -529,6 +529,25 @@ def order_refund(spark, d):
     return trade.order_refund(*_inputs(spark, d, "order_refund_info", "order_info")).drop("row_op_ts")
 
 
+@query(
+    "row_operation_time",
+    with_ctes(
+        """SELECT r.id, r.sku_id, true AS stamped FROM refund r
+        JOIN order_info o ON r.order_id = o.id AND o.order_status = '1005'
+        JOIN dic t ON refund_type = t.dic_code JOIN dic w ON reason_type = w.dic_code""",
+        "refund",
+        "order_info",
+        "dic",
+    ),
+)
+def row_operation_time(spark, d):
+    """``row_op_ts`` of refunds is the time of the run."""
+    rows = trade.order_refund(*_inputs(spark, d, "order_refund_info", "order_info"))
+    now = F.current_timestamp()
+    stamped = F.col("row_op_ts").between(now - F.expr("INTERVAL 1 HOUR"), now)
+    return rows.select("id", "sku_id", stamped.alias("stamped"))
+
+
 @query(
     "refund_pay_suc",
     with_ctes(
