@@ -64,7 +64,7 @@ def masks_for(count: int) -> list[str]:
 def slots(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
     """The PROBES slots of each hash: its upper bits, after mixing again for each further one."""
     for _ in range(PROBES):
-        yield (hashes >> np.uint64(64 - bits)).astype(np.int64)
+        yield (hashes >> np.uint64(64 - bits)).view(np.int64)
         hashes = (hashes ^ hashes >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
 
 
