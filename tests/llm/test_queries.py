@@ -2,9 +2,11 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tidemart.llm import queries
+from tidemart.llm.tables import stored
 
 TABLES = "documents embeddings pages benchmark labels".split()
 
@@ -43,7 +45,7 @@ def test_pipeline_stages(spark, sf_dir):
         after = stage(spark, docs, sf_dir)
         if name != corpus_pipeline.STAGES[-1][0]:
             assert after.columns == before.columns
-        docs = corpus_pipeline.stored(after, "stage")
+        docs = stored(after, "stage")
         counts.append(docs.count())
     assert counts == sorted(counts, reverse=True) and 0 < counts[-1] < before.count()
     assert set(docs.columns) == {*before.columns, "taken"}
@@ -66,3 +68,39 @@ def test_pipeline_on_odd_rows(spark, sf_dir, tmp_path):
         made = corpus_pipeline.run(spark, path)
         assert "size" in made.columns
         assert (made.count() > 0) == (n == 0)
+
+
+def test_pipeline_leaves_its_result_only(spark, sf_dir):
+    """Tables of finished stages are gone when the last one is stored."""
+    import corpus_pipeline
+    from tidemart.sinks import files
+
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = set(files.names(spark, base))
+    made = corpus_pipeline.run(spark, sf_dir)
+    [left] = set(files.names(spark, base)) - before
+    assert left.startswith("source-mixing") and made.count() > 0
+
+
+@pytest.mark.parametrize("name", ["ids of text", "long texts", "clashing columns"])
+def test_pipeline_stages_on_other_rows(spark, sf_dir, tmp_path, name):
+    """Each stage by itself: text ids, a text of 200,000 words, columns named like its own."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    path = str(tmp_path)
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("labels", "benchmark")}
+    if name == "ids of text":
+        docs = docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+        tables["labels"] = tables["labels"].withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    if name == "long texts":
+        docs = docs.withColumn("text", F.when(F.col("doc_id") % 20 == 0, F.repeat(F.lit("many words "), 100_000)).otherwise(F.col("text")))
+    if name == "clashing columns":
+        docs = docs.selectExpr("*", "1 AS item", "2 AS th", "3 AS hits", "4 AS fp", "5 AS least", "6 AS grade")
+    for table, df in tables.items():
+        df.write.parquet(f"{path}/{table}.parquet")
+    docs.write.parquet(f"{path}/documents.parquet")
+    for stage, function in corpus_pipeline.STAGES:
+        made = function(spark, spark.read.parquet(f"{path}/documents.parquet"), path)
+        assert set(docs.columns) <= set(made.columns), stage
+        assert 0 < made.count() <= docs.count(), stage

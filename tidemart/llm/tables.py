@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,25 @@ from tidemart.session import scratch_dir
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+#: The tables written inside the innermost ``scratch`` block, of each such block.
+_blocks: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that operators wrote inside the block when it ends well.
+
+    What is read from them must have been written elsewhere by then. After a failure they stay.
+    """
+    _blocks.append([])
+    try:
+        yield
+        for path in _blocks[-1]:
+            remove(spark, path)
+    finally:
+        _blocks.pop()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` as Parquet to the shared folder and reads it back.
 
@@ -22,6 +44,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = scratch_dir(spark, name)
+    if _blocks:
+        _blocks[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
