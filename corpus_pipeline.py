@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm import leaks, mixing, quality, repeats, simhash
-from tidemart.llm.tables import stored
+from tidemart.llm.tables import remove, scratch
+from tidemart.session import scratch_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,7 +64,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    """All stages. What a stage wrote besides its result goes when the result is stored, and so does
+    the result of the stage before."""
+    docs, before = _table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark):
+            made = stage(spark, docs, sf_dir)
+            path = scratch_dir(spark, name.replace(" ", "-"))
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
