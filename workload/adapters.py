@@ -559,9 +559,16 @@ def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """On one machine, rows dealt over its cores: the events are one file of one row group there, and
+    would be one task. A log has as many parts as its topic has partitions."""
+    spark = df.sparkSession
+    return df.repartition(spark.sparkContext.defaultParallelism) if is_local(spark) else df
+
+
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """App log as JSON texts, and the documents as lines that are no records."""
-    logs = app_log(spark, sf_dir)
+    logs = dealt(app_log(spark, sf_dir))
     record = F.struct(*[c for c in logs.columns if c != "seq"])
     good = logs.select(F.to_json(record).alias("value"), "seq")
     bad = table(spark, sf_dir, "documents").select(
@@ -573,7 +580,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def open_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as log texts with fields, types and nesting that no fixed layout has, and as objects
     without a visitor."""
-    pages = page_log(spark, sf_dir)
+    pages = dealt(page_log(spark, sf_dir))
     seq = F.col("seq")
     view = F.struct(
         F.col("page.page_id").alias("page_id"),
