@@ -51,7 +51,8 @@ def rules_at_change(changes: DataFrame, spans: DataFrame, time_ms: Column) -> Da
     """Change records with the rule that held at their time; those without one are dropped.
 
     Adds ``sink_table``, ``sink_pk``, ``sink_key`` and ``keyed``, and cuts ``data`` to the rule's
-    columns, after the key has been taken.
+    columns, after the key has been taken. Rules are written by hand: they are sent to the changes, which
+    would else be dealt by source table, each to one task.
     """
     rules = spans.select(
         F.col("source_table").alias("_source"), "from_ms", "to_ms", "sink_table", "sink_columns", "sink_pk", "keyed"
@@ -62,7 +63,7 @@ def rules_at_change(changes: DataFrame, spans: DataFrame, time_ms: Column) -> Da
         & (F.col("_ms") >= F.col("from_ms"))
         & (F.col("to_ms").isNull() | (F.col("_ms") < F.col("to_ms")))
     )
-    matched = timed.join(rules, held).withColumn("sink_key", F.col("data")[F.col("sink_pk")])
+    matched = timed.join(F.broadcast(rules), held).withColumn("sink_key", F.col("data")[F.col("sink_pk")])
     cut = config_column_filter(F.col("sink_columns"), F.col("data"))
     return matched.withColumn("data", cut).drop("_source", "_ms", "from_ms", "to_ms", "sink_columns")
 
@@ -71,12 +72,12 @@ def config_broadcast_join(changes: DataFrame, rules: DataFrame) -> DataFrame:
     """Change records of configured tables, ``data`` cut to the configured columns.
 
     Adds ``sink_table``, ``sink_pk`` and ``sink_key``, the key's value, which is taken before the
-    cut. Records of other tables are dropped.
+    cut. Records of other tables are dropped. Rules are written by hand, so they are sent to the changes.
     """
     wanted = rules.select(
         F.col("source_table").alias("_source"), "sink_table", "sink_columns", "sink_pk"
     )
-    matched = changes.join(wanted, F.col("table") == F.col("_source"))
+    matched = changes.join(F.broadcast(wanted), F.col("table") == F.col("_source"))
     keyed = matched.withColumn("sink_key", F.col("data")[F.col("sink_pk")])
     return keyed.withColumn(
         "data", config_column_filter(F.col("sink_columns"), F.col("data"))
