@@ -1,14 +1,20 @@
 """What must not grow into one task or one call: lookups, rules, feeds and keyed state."""
 
+import random
+import re
 from datetime import datetime
 
+import pandas as pd
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemart.operators import changes, config
 from tidemart.plans import trade
 from tidemart.sources.tables import read_change_feed
+from tidemart.streaming import processors
 from workload import adapters as a
+from workload import segment_queries
 
 
 def plan_of(df) -> str:
@@ -85,3 +91,152 @@ def test_messages_of_other_tables_are_not_parsed(spark):
     # The test on the text comes before the generators that parse it.
     plan = changes.cdc_filter(feed, "t_a", ["v"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.rindex("Contains(") > plan.rindex("Generate")
+
+
+def test_jobs_on_tables_keep_the_partitions(spark, tmp_path):
+    """Only streams, which have a state store for each partition, get as many as there are cores."""
+    d, name = small_tables(spark, tmp_path), "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "200")
+    try:
+        a.table(spark, d, "orders")
+        assert spark.conf.get(name) == "200"
+        with a.few_stores(spark):
+            assert spark.conf.get(name) == "4"
+        assert spark.conf.get(name) == "200"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_words_are_sent_by_their_own_size(spark, tmp_path):
+    """Many names with few words: the names' size does not make the texts' substrings be shuffled."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    parts = spark.range(20_000).select(F.xxhash64("id").alias("p_partkey"), F.lit("Red ring").alias("p_name"))
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    texts = spark.createDataFrame([(1, "a red bring"), (2, None)], "doc_id long, text string")
+    texts.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.conf.set(name, "20k")
+    try:
+        for job in (segment_queries.keyword_segments, segment_queries.keyword_segments_longest):
+            found = job(spark, str(tmp_path))
+            assert re.search(r"BroadcastHashJoin \[word#", plan_of(found))
+            # "a", "red", "b", "ring"; and of "aredbring" the same.
+            assert sorted(r[:4] for r in found.collect()) == [(1, False, 4, 2), (1, True, 4, 2)]
+    finally:
+        spark.conf.unset(name)
+
+
+class Held:
+    """State variables in memory that count their calls."""
+
+    def __init__(self):
+        self.calls, self.timers, self.kept = 0, set(), {}
+
+    def _variable(self, name, *_):
+        return Variable(self, self.kept.setdefault(name, {}))
+
+    getMapState = getValueState = getListState = _variable
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+
+class Variable:
+    def __init__(self, handle, values):
+        self.handle, self.values = handle, values
+
+    def _call(self, result=None):
+        self.handle.calls += 1
+        return result
+
+    def get(self):
+        return self._call(self.values.get(()))
+
+    def update(self, value):
+        self._call(self.values.__setitem__((), value))
+
+    def clear(self):
+        self._call(self.values.clear())
+
+    def getValue(self, key):
+        return self._call(self.values.get(key))
+
+    def updateValue(self, key, value):
+        self._call(self.values.__setitem__(key, value))
+
+    def removeKey(self, key):
+        self._call(self.values.pop(key))
+
+    def iterator(self):
+        return self._call(iter(list(self.values.items())))
+
+
+class Clock:
+    """Stands for the timer that expired, too."""
+
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs
+
+
+def test_jumps_take_few_trips_to_the_state():
+    """Many visitors of a bucket, decided by two watermarks, with a trip for a day and not for a row."""
+    rng, base = random.Random(5), 1_704_067_200_000
+    made = [(f"m{rng.randrange(300)}", rng.random() < 0.7, base + rng.randrange(120_000), i) for i in range(3000)]
+    copies = []
+    for mid, start, ts, seq in made:
+        own = ts - ts % 60_000
+        copies.append((f"{mid} {own}", own, ts, seq, start, str(seq) if start else None))
+        if ts - own < 10_000:
+            copies.append((f"{mid} {own - 60_000}", own - 60_000, ts, seq, start, None))
+    frame = pd.DataFrame(copies, columns=["name", "slice", "ts", "seq", "is_start", "payload"])
+    held, detector = Held(), processors.JumpDetector(10_000)
+    detector.init(held)
+    assert not sum(len(f) for f in detector.handleInputRows((0,), iter([frame[:2000], frame[2000:]]), Clock(0)))
+    early = base + 60_500
+    got = [r for f in detector.handleExpiredTimer((0,), Clock(early), Clock(early)) for r in zip(f.payload, f.reason)]
+    first = len(got)
+    got += [r for f in detector.handleExpiredTimer((0,), Clock(10**14), Clock(10**14)) for r in zip(f.payload, f.reason)]
+    want = []
+    ordered = sorted(made, key=lambda r: r[2:])
+    for i, (mid, start, ts, seq) in enumerate(ordered):
+        after = next((r for r in ordered[i + 1 :] if r[0] == mid), None)
+        if start and (after is None or after[2] - ts >= 10_000 or after[1]):
+            near = after is not None and after[2] - ts < 10_000
+            want.append((str(seq), "match" if near else "timeout"))
+    # The second in which the watermark less the timeout lies is not decided yet.
+    assert first == sum(made[int(seq)][2] < base + 50_000 for seq, _ in want)
+    assert sorted(got) == sorted(want)
+    assert held.calls < 40 and not held.kept["rows"] and not held.kept["days"]
+
+
+def test_first_visits_of_a_bucket_take_one_call():
+    held, days = Held(), processors.FirstVisitDay()
+    days.init(held)
+    columns = ["mid", "part", "ts", "seq", "first_day"]
+    rows_ = [(f"m{i % 300}", i % 3 - 1, 1000 - i, i, f"d{i}") for i in range(900)] + [(None, 0, 1, 1, "dn")]
+    frame = pd.DataFrame(rows_, columns=columns)
+    (told,) = days.handleInputRows((0,), iter([frame[:500], frame[500:]]), None)
+    want = {(m, p, f"d{600 + int(m[1:])}") for m, p, *_ in rows_[:-1] if p != processors.NO_PART} | {(None, 0, "dn")}
+    assert set(told.itertuples(index=False, name=None)) == want
+    later = pd.DataFrame([("m0", 7, 0, 0, "other")], columns=columns)
+    (told,) = days.handleInputRows((0,), iter([later]), None)
+    assert list(told.itertuples(index=False, name=None)) == [("m0", 7, "d600")]
+
+
+def test_an_early_outer_join_works_on_rows():
+    held, join = Held(), processors.OuterJoin(True, True, 5000)
+    join.init(held)
+
+    def call(*given):
+        made = iter([Row(is_left=left, id=i, ts=ts, payload=i) for left, i, ts in given])
+        return sorted((tuple(r) for r in join.handleInputRows(("k",), made, None)), key=repr)
+
+    assert call((True, "a", 0), (False, "far", 9000)) == [("a", None, False), (None, "far", False)]
+    assert call((False, "b", 10)) == [("a", "b", False), ("a", None, True)]
+    assert not list(join.handleExpiredTimer(("k",), Clock(6000), Clock(6000)))
+    assert set(held.kept["rows"]) == {(False, "far")}

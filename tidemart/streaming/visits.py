@@ -29,6 +29,12 @@ cloudpickle.register_pickle_by_value(processors)
 DAY_TTL_MS = 24 * 60 * 60 * 1000
 #: Parts that the rows of one visitor are dealt to.
 PARTS = 16
+#: Buckets of visitors, of their parts or of their time slices: each is one call per micro-batch.
+BUCKETS = 128
+
+
+def _bucket(*columns):
+    return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)).cast("int")
 
 
 def _payload(df: DataFrame):
@@ -47,8 +53,9 @@ def repair_is_new_stream(logs: DataFrame, tz: str = "UTC", parts: int = PARTS) -
     """``operators.visits.repair_is_new`` in two levels, so that a busy visitor is no single task.
 
     By visitor only the first-visit date is kept: it is found from one row for each chunk of input and
-    part. Rows marked new are dealt by (visitor, part), where each part is told the date and keeps it;
-    all other rows cannot change and go neither through the state nor through Python.
+    part. Rows marked new are dealt by (visitor, part), where each part is told the date; all other rows
+    cannot change and go neither through the state nor through Python. Visitors and parts are dealt to
+    buckets, so calls grow with the buckets and not with the visitors.
     """
     schema = _record_schema(logs)
     marked = F.col(IS_NEW) == "1"
@@ -69,7 +76,8 @@ def repair_is_new_stream(logs: DataFrame, tz: str = "UTC", parts: int = PARTS) -
 
     days = (
         thin.mapInPandas(heads, thin.schema)
-        .groupBy("mid")
+        .withColumn("bucket", _bucket("mid"))
+        .groupBy("bucket")
         .transformWithStateInPandas(
             statefulProcessor=processors.FirstVisitDay(),
             outputStructType="mid string, part int, first_day string",
@@ -81,7 +89,7 @@ def repair_is_new_stream(logs: DataFrame, tz: str = "UTC", parts: int = PARTS) -
         F.col(MID).alias("mid"), part.alias("part"), to_date_str("ts", tz).alias("day"), _payload(logs).alias("payload")
     )
     both = fresh.unionByName(days, allowMissingColumns=True)
-    fixed = both.groupBy("mid", "part").transformWithStateInPandas(
+    fixed = both.withColumn("bucket", _bucket("mid", "part")).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=processors.FirstVisitMark(),
         outputStructType="is_new string, payload string",
         outputMode="Append",
@@ -132,7 +140,8 @@ def user_jump_stream(
     """Jumps are given once the watermark, ``delay`` behind the newest row, passes the timeout.
 
     Rows near the start of a time slice are also sent to the slice before it, without payload, as
-    possible successors.
+    possible successors. Pairs of a visitor and a slice are dealt to buckets, so a busy visitor is dealt
+    by slice and calls grow with the buckets.
     """
     schema = _record_schema(pages)
     width = max(timeout_ms, slice_ms)
@@ -146,7 +155,8 @@ def user_jump_stream(
         .withColumn("slice", F.explode(slices))
     )
     keyed = copies.select(
-        F.col(MID).alias("mid"),
+        F.to_json(F.struct(F.col(MID).alias("mid"), "slice")).alias("name"),
+        _bucket(MID, "slice").alias("bucket"),
         "slice",
         "et",
         "ts",
@@ -154,7 +164,7 @@ def user_jump_stream(
         is_start.alias("is_start"),
         F.when(is_start & (F.col("slice") == F.col("_own")), _payload(pages)).alias("payload"),
     )
-    jumps = keyed.groupBy("mid", "slice").transformWithStateInPandas(
+    jumps = keyed.where("ts IS NOT NULL").groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=processors.JumpDetector(timeout_ms),
         outputStructType="reason string, payload string",
         outputMode="Append",
