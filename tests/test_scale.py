@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemart.operators import changes, config
-from tidemart.plans import trade
+from tidemart.operators.summaries import WORD_BUCKETS, _counted_in_chunks
+from tidemart.plans import summary, trade
 from tidemart.sources.tables import read_change_feed
 from tidemart.streaming import processors
+from tidemart.streaming.runner import stream_of
 from workload import adapters as a
 from workload import segment_queries
 
@@ -240,3 +242,41 @@ def test_an_early_outer_join_works_on_rows():
     assert call((False, "b", 10)) == [("a", "b", False), ("a", None, True)]
     assert not list(join.handleExpiredTimer(("k",), Clock(6000), Clock(6000)))
     assert set(held.kept["rows"]) == {(False, "far")}
+
+
+def test_words_of_a_window_are_few_rows_of_state(spark, tmp_path):
+    """A word in every search, a null one and windows of many words, in two runs."""
+    searches = [(f"hot w{i % 400} w{i % 7}", 1_704_067_200_000 + 20 * i) for i in range(700)]
+    searches += [("none", 1_704_067_201_000), ("other hot", 1_704_067_190_000)]
+    pages = [({"item": text, "item_type": "keyword", "last_page_id": "search"}, ts) for text, ts in searches]
+    later = [({**pages[0][0], "item": "late"}, 4_000_000_000_000)]
+    path, schema = str(tmp_path / "pages"), "page map<string,string>, ts long"
+    spark.createDataFrame(pages, schema).repartition(3).write.parquet(path)
+
+    def tokens(text):
+        return F.when(text == "none", F.array(F.lit(None).cast("string"))).otherwise(F.split(text, " "))
+
+    states = []
+    for part in (None, later):
+        if part:
+            spark.createDataFrame(part, schema).write.mode("append").parquet(path)
+        counted = summary.keyword_page_view_window(stream_of(spark, path, schema), tokenizer=tokens)
+        query = (
+            counted.writeStream.trigger(availableNow=True)
+            .option("checkpointLocation", str(tmp_path / "state"))
+            .start(str(tmp_path / "out"))
+        )
+        query.awaitTermination()
+        states += [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    # 402 words in one window, 402 in the next, 2 in the one before.
+    assert 0 < max(states) <= 3 * WORD_BUCKETS
+    found = rows(spark.read.parquet(str(tmp_path / "out")))
+    told = summary.keyword_page_view_window(spark.createDataFrame(pages, schema), tokenizer=tokens)
+    assert found == rows(told) and len(found) > 400
+    assert {r[4] for r in found if r[3] is None} == {1} and sum(r[4] for r in found if r[3] == "hot") == 701
+
+
+def test_a_busy_word_is_counted_before_it_is_dealt(spark):
+    words = spark.range(30_000, numPartitions=1).select(F.timestamp_seconds(F.col("id") % 2).alias("rt"), F.lit("hot").alias("word"))
+    chunks = _counted_in_chunks(words, words.schema).collect()
+    assert sorted(r["n"] for r in chunks) == [15_000, 15_000]
