@@ -14,7 +14,7 @@ from tidemart.operators.summaries import WORD_BUCKETS, _counted_in_chunks
 from tidemart.plans import summary, trade
 from tidemart.sources.tables import read_change_feed
 from tidemart.streaming import processors
-from tidemart.streaming.runner import stream_of
+from tidemart.streaming.runner import stream_of, with_lookups
 from workload import adapters as a
 from workload import segment_queries
 
@@ -280,3 +280,39 @@ def test_a_busy_word_is_counted_before_it_is_dealt(spark):
     words = spark.range(30_000, numPartitions=1).select(F.timestamp_seconds(F.col("id") % 2).alias("rt"), F.lit("hot").alias("word"))
     chunks = _counted_in_chunks(words, words.schema).collect()
     assert sorted(r["n"] for r in chunks) == [15_000, 15_000]
+
+
+def test_rows_are_held_only_when_they_are_looked_at_twice(spark):
+    """The rows of a batch for which the dictionary is read anyway go straight to the writer."""
+    codes, held, out = {"a": "A"}, [], []
+
+    def read():
+        return spark.createDataFrame(list(codes.items()), "dic_code string, dic_name string")
+
+    def batch(*values):
+        return spark.createDataFrame([(c,) for c in values], "code string")
+
+    def write(named, n):
+        held.append(frames[n].is_cached)
+        out.append(rows(named))
+
+    frames = [batch("a"), batch("a", "b")]
+    job = with_lookups(write, read, {"code": "name"}, max_age=3600)
+    job(frames[0], 0)
+    codes["b"] = "B"
+    job(frames[1], 1)
+    assert held == [False, True] and not frames[1].is_cached
+    assert out == [[("a", "A")], [("a", "A"), ("b", "B")]]
+
+
+def test_a_record_is_read_in_one_pass(spark):
+    """One step takes all values out of a message, nested ones and those of another type too."""
+    lines = spark.createDataFrame(
+        [('{"table":"t","ts":7,"data":{"a":1.50,"b":{"z":[1,null],"y":"x"},"c":null,"d":[true]},"old":"no"}',), ("[1]",)],
+        "value string",
+    )
+    feed = read_change_feed(lines)
+    assert rows(feed.select("table", "type", "ts", "old")) == [("t", None, "7", None)]
+    assert feed.first()["data"] == {"a": "1.5", "b": '{"y":"x","z":[1,null]}', "c": None, "d": "[true]"}
+    plan = feed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and plan.count("try_variant_get") == 1 and "lambda" not in plan

@@ -7,33 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def part(value: Column, name: str) -> Column:
-    """A field of an object; NULL where there is none or the value is no object."""
-    return F.try_variant_get(value, f"$['{name}']", "variant")
-
-
-def as_text(value: Column) -> Column:
-    """Texts and numbers as they are, lists and objects as JSON; a JSON null is NULL."""
-    return F.when(~F.is_variant_null(value), F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value)))
+def _ddl(kind: T.DataType) -> str:
+    if isinstance(kind, T.StructType):
+        fields = (f"`{f.name.replace('`', '``')}`:{_ddl(f.dataType)}" for f in kind.fields)
+        return f"struct<{','.join(fields)}>"
+    if isinstance(kind, T.MapType):
+        return f"map<{_ddl(kind.keyType)},{_ddl(kind.valueType)}>"
+    if isinstance(kind, T.ArrayType):
+        return f"array<{_ddl(kind.elementType)}>"
+    return kind.simpleString()
 
 
 def as_type(value: Column, kind: T.DataType) -> Column:
-    """A variant as ``kind``.
+    """A variant as ``kind``, read in one pass.
 
     Numbers and texts are taken for one another: a text of digits is a number, a fraction where a
-    whole number is wanted loses its fraction. What cannot be taken so is NULL, by itself; the rest of
-    a record stays.
+    whole number is wanted loses its fraction. Where a text is wanted, lists and objects are JSON and a
+    JSON null is NULL. What cannot be taken so is NULL, by itself; the rest of a record stays.
     """
-    if isinstance(kind, T.StringType):
-        return as_text(value)
-    if isinstance(kind, T.StructType):
-        fields = F.struct(*(as_type(part(value, f.name), f.dataType).alias(f.name) for f in kind.fields))
-        is_object = F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
-        return F.when(is_object, fields)
-    if isinstance(kind, T.MapType):
-        entries = F.try_variant_get(value, "$", "map<string,variant>")
-        return F.transform_values(entries, lambda k, v: as_type(v, kind.valueType))
-    if isinstance(kind, T.ArrayType):
-        listed = F.try_variant_get(value, "$", "array<variant>")
-        return F.transform(listed, lambda v: as_type(v, kind.elementType))
-    return F.try_variant_get(value, "$", kind.simpleString())
+    return F.try_variant_get(value, "$", _ddl(kind))

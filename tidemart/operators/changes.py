@@ -34,9 +34,8 @@ def split_valid_json(
     rest = [c for c in lines.columns if c != column]
     # Generators are evaluated once per row. A projection would be copied into the filters and the
     # text parsed anew for each field they look at.
-    parsed = lines.select(*rest, F.col(column), F.explode(F.array(json_object(F.col(column)))).alias("_v"))
-    once = F.explode(F.array(as_type(F.col("_v"), schema))).alias("_r")
-    taken = parsed.select(*rest, F.col(column), once)
+    once = F.explode(F.array(as_type(json_object(F.col(column)), schema))).alias("_r")
+    taken = lines.select(*rest, F.col(column), once)
     good = F.col("_r").isNotNull()
     for name in required:
         good = good & F.col(f"_r.{name}").isNotNull()

@@ -74,9 +74,13 @@ class Lookup:
             self.held = self.held.persist()
         return self.held
 
+    def is_old(self) -> bool:
+        """Whether the next micro-batch reads anew, whatever its codes are."""
+        return self.held is None or self.clock() - self.since >= self.max_age
+
     def entries(self, facts: DataFrame, codes: Collection[str]) -> DataFrame:
         """The dictionary for a micro-batch with codes in the given columns."""
-        if self.held is None or self.clock() - self.since >= self.max_age:
+        if self.is_old():
             return self._renewed()
         used = facts.select(F.explode(F.array(*codes)).alias("dic_code")).where("dic_code IS NOT NULL")
         unknown = used.join(self.held, "dic_code", "left_anti")
@@ -99,14 +103,15 @@ def with_lookups(
     lookup = Lookup(read, max_age)
 
     def run(df: DataFrame, batch_id: int) -> None:
-        # With a life time the rows are looked at twice: for codes that are new, and to be written.
-        df = df.persist() if max_age else df
+        # With a snapshot that still lives the rows are looked at twice: for codes that are new, and to be written.
+        twice = not lookup.is_old()
+        df = df.persist() if twice else df
         entries = lookup.entries(df, names)
         named = df
         for code, name in names.items():
             named = lookup_join(named, entries, code, name, how)
         write(named, batch_id)
-        if max_age:
+        if twice:
             df.unpersist()
 
     return run
