@@ -3,20 +3,23 @@
 import random
 import re
 from datetime import datetime
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from conftest import rows
 from tidemart.operators import changes, config
 from tidemart.operators.summaries import WORD_BUCKETS, _counted_in_chunks
 from tidemart.plans import summary, trade
 from tidemart.sources.tables import read_change_feed
+from tidemart.session import scratch_dir
 from tidemart.streaming import processors
-from tidemart.streaming.runner import stream_of, with_lookups
+from tidemart.streaming.runner import run_available, stream_of, with_lookups
 from workload import adapters as a
-from workload import segment_queries
+from workload import segment_queries, stream_queries
 
 
 def plan_of(df) -> str:
@@ -110,6 +113,44 @@ def test_jobs_on_tables_keep_the_partitions(spark, tmp_path):
         spark.conf.set(name, before)
 
 
+def test_flushes_are_read_by_one_query(spark, sf_dir, monkeypatch):
+    """A restart for each flush would replay the state into new stores beside the old ones."""
+    started, start = [], DataStreamWriter.start
+    monkeypatch.setattr(DataStreamWriter, "start", lambda w, *x: started.append(1) or start(w, *x))
+    found = stream_queries.full_stream_join_stream(spark, sf_dir)
+    assert len(started) == 1
+    # Rows that no partner came for are given by the watermark, which the flushes move.
+    assert found.where("oa_id IS NULL OR oc_id IS NULL").count() > 0
+
+
+def test_steps_go_on_where_the_query_is(spark):
+    source, out, state = (scratch_dir(spark, n) for n in ("steps", "steps-out", "steps-state"))
+
+    def bring(*seconds):
+        rows_of = spark.createDataFrame([(datetime(2024, 1, 1, 0, 0, s),) for s in seconds], "et timestamp")
+        rows_of.coalesce(1).write.mode("append").parquet(source)
+
+    bring(1, 1, 2)
+    counts = stream_of(spark, source, "et timestamp").withWatermark("et", "0 seconds").groupBy("et").count()
+    run_available(counts, out, state, steps=[lambda: bring(3), lambda: bring(9, 2)], options={"compression": "zstd"})
+    # What is late by then stays out. A restart goes on from the checkpoint.
+    given = [(1, 2), (2, 1), (3, 1), (9, 1)]
+    assert rows(spark.read.parquet(out).select(F.second("et"), "count")) == given
+    run_available(counts, out, state, steps=[lambda: bring(20)])
+    assert rows(spark.read.parquet(out).select(F.second("et"), "count")) == [*given[:2], (20, 1), *given[2:]]
+
+
+def test_state_and_topics_are_packed(spark, tmp_path):
+    conf = "spark.sql.streaming.stateStore."
+    assert spark.conf.get(conf + "compression.codec") == "zstd"
+    assert spark.conf.get(conf + "rocksdb.trackTotalNumberOfRows") == "false"
+    assert spark.conf.get(conf + "rocksdb.allowFAllocate") == "false"
+    path = stream_queries.topic(spark, "packed", spark.range(3).select(F.col("id").cast("string").alias("value")))
+    files = list(Path(path).glob("part-*"))
+    assert files and all(".zstd." in f.name for f in files)
+    assert rows(spark.read.parquet(path)) == [("0",), ("1",), ("2",)]
+
+
 def test_words_are_sent_by_their_own_size(spark, tmp_path):
     """Many names with few words: the names' size does not make the texts' substrings be shuffled."""
     name = "spark.sql.autoBroadcastJoinThreshold"
