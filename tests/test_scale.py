@@ -140,11 +140,19 @@ def test_steps_go_on_where_the_query_is(spark):
     assert rows(spark.read.parquet(out).select(F.second("et"), "count")) == [*given[:2], (20, 1), *given[2:]]
 
 
-def test_state_and_topics_are_packed(spark, tmp_path):
+def test_state_and_topics_are_packed(spark, monkeypatch):
     conf = "spark.sql.streaming.stateStore."
     assert spark.conf.get(conf + "compression.codec") == "zstd"
-    assert spark.conf.get(conf + "rocksdb.trackTotalNumberOfRows") == "false"
     assert spark.conf.get(conf + "rocksdb.allowFAllocate") == "false"
+    # Queries that run to their end do not count the rows of their state; others still do.
+    counts, start = conf + "rocksdb.trackTotalNumberOfRows", DataStreamWriter.start
+    seen = []
+    monkeypatch.setattr(DataStreamWriter, "start", lambda w, *x: seen.append(spark.conf.get(counts)) or start(w, *x))
+    before = spark.conf.get(counts, None)
+    source, out, state = (scratch_dir(spark, n) for n in ("plain", "plain-out", "plain-state"))
+    spark.range(1).write.parquet(source)
+    run_available(stream_of(spark, source, "id long"), out, state)
+    assert seen == ["false"] and spark.conf.get(counts, None) == before != "false" and spark.read.parquet(out).count() == 1
     path = stream_queries.topic(spark, "packed", spark.range(3).select(F.col("id").cast("string").alias("value")))
     files = list(Path(path).glob("part-*"))
     assert files and all(".zstd." in f.name for f in files)
